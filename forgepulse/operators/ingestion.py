@@ -28,7 +28,8 @@ def hours_between(days: DataFrame, first: Column, last: Column) -> DataFrame:
     hour = F.make_dt_interval(F.lit(0), F.lit(1))
     return (
         days.where(first <= last)
-        .select(F.explode(F.sequence(start, end, hour)).alias("hour"))
+        # The optimizer may evaluate the sequence of an empty range before dropping it.
+        .select(F.explode(F.sequence(start, F.greatest(start, end), hour)).alias("hour"))
         .select(hour_key("hour").alias("hour_key"))
     )
 
@@ -87,12 +88,13 @@ def load_hours(
 
 
 def _entries(hours: DataFrame, batch: DataFrame | None, as_of: AsOf) -> DataFrame:
-    """A ledger entry per hour with the events it was the first to bring."""
+    """A ledger entry per hour with the number of different events in its file."""
     if batch is None:
         counted = hours.withColumn("row_count", F.lit(0).cast("bigint"))
     else:
-        first_files = batch.groupBy("event_id").agg(F.min("source_file").alias("hour_key"))
-        counts = first_files.groupBy("hour_key").agg(F.count("*").alias("row_count"))
+        counts = batch.groupBy(F.col("source_file").alias("hour_key")).agg(
+            F.count_distinct("event_id").alias("row_count")
+        )
         counted = hours.join(counts, "hour_key", "left").fillna(0, subset=["row_count"])
     return counted.select(
         "hour_key", "row_count", as_of.time_ago().alias("loaded_at"), F.lit("loaded").alias("status")

@@ -19,7 +19,7 @@ from forgepulse.plans import layers, pipeline
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.landing import stream_landed
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse, landed_hours
+from forgepulse.sources.warehouse import EVENTS_TABLE, Warehouse, landed_hours
 from forgepulse.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,60 +32,70 @@ def _as_text(df: DataFrame, *arrays: str) -> DataFrame:
     return df.withColumns({name: F.array_join(name, ",") for name in arrays})
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binding.event_table(spark, sf_dir).events()
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binding.bound_events(spark, sf_dir).select(*EVENT_COLUMNS)
+    return _events(spark, sf_dir).select(*EVENT_COLUMNS)
 
 
 def repo_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(binding.bound_metadata(spark, sf_dir), "topics")
 
 
-def _land(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
-    """Writes the events as hour files, gzip JSON in a folder per hour."""
-    folder = scratch.path("landing")
-    records = binding.landed_records(binding.bound_events(spark, sf_dir))
-    records.repartition("hour_key").write.partitionBy("hour_key").option(
-        "compression", "gzip"
-    ).json(folder)
-    return folder
+_landings: dict[tuple[str, str], str] = {}
+
+
+def _land(spark: SparkSession, sf_dir: str) -> str:
+    """The events as hour files, gzip JSON in a folder per hour; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landings:
+        folder = Scratch(spark).path("landing")
+        records = binding.landed_records(_events(spark, sf_dir))
+        records.repartition("hour_key").write.partitionBy("hour_key").option(
+            "compression", "gzip"
+        ).json(folder)
+        _landings[key] = folder
+    return _landings[key]
 
 
 def ingest_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    folder = _land(spark, sf_dir, scratch)
+    folder = _land(spark, sf_dir)
     warehouse = Warehouse(spark, scratch.path("warehouse"))
     ingestion.ingest_hours(warehouse, folder, list(landed_hours(spark, folder)), AS_OF)
     return warehouse.events().select(*EVENT_COLUMNS)
 
 
 def hour_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = binding.bound_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     return events.select("event_id", hour_key("created_at").alias("hour_key"))
 
 
 def backfill_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All hours of the days between the first and the last event."""
-    days = binding.bound_events(spark, sf_dir).agg(
+    days = _events(spark, sf_dir).agg(
         F.min("event_date").alias("first"), F.max("event_date").alias("last")
     )
     return ingestion.hours_between(days, F.col("first"), F.col("last"))
 
 
 def pending_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = binding.bound_ledger(binding.bound_events(spark, sf_dir))
+    ledger = binding.bound_ledger(_events(spark, sf_dir))
     return ingestion.pending_hours(backfill_hours(spark, sf_dir), ledger)
 
 
 def enrichment_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.enrichment_candidates(
-        binding.bound_events(spark, sf_dir), binding.bound_metadata(spark, sf_dir), AS_OF
+        _events(spark, sf_dir), binding.bound_metadata(spark, sf_dir), AS_OF
     )
 
 
 def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merges records with stars added up, fetched at each repository's last event."""
     current = binding.bound_metadata(spark, sf_dir)
-    seen = binding.bound_events(spark, sf_dir).groupBy("repo_id").agg(
+    seen = _events(spark, sf_dir).groupBy("repo_id").agg(
         F.count_if(F.col("event_type") == "WatchEvent").alias("stars"),
         F.max("created_at").alias("last_at"),
     )
@@ -100,13 +110,13 @@ def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     warehouse = Warehouse(spark, scratch.path("warehouse"))
-    activity = int_repo_daily_activity(binding.bound_events(spark, sf_dir), scratch)
+    activity = int_repo_daily_activity(_events(spark, sf_dir), scratch)
     return layers.write_model(warehouse, layers.ACTIVITY, activity)
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [*quality.REQUIRED, "repo_id", "actor_login", "org_login"]
-    return quality.dq_not_null(binding.bound_events(spark, sf_dir), "events", columns)
+    return quality.dq_not_null(_events(spark, sf_dir), "events", columns)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +124,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     warehouse = Warehouse(spark, scratch.path("warehouse"))
     records = binding.bound_metadata(spark, sf_dir)
-    models = pipeline.run_pipeline(warehouse, AS_OF, _land(spark, sf_dir, scratch), records)
+    models = pipeline.run_pipeline(warehouse, AS_OF, _land(spark, sf_dir), records)
     views = staging.staging_views(warehouse.events())
     counts = [
         (views[model] if model in views else layers.read_model(warehouse, model)).agg(
@@ -127,7 +137,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    landed = stream_landed(spark, _land(spark, sf_dir, scratch))
+    landed = stream_landed(spark, _land(spark, sf_dir))
     path = scratch.path("events")
     ingest.write_available(
         ingest.deduplicated(landed, "2 hours"), path, scratch.path("state"), ("event_date",)
@@ -137,8 +147,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    source = scratch.path("events")
-    binding.bound_events(spark, sf_dir).write.parquet(source)
+    source = binding.event_table(spark, sf_dir).path(EVENTS_TABLE)
     hours = hourly.stream_hourly(spark.readStream.schema(EVENTS).parquet(source), "1 hour")
     path = scratch.path("hours")
     ingest.write_available(hours, path, scratch.path("state")).awaitTermination()
@@ -147,25 +156,25 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _staging_view(event_type: str) -> Query:
     return lambda spark, sf_dir: staging.events_of_type(
-        binding.bound_events(spark, sf_dir), event_type
+        _events(spark, sf_dir), event_type
     )
 
 
 def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return int_repo_daily_activity(binding.bound_events(spark, sf_dir))
+    return int_repo_daily_activity(_events(spark, sf_dir))
 
 
 def contributor_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.int_contributor_profiles(binding.bound_events(spark, sf_dir), AS_OF)
+    return profiles.int_contributor_profiles(_events(spark, sf_dir), AS_OF)
 
 
 def org_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.int_org_activity(binding.bound_events(spark, sf_dir), AS_OF)
+    return profiles.int_org_activity(_events(spark, sf_dir), AS_OF)
 
 
 def trending_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the report's days of daily activity are built; a day needs no other day."""
-    events = binding.bound_events(spark, sf_dir).where(F.col("event_date") >= AS_OF.date_ago(30))
+    events = _events(spark, sf_dir).where(F.col("event_date") >= AS_OF.date_ago(30))
     return trending.mart_trending_repos(int_repo_daily_activity(events), AS_OF)
 
 
@@ -184,7 +193,7 @@ def ai_ecosystem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ecosystem_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_ecosystem_hourly(binding.bound_events(spark, sf_dir), AS_OF)
+    return community.mart_ecosystem_hourly(_events(spark, sf_dir), AS_OF)
 
 
 def org_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,26 +202,26 @@ def org_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contributor_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     movers = community.mart_contributor_migration(
-        binding.bound_events(spark, sf_dir), contributor_profiles(spark, sf_dir), AS_OF
+        _events(spark, sf_dir), contributor_profiles(spark, sf_dir), AS_OF
     )
     return _as_text(movers, "orgs")
 
 
 def fork_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_fork_conversion(binding.bound_events(spark, sf_dir), AS_OF)
+    return community.mart_fork_conversion(_events(spark, sf_dir), AS_OF)
 
 
 def release_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_release_momentum(binding.bound_events(spark, sf_dir), AS_OF)
+    return community.mart_release_momentum(_events(spark, sf_dir), AS_OF)
 
 
 def new_repo_breakout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = binding.bound_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     return trending.mart_new_repo_breakout(events, int_repo_daily_activity(events), AS_OF)
 
 
 def viral_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_viral_velocity(binding.bound_events(spark, sf_dir), AS_OF)
+    return community.mart_viral_velocity(_events(spark, sf_dir), AS_OF)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
 from forgepulse.schema import EVENTS, METADATA
+from forgepulse.sources.storage import Scratch
+from forgepulse.sources.warehouse import Warehouse
 
 AS_OF = AsOf(datetime(2024, 1, 31))
 
@@ -116,6 +118,22 @@ def bound_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*EVENTS.names)
 
 
+_stored: dict[tuple[str, str], Warehouse] = {}
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse holding the bound events as the models read them: partitioned by date
+    and sorted by type. Written once per session; the binding is deep and would
+    otherwise be evaluated anew, and pushed into every filter, by each query.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        warehouse = Warehouse(spark, Scratch(spark).path("bound"))
+        warehouse.append_events(bound_events(spark, sf_dir))
+        _stored[key] = warehouse
+    return _stored[key]
+
+
 def bound_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     text_array = "array<string>"

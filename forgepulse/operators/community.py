@@ -202,18 +202,19 @@ def mart_viral_velocity(events: DataFrame, as_of: AsOf) -> DataFrame:
     stars = with_event_date(events).where(
         is_type(rules.WATCH) & F.col("event_date").between(F.lit(oldest), F.lit(yesterday))
     )
-    daily = stars.groupBy("repo_id", "repo_name", "event_date").agg(F.count("*").alias("stars"))
     is_recent = F.col("event_date") == F.lit(yesterday)
-    by_name = daily.groupBy("repo_id", "repo_name").agg(
-        F.sum(F.when(is_recent, F.col("stars"))).alias("stars_recent"),
-        F.sum(F.when(~is_recent, F.col("stars"))).alias("_stars"),
-        F.count_if(~is_recent).alias("_days"),
+    # One bit per day of the baseline, seven at most, counts its days without a distinct count.
+    day_bit = F.call_function("shiftleft", F.lit(1), F.date_diff(F.lit(yesterday), "event_date"))
+    by_name = stars.groupBy("repo_id", "repo_name").agg(
+        F.count_if(is_recent).alias("stars_recent"),
+        F.count_if(~is_recent).alias("_stars"),
+        F.bit_count(F.bit_or(F.when(~is_recent, day_bit))).alias("_days"),
     )
     # Without a repository id there is no baseline; the name spreads such rows.
     known = F.col("repo_id").isNotNull()
     repo = Window.partitionBy("repo_id", F.when(~known, F.col("repo_name")))
     with_baseline = by_name.withColumns({
-        "_total": F.when(known, F.sum("_stars").over(repo)),
+        "_total": F.sum(F.when(known & (F.col("_stars") > 0), F.col("_stars"))).over(repo),
         "_rows": F.sum("_days").over(repo),
     }).where(F.col("stars_recent") >= rules.MIN_RECENT_STARS)
     baseline = F.round(per(F.col("_total"), F.col("_rows")), 2)

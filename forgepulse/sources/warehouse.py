@@ -15,6 +15,8 @@ from forgepulse.schema import EVENTS, LEDGER, METADATA, QUARANTINE
 from forgepulse.sources.landing import HOUR_IN_NAME
 from forgepulse.sources.storage import child_names, exists
 
+EVENTS_TABLE = "raw/events"
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -31,7 +33,7 @@ class Warehouse:
 
     def events(self) -> DataFrame:
         """All events, partitioned by `event_date`."""
-        return self._read("raw/events", EVENTS)
+        return self._read(EVENTS_TABLE, EVENTS)
 
     def ledger(self) -> DataFrame:
         return self._read("raw/ingestion_log", LEDGER)
@@ -62,7 +64,7 @@ class Warehouse:
             events.select(*EVENTS.names)
             .hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", "event_type", "repo_id")
-            .write.mode("append").partitionBy("event_date").parquet(self.path("raw/events"))
+            .write.mode("append").partitionBy("event_date").parquet(self.path(EVENTS_TABLE))
         )
 
     def append_ledger(self, entries: DataFrame) -> None:

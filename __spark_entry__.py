@@ -19,7 +19,7 @@ from forgepulse.plans import layers, pipeline
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.landing import stream_landed
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import EVENTS_TABLE, Warehouse, landed_hours
+from forgepulse.sources.warehouse import Warehouse, landed_hours
 from forgepulse.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ def _as_text(df: DataFrame, *arrays: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binding.event_table(spark, sf_dir).events()
+    return binding.event_table(spark, sf_dir)[1]
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
-    source = binding.event_table(spark, sf_dir).path(EVENTS_TABLE)
+    source, _ = binding.event_table(spark, sf_dir)
     hours = hourly.stream_hourly(spark.readStream.schema(EVENTS).parquet(source), "1 hour")
     path = scratch.path("hours")
     ingest.write_available(hours, path, scratch.path("state")).awaitTermination()

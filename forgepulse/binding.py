@@ -19,7 +19,7 @@ from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
 from forgepulse.schema import EVENTS, METADATA
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse
+from forgepulse.sources.warehouse import EVENTS_TABLE, Warehouse
 
 AS_OF = AsOf(datetime(2024, 1, 31))
 
@@ -118,19 +118,21 @@ def bound_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*EVENTS.names)
 
 
-_stored: dict[tuple[str, str], Warehouse] = {}
+_stored: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
-def event_table(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A warehouse holding the bound events as the models read them: partitioned by date
-    and sorted by type. Written once per session; the binding is deep and would
-    otherwise be evaluated anew, and pushed into every filter, by each query.
+def event_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The bound events as the models read them, partitioned by date and sorted by type:
+    the table's path and the table.
+
+    Written and listed once per session. The binding is deep and would otherwise be
+    evaluated anew, and pushed into every filter, by each query.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         warehouse = Warehouse(spark, Scratch(spark).path("bound"))
         warehouse.append_events(bound_events(spark, sf_dir))
-        _stored[key] = warehouse
+        _stored[key] = warehouse.path(EVENTS_TABLE), warehouse.events()
     return _stored[key]
 
 

@@ -14,7 +14,7 @@ from forgepulse import binding
 from forgepulse.binding import AS_OF
 from forgepulse.functions.events import hour_key
 from forgepulse.operators import community, enrichment, ingestion, profiles, quality, staging, trending
-from forgepulse.operators.activity import int_repo_daily_activity
+from forgepulse.operators.activity import activity_of_events, daily_signals, int_repo_daily_activity
 from forgepulse.plans import layers, pipeline
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.landing import stream_landed
@@ -110,7 +110,7 @@ def metadata_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     warehouse = Warehouse(spark, scratch.path("warehouse"))
-    activity = int_repo_daily_activity(_events(spark, sf_dir), scratch)
+    activity = activity_of_events(_events(spark, sf_dir), scratch)
     return layers.write_model(warehouse, layers.ACTIVITY, activity)
 
 
@@ -161,7 +161,7 @@ def _staging_view(event_type: str) -> Query:
 
 
 def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return int_repo_daily_activity(_events(spark, sf_dir))
+    return activity_of_events(_events(spark, sf_dir))
 
 
 def contributor_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +175,7 @@ def org_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trending_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the report's days of daily activity are built; a day needs no other day."""
     events = _events(spark, sf_dir).where(F.col("event_date") >= AS_OF.date_ago(30))
-    return trending.mart_trending_repos(int_repo_daily_activity(events), AS_OF)
+    return trending.mart_trending_repos(activity_of_events(events), AS_OF)
 
 
 def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +208,8 @@ def contributor_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fork_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_fork_conversion(_events(spark, sf_dir), AS_OF)
+    events = _events(spark, sf_dir)
+    return community.mart_fork_conversion(events, daily_signals(events), AS_OF)
 
 
 def release_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,8 +217,9 @@ def release_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_repo_breakout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
-    return trending.mart_new_repo_breakout(events, int_repo_daily_activity(events), AS_OF)
+    scratch = Scratch(spark)
+    signals = scratch.keep(daily_signals(_events(spark, sf_dir)))
+    return trending.mart_new_repo_breakout(signals, int_repo_daily_activity(signals, scratch), AS_OF)
 
 
 def viral_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:

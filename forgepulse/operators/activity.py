@@ -16,12 +16,21 @@ SIGNAL_GROUPS = [["stars"], ["pushes", "unique_pushers"], ["forks"], ["pull_requ
 SIGNALS = [name for group in SIGNAL_GROUPS for name in group]
 
 
+def _has_day_key() -> Column:
+    return F.col("repo_id").isNotNull() & F.col("activity_date").isNotNull()
+
+
 def daily_signals(events: DataFrame) -> DataFrame:
-    """Counts per repository, name and day, from one scan.
+    """Plain counts per repository, name and day, from one scan of the events.
 
     Only one distinct count, so no row is multiplied; its first shuffle is by
-    (repository, name, day, pusher), which spreads a hot repository.
+    (repository, name, day, pusher), which spreads a hot repository. `renamed` marks
+    the days on which a repository went by several names.
+
+    A day depends on that day's events alone: pass some days' events to rebuild them.
     """
+    # Rows without a repository or day are nobody's other name; the name spreads them.
+    same_day = Window.partitionBy(*DAY, F.when(~_has_day_key(), F.col("repo_name")))
     return (
         with_event_date(events)
         .groupBy("repo_id", "repo_name", F.col("event_date").alias("activity_date"))
@@ -32,12 +41,22 @@ def daily_signals(events: DataFrame) -> DataFrame:
             F.count_if(is_type(rules.FORK)).alias("forks"),
             F.count_if(is_type(rules.PULL_REQUEST)).alias("pull_requests"),
             F.count_if(is_type(rules.ISSUES)).alias("issues"),
+            F.count_if(is_type(rules.CREATE)).alias("creations"),
         )
+        .withColumn("renamed", F.count("*").over(same_day) > 1)
     )
 
 
-def _has_day_key() -> Column:
-    return F.col("repo_id").isNotNull() & F.col("activity_date").isNotNull()
+def star_totals(signals: DataFrame) -> DataFrame:
+    """All stars a repository ever got, whatever its name."""
+    return signals.groupBy("repo_id").agg(F.sum("stars").alias("star_count"))
+
+
+def first_creations(signals: DataFrame) -> DataFrame:
+    """The day each repository was first created under each name."""
+    return signals.where(F.col("creations") > 0).groupBy("repo_id", "repo_name").agg(
+        F.min("activity_date").alias("first_seen_date")
+    )
 
 
 def _signals_of_all_names(renamed: DataFrame) -> DataFrame:
@@ -49,30 +68,25 @@ def _signals_of_all_names(renamed: DataFrame) -> DataFrame:
     return rows.fillna(0, subset=SIGNALS)
 
 
-def int_repo_daily_activity(events: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+def int_repo_daily_activity(signals: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per repository, name and day with its signals and activity score.
 
     Signals are attached by repository and day, whatever the name. On a day on
     which a repository went by several names, each name therefore gets one row per
     combination of the names its signals were recorded under. Under one name, which
     is nearly always the case, the row is simply the day's counts. So the joins run
-    over the renamed days only, which are kept in a partition of their own.
+    over the renamed days only, which are kept apart.
 
-    A day depends on that day's events alone: pass some days' events to rebuild them.
+    `signals` is read twice; pass a stored table or a kept result.
     """
-    scratch = scratch or Scratch(events.sparkSession)
-    # Rows without a repository or day are nobody's other name; the name spreads them.
-    same_day = Window.partitionBy(*DAY, F.when(~_has_day_key(), F.col("repo_name")))
-    daily = scratch.keep(
-        daily_signals(events).withColumn("renamed", F.count("*").over(same_day) > 1),
-        partition_by=["renamed"],
-    )
+    scratch = scratch or Scratch(signals.sparkSession)
     # Signals cannot be attached to a missing key, so such rows count nothing.
-    single = daily.where(~F.col("renamed")).select(
+    single = signals.where(~F.col("renamed")).select(
         "repo_id", "repo_name", "activity_date",
         *[F.when(_has_day_key(), F.col(name)).otherwise(F.lit(0)).alias(name) for name in SIGNALS],
     )
-    rows = single.unionByName(_signals_of_all_names(daily.where("renamed")))
+    renamed = scratch.keep(signals.where("renamed").select("repo_name", *DAY, *SIGNALS))
+    rows = single.unionByName(_signals_of_all_names(renamed))
     score = sum(
         (F.col(name) * F.lit(weight) for name, weight in rules.SCORE_WEIGHTS.items()), F.lit(0.0)
     )
@@ -80,3 +94,9 @@ def int_repo_daily_activity(events: DataFrame, scratch: Scratch | None = None) -
         "repo_id", "repo_name", "activity_date", owner_of("repo_name").alias("owner"),
         *SIGNALS, score.alias("activity_score"),
     )
+
+
+def activity_of_events(events: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Daily activity straight from events."""
+    scratch = scratch or Scratch(events.sparkSession)
+    return int_repo_daily_activity(scratch.keep(daily_signals(events)), scratch)

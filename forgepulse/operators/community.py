@@ -11,6 +11,7 @@ from forgepulse.functions.events import (
     first_reached, hour_start, is_type, owner_of, per, since, with_event_date,
 )
 from forgepulse.functions.ranking import with_rank
+from forgepulse.operators.activity import star_totals
 from forgepulse.operators.profiles import distinct_pairs, without_bots
 
 
@@ -126,19 +127,15 @@ def repo_totals(
     )
 
 
-def mart_fork_conversion(events: DataFrame, as_of: AsOf) -> DataFrame:
+def mart_fork_conversion(events: DataFrame, signals: DataFrame, as_of: AsOf) -> DataFrame:
     """Repositories forked at least twice in 90 days and the pull requests that followed.
 
-    Stars count over all history.
+    Stars count over all history, and come from the daily table rather than the events.
     """
-    dated = with_event_date(events)
-    recent = (F.col("event_date") >= as_of.date_ago(rules.COMMUNITY_DAYS)) & (
-        F.col("created_at") >= as_of.time_ago(rules.COMMUNITY_DAYS)
-    )
     totals = repo_totals(
-        dated.where(recent | is_type(rules.WATCH)),
+        since(with_event_date(events), as_of, rules.COMMUNITY_DAYS),
         named=rules.FORK,
-        others={"pr_count": rules.PULL_REQUEST, "star_count": rules.WATCH},
+        others={"pr_count": rules.PULL_REQUEST},
         actors_of={"unique_pr_authors": rules.PULL_REQUEST},
     )
     forks, requests = F.col("fork_count"), F.col("pr_count")
@@ -153,6 +150,8 @@ def mart_fork_conversion(events: DataFrame, as_of: AsOf) -> DataFrame:
     return (
         totals.withColumnsRenamed({"events": "fork_count", "actors": "unique_forkers"})
         .where(forks >= rules.MIN_FORKS)
+        .join(star_totals(signals), "repo_id", "left")
+        .fillna(0, subset=["star_count"])
         .withColumns({"fork_to_pr_conversion": F.round(conversion, 3), "community_health": health})
         .drop("first_at", "latest_at")
     )

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from forgepulse import rules
 from forgepulse.clock import AsOf
-from forgepulse.functions.events import is_type, owner_of, per, with_event_date
+from forgepulse.functions.events import owner_of, per
 from forgepulse.functions.ranking import with_rank
+from forgepulse.operators.activity import first_creations
 
 
 def mart_trending_repos(activity: DataFrame, as_of: AsOf) -> DataFrame:
@@ -131,17 +132,13 @@ def mart_ai_ecosystem(by_topic: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def mart_new_repo_breakout(events: DataFrame, activity: DataFrame, as_of: AsOf) -> DataFrame:
+def mart_new_repo_breakout(signals: DataFrame, activity: DataFrame, as_of: AsOf) -> DataFrame:
     """Repositories first created in the last 30 days, with all activity they ever had.
 
-    The day of the first creation is the least partition date, so the scan reads
-    neither times nor actors.
+    Both inputs hold all history, so the daily tables are read, never the events.
     """
     created = (
-        with_event_date(events)
-        .where(is_type(rules.CREATE))
-        .groupBy("repo_id", "repo_name")
-        .agg(F.min("event_date").alias("first_seen_date"))
+        first_creations(signals)
         .where(F.col("first_seen_date") >= as_of.date_ago(rules.NEW_REPO_DAYS))
         .withColumn("owner", owner_of("repo_name"))
         .where(~F.col("owner").isin(rules.EXCLUDED_OWNERS))

@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.operators.staging import staging_views
+from forgepulse.sources.storage import exists
 from forgepulse.sources.warehouse import Warehouse
 
 ACTIVITY = "int_repo_daily_activity"
+# Not a model of its own: the plain daily counts others are built from.
+SIGNALS = "int_repo_daily_signals"
+BY_DATE = {ACTIVITY, SIGNALS}
 
 # The order a report is read in. A table keeps none, so building it needs no sort.
 READ_ORDER = {
@@ -42,15 +46,20 @@ def write_model(
 ) -> DataFrame:
     """Rebuilds a model's table and returns it as stored.
 
-    Daily activity is partitioned by date; with `only_dates`, `df` holds those dates
+    Daily tables are partitioned by date; with `only_dates`, `df` holds those dates
     only and the others stay.
     """
     name = f"{layer_of(model)}/{model}"
-    partition_by = ["activity_date"] if model == ACTIVITY else []
+    partition_by = ["activity_date"] if model in BY_DATE else []
     warehouse.write(name, df, partition_by, only_touched=only_dates is not None)
     return read_model(warehouse, model).select(*df.columns)
 
 
+def is_built(warehouse: Warehouse, model: str) -> bool:
+    """Whether the model's last rebuild was completed."""
+    return exists(warehouse.spark, warehouse.path(f"{layer_of(model)}/{model}/_SUCCESS"))
+
+
 def read_model(warehouse: Warehouse, model: str, ordered: bool = False) -> DataFrame:
     direction, *columns = READ_ORDER.get(model, [F.desc])
     order_by = [direction(name) for name in columns] if ordered else []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.clock import AsOf
-from forgepulse.operators.activity import int_repo_daily_activity
+from forgepulse.operators.activity import daily_signals, int_repo_daily_activity
 from forgepulse.operators.community import (
     mart_contributor_migration, mart_ecosystem_hourly, mart_fork_conversion, mart_org_scoreboard,
     mart_release_momentum, mart_viral_velocity,
@@ -20,8 +20,10 @@ from forgepulse.operators.profiles import int_contributor_profiles, int_org_acti
 from forgepulse.operators.trending import (
     mart_ai_ecosystem, mart_new_repo_breakout, mart_trending_by_topic, mart_trending_repos,
 )
-from forgepulse.plans.layers import ACTIVITY, create_views, read_model, write_model
-from forgepulse.sources.storage import Scratch, exists
+from forgepulse.plans.layers import (
+    ACTIVITY, SIGNALS, create_views, is_built, read_model, write_model,
+)
+from forgepulse.sources.storage import Scratch
 from forgepulse.sources.warehouse import Warehouse, hour_frame, landed_hours
 
 # Fixed value: models built at the same time.
@@ -35,15 +37,21 @@ def load_pending(warehouse: Warehouse, folder: str, as_of: AsOf, scratch: Scratc
     return load_hours(warehouse, folder, sorted(keys), as_of, scratch)
 
 
-def refresh_activity(warehouse: Warehouse, load: Load | None, scratch: Scratch) -> DataFrame:
-    """Rebuilds daily activity: the dates of a load, or all when there is no table yet."""
-    events = warehouse.events()
-    if load is None or not exists(warehouse.spark, warehouse.path(f"intermediate/{ACTIVITY}")):
-        return write_model(warehouse, ACTIVITY, int_repo_daily_activity(events, scratch))
-    if load.dates:
-        touched = events.where(F.col("event_date").isin(load.dates))
-        write_model(warehouse, ACTIVITY, int_repo_daily_activity(touched, scratch), load.dates)
-    return read_model(warehouse, ACTIVITY)
+def refresh_daily_tables(warehouse: Warehouse, load: Load | None, scratch: Scratch) -> None:
+    """Rebuilds the daily tables: the dates of a load, or all when they are not there yet.
+
+    With daily counts stored, reports over all history need not read all events again.
+    """
+    events, dates = warehouse.events(), None
+    if load is not None and all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY)):
+        dates = load.dates
+        if not dates:
+            return
+        events = events.where(F.col("event_date").isin(dates))
+    signals = write_model(warehouse, SIGNALS, daily_signals(events), dates)
+    if dates is not None:
+        signals = signals.where(F.col("activity_date").isin(dates))
+    write_model(warehouse, ACTIVITY, int_repo_daily_activity(signals, scratch), dates)
 
 
 def run_pipeline(
@@ -60,7 +68,7 @@ def run_pipeline(
         load = load_pending(warehouse, landing, as_of, scratch) if landing else None
         if records is not None:
             warehouse.replace_metadata(metadata_upsert(warehouse.metadata(), records))
-        refresh_activity(warehouse, load, scratch)
+        refresh_daily_tables(warehouse, load, scratch)
         if load:
             log_hours(warehouse, load)
         return [ACTIVITY, *create_views(warehouse.events()), *_build_models(warehouse, as_of)]
@@ -80,9 +88,11 @@ def _build_models(warehouse: Warehouse, as_of: AsOf) -> list[str]:
             "int_contributor_profiles": lambda: int_contributor_profiles(events, as_of),
             "int_org_activity": lambda: int_org_activity(events, as_of),
             "mart_trending_repos": lambda: mart_trending_repos(stored(ACTIVITY), as_of),
-            "mart_new_repo_breakout": lambda: mart_new_repo_breakout(events, stored(ACTIVITY), as_of),
+            "mart_new_repo_breakout": lambda: mart_new_repo_breakout(
+                stored(SIGNALS), stored(ACTIVITY), as_of
+            ),
             "mart_ecosystem_hourly": lambda: mart_ecosystem_hourly(events, as_of),
-            "mart_fork_conversion": lambda: mart_fork_conversion(events, as_of),
+            "mart_fork_conversion": lambda: mart_fork_conversion(events, stored(SIGNALS), as_of),
             "mart_release_momentum": lambda: mart_release_momentum(events, as_of),
             "mart_viral_velocity": lambda: mart_viral_velocity(events, as_of),
         },

@@ -8,7 +8,9 @@ from conftest import by_key, collected, days_ago, event, frame, metadata
 from pyspark.sql import functions as F
 
 from forgepulse import binding, rules
-from forgepulse.operators.activity import DAY, SIGNALS, int_repo_daily_activity
+from forgepulse.operators.activity import (
+    DAY, SIGNALS, activity_of_events, daily_signals, int_repo_daily_activity,
+)
 from forgepulse.operators.staging import VIEW_COLUMNS, VIEWS, staging_views
 from forgepulse.operators.trending import (
     mart_ai_ecosystem, mart_new_repo_breakout, mart_trending_by_topic, mart_trending_repos,
@@ -38,20 +40,20 @@ def literal_activity(events):
 
 def test_score_adds_up_weighted_signals(spark):
     rows = [event(kind, at=days_ago(1)) for kind in ("Watch", "Fork", "PullRequest", "Issues", "Push", "Push")]
-    row = int_repo_daily_activity(frame(spark, rows)).first()
+    row = activity_of_events(frame(spark, rows)).first()
     assert (row.stars, row.forks, row.pull_requests, row.issues) == (1, 1, 1, 1)
     assert (row.pushes, row.unique_pushers, row.activity_score, row.owner) == (2, 1, 10.0, "own")
 
 
 def test_other_events_give_an_empty_day_that_never_trends(spark, as_of):
-    activity = int_repo_daily_activity(frame(spark, [event("IssueComment")]))
+    activity = activity_of_events(frame(spark, [event("IssueComment")]))
     assert collected(activity, *SIGNALS, "activity_score") == [(0, 0, 0, 0, 0, 0, 0.0)]
     assert mart_trending_repos(activity, as_of).count() == 0
 
 
 def test_rename_within_a_day_combines_all_names(spark):
     rows = [event("Watch", name="a/old"), event("Watch", name="a/new"), event("Watch", name="a/new")]
-    activity = int_repo_daily_activity(frame(spark, rows))
+    activity = activity_of_events(frame(spark, rows))
     assert collected(activity, "repo_name", "stars") == [
         ("a/new", 1), ("a/new", 2), ("a/old", 1), ("a/old", 2),
     ]
@@ -59,7 +61,7 @@ def test_rename_within_a_day_combines_all_names(spark):
 
 def test_rename_signals_of_one_name_reach_the_other(spark):
     rows = [event("Watch", name="a/old"), event("Push", name="a/new", actor=5)]
-    activity = int_repo_daily_activity(frame(spark, rows))
+    activity = activity_of_events(frame(spark, rows))
     assert collected(activity, "repo_name", "stars", "pushes", "unique_pushers") == [
         ("a/new", 1, 1, 1), ("a/old", 1, 1, 1),
     ]
@@ -67,20 +69,20 @@ def test_rename_signals_of_one_name_reach_the_other(spark):
 
 def test_missing_repository_ids_count_nothing(spark):
     rows = [event("Watch", repo=None, name=f"x/{n}") for n in range(3)]
-    assert collected(int_repo_daily_activity(frame(spark, rows)), "repo_name", "stars") == [
+    assert collected(activity_of_events(frame(spark, rows)), "repo_name", "stars") == [
         ("x/0", 0), ("x/1", 0), ("x/2", 0),
     ]
 
 
 def test_missing_day_counts_nothing(spark):
     row = event("Watch") | {"created_at": None, "event_date": None}
-    assert collected(int_repo_daily_activity(frame(spark, [row])), "activity_date", "stars") == [(None, 0)]
+    assert collected(activity_of_events(frame(spark, [row])), "activity_date", "stars") == [(None, 0)]
 
 
 def test_equals_the_literal_joins(spark):
     events = binding.bound_events(spark, DATA)
     columns = ["repo_id", "repo_name", "activity_date", *SIGNALS]
-    ours = int_repo_daily_activity(events).select(*columns)
+    ours = activity_of_events(events).select(*columns)
     literal = literal_activity(events).select(*columns)
     assert ours.count() == literal.count()
     assert ours.exceptAll(literal).isEmpty()
@@ -89,17 +91,17 @@ def test_equals_the_literal_joins(spark):
 def test_order_of_rows_does_not_matter(spark):
     events = binding.bound_events(spark, DATA)
     shuffled = events.repartition(7, F.rand(3))
-    assert int_repo_daily_activity(shuffled).exceptAll(int_repo_daily_activity(events)).isEmpty()
+    assert activity_of_events(shuffled).exceptAll(activity_of_events(events)).isEmpty()
 
 
 def test_days_can_be_built_apart(spark):
     events = binding.bound_events(spark, DATA)
     cut = F.col("event_date") < "2024-01-15"
-    apart = int_repo_daily_activity(events.where(cut)).unionByName(
-        int_repo_daily_activity(events.where(~cut))
+    apart = activity_of_events(events.where(cut)).unionByName(
+        activity_of_events(events.where(~cut))
     )
-    assert apart.exceptAll(int_repo_daily_activity(events)).isEmpty()
-    assert apart.count() == int_repo_daily_activity(events).count()
+    assert apart.exceptAll(activity_of_events(events)).isEmpty()
+    assert apart.count() == activity_of_events(events).count()
 
 
 def test_staging_views_filter_by_type(spark):
@@ -111,7 +113,7 @@ def test_staging_views_filter_by_type(spark):
 
 def test_equal_scores_share_a_rank(spark, as_of):
     rows = [event("Watch", repo=repo) for repo in (1, 2, 3, 3)] + [event("Issues", repo=4)]
-    trending = mart_trending_repos(int_repo_daily_activity(frame(spark, rows)), as_of)
+    trending = mart_trending_repos(activity_of_events(frame(spark, rows)), as_of)
     assert by_key(trending, "repo_id", "daily_rank") == {3: (1,), 4: (2,), 1: (3,), 2: (3,)}
 
 
@@ -128,7 +130,7 @@ def test_trending_window_owners_and_ratios(spark, as_of):
         event("Fork", repo=7), event("PullRequest", repo=7), event("PullRequest", repo=7),
         event("Push", repo=8, actor=1), event("Push", repo=8, actor=2), event("Push", repo=9),
     ]
-    trending = mart_trending_repos(int_repo_daily_activity(frame(spark, rows)), as_of)
+    trending = mart_trending_repos(activity_of_events(frame(spark, rows)), as_of)
     ratios = by_key(
         trending, "repo_id", "fork_to_star_ratio", "pr_to_star_ratio", "has_community_contributors"
     )
@@ -139,7 +141,7 @@ def test_trending_window_owners_and_ratios(spark, as_of):
 
 
 def _by_topic(spark, as_of, rows, *records):
-    trending = mart_trending_repos(int_repo_daily_activity(frame(spark, rows)), as_of)
+    trending = mart_trending_repos(activity_of_events(frame(spark, rows)), as_of)
     return mart_trending_by_topic(trending, metadata(spark, *records))
 
 
@@ -218,7 +220,8 @@ def test_breakout_tiers(spark, as_of):
         *born(7, 3, 0), *born(8, 3, 5, name="github/new"), *born(9, 8, 500),
     ]
     events = frame(spark, rows)
-    report = mart_new_repo_breakout(events, int_repo_daily_activity(events), as_of)
+    signals = daily_signals(events)
+    report = mart_new_repo_breakout(signals, int_repo_daily_activity(signals), as_of)
     assert by_key(report, "repo_id", "age_days", "total_stars", "stars_per_day", "breakout_tier") == {
         1: (7, 500, 71.43, "instant_hit"), 2: (14, 200, 14.29, "fast_mover"),
         3: (30, 50, 1.67, "rising"), 4: (1, 49, 49.0, "early_stage"), 5: (0, 2, None, "early_stage"),

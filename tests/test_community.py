@@ -14,6 +14,7 @@ from forgepulse.operators.community import (
     mart_contributor_migration, mart_ecosystem_hourly, mart_fork_conversion, mart_org_scoreboard,
     mart_release_momentum, mart_viral_velocity,
 )
+from forgepulse.operators.activity import daily_signals
 from forgepulse.operators.profiles import int_contributor_profiles, int_org_activity
 
 DATA = "/root/testdata/sf0.001"
@@ -169,6 +170,11 @@ def test_migration_logins_bots_and_missing_orgs(spark, as_of):
     assert profiles[1] == (["a", "b"], None, None) and profiles[5] == (["a", "b"], "casual", 1)
 
 
+def _fork_conversion(spark, as_of, rows):
+    events = frame(spark, rows)
+    return mart_fork_conversion(events, daily_signals(events), as_of)
+
+
 def test_fork_health(spark, as_of):
     def repo(n, forks, requests):
         return [event("Fork", repo=n, actor=i) for i in range(forks)] + [
@@ -180,7 +186,7 @@ def test_fork_health(spark, as_of):
         event("Watch", repo=1, at=days_ago(200)), event("Fork", repo=4, at=days_ago(91)),
         *[event("Fork", repo=None, name="x/y") for _ in range(2)], event("Watch", repo=None, name="x/y"),
     ]
-    report = mart_fork_conversion(frame(spark, rows), as_of)
+    report = _fork_conversion(spark, as_of, rows)
     columns = ["fork_count", "pr_count", "star_count", "fork_to_pr_conversion", "community_health"]
     assert by_key(report, "repo_id", *columns) == {
         1: (4, 2, 1, 0.5, "thriving"), 2: (4, 1, 0, 0.25, "growing"), 3: (3, 0, 0, 0.0, "fork_graveyard"),
@@ -194,7 +200,7 @@ def test_fork_health(spark, as_of):
 def test_fork_counts_are_per_name_but_requests_per_repository(spark, as_of):
     rows = [event("Fork", name=name, actor=n) for name in ("a/old", "a/new") for n in range(2)]
     rows += [event("PullRequest", name=name, actor=1) for name in ("a/old", "a/new", "a/other")]
-    report = mart_fork_conversion(frame(spark, rows), as_of)
+    report = _fork_conversion(spark, as_of, rows)
     assert collected(report, "repo_name", "fork_count", "pr_count", "unique_pr_authors") == [
         ("a/new", 2, 3, 1), ("a/old", 2, 3, 1),
     ]

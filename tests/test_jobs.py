@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from forgepulse import binding
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
-from forgepulse.operators.activity import int_repo_daily_activity
+from forgepulse.operators.activity import activity_of_events
 from forgepulse.operators.enrichment import enrichment_candidates, metadata_upsert
 from forgepulse.operators.ingestion import (
     backfill_hours, ingest_hour, ingest_hours, load_hours, pending_hours,
@@ -132,7 +132,7 @@ def test_windowed_reads_prune_partitions(store, as_of):
     warehouse, folder = store
     land(folder, "2024-01-31-5", landed(1), landed(2, at="2023-01-01T00:00:00Z"))
     ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
-    activity = write_model(warehouse, ACTIVITY, int_repo_daily_activity(warehouse.events()))
+    activity = write_model(warehouse, ACTIVITY, activity_of_events(warehouse.events()))
     plan = mart_trending_repos(activity, as_of)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(activity_date" in plan
 
@@ -215,7 +215,7 @@ def test_pipeline_twice_with_late_hours(spark, store, as_of):
     run_pipeline(warehouse, as_of, str(folder))
     stored = read_model(warehouse, ACTIVITY)
     assert collected(stored, "activity_date", "stars") == [(date(2024, 1, 30), 7), (date(2024, 1, 31), 1)]
-    full = int_repo_daily_activity(warehouse.events())
+    full = activity_of_events(warehouse.events())
     assert stored.select(*full.columns).exceptAll(full).isEmpty()
     assert collected(warehouse.ledger(), "hour_key", "row_count") == [("2024-01-30-5", 6), ("2024-01-31-6", 2)]
     assert collected(read_model(warehouse, "mart_ai_ecosystem"), "stars_this_week") == [8]

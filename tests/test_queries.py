@@ -10,6 +10,8 @@ import pytest
 import __spark_entry__ as registry
 from forgepulse.binding import AS_OF, bound_events, bound_metadata, event_table
 from forgepulse.operators import community, profiles, trending
+from forgepulse.operators.activity import daily_signals
+from forgepulse.sources.storage import Scratch
 
 DATA = "/root/testdata/sf0.001"
 
@@ -77,9 +79,14 @@ def test_windows_prune_dates_and_columns(spark, name):
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
-def test_forks_take_one_pass(spark):
+def test_reports_over_all_history_read_daily_tables(spark):
+    """Of the events, the fork report reads the window's dates only."""
     _, events = event_table(spark, DATA)
-    assert _plan(community.mart_fork_conversion(events, AS_OF)).count("FileScan") == 1
+    signals = Scratch(spark).keep(daily_signals(events))
+    plan = _plan(community.mart_fork_conversion(events, signals, AS_OF))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and "PartitionFilters: [isnotnull(event_date" in scans[0]
+    assert "[repo_id#" in scans[1] and scans[1].index("stars#") < scans[1].index("Batched")
 
 
 def test_ai_filter_reaches_the_metadata(spark):

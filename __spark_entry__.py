@@ -175,7 +175,8 @@ def org_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trending_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the report's days of daily activity are built; a day needs no other day."""
     events = _events(spark, sf_dir).where(F.col("event_date") >= AS_OF.date_ago(30))
-    return trending.mart_trending_repos(activity_of_events(events), AS_OF)
+    scratch = Scratch(spark)
+    return trending.mart_trending_repos(scratch.keep(activity_of_events(events, scratch)), AS_OF)
 
 
 def _topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,59 +59,72 @@ def run_pipeline(
 ) -> list[str]:
     """Loads pending hours and fetched metadata records, then rebuilds every model.
 
-    The hours are logged after daily activity includes them, so a run that failed
+    The hours are logged after the daily tables include them, so a run that failed
     before is repeated as a whole. Models that do not need each other are submitted
-    together; Spark's scheduler shares the executors.
+    together, and Spark shares the executors between them, so that one model's last
+    tasks and commits overlap with the others' work.
     """
     scratch = Scratch(warehouse.spark)
     try:
         load = load_pending(warehouse, landing, as_of, scratch) if landing else None
         if records is not None:
             warehouse.replace_metadata(metadata_upsert(warehouse.metadata(), records))
-        refresh_daily_tables(warehouse, load, scratch)
-        if load:
-            log_hours(warehouse, load)
-        return [ACTIVITY, *create_views(warehouse.events()), *_build_models(warehouse, as_of)]
+        events, metadata = warehouse.events(), warehouse.metadata()
+
+        def stored(model: str) -> DataFrame:
+            return read_model(warehouse, model)
+
+        def build(**models: Callable[[], DataFrame]) -> Callable[[], list[str]]:
+            def write_each() -> list[str]:
+                for model, frame in models.items():
+                    write_model(warehouse, model, frame())
+                return list(models)
+            return write_each
+
+        def daily() -> list[str]:
+            refresh_daily_tables(warehouse, load, scratch)
+            return [ACTIVITY]
+
+        built = create_views(events)
+        with ThreadPool(CONCURRENCY) as pool:
+            for tasks in (
+                [
+                    daily,
+                    build(int_contributor_profiles=lambda: int_contributor_profiles(events, as_of)),
+                    build(
+                        int_org_activity=lambda: int_org_activity(events, as_of),
+                        mart_org_scoreboard=lambda: mart_org_scoreboard(stored("int_org_activity")),
+                    ),
+                    build(mart_release_momentum=lambda: mart_release_momentum(events, as_of)),
+                    build(mart_ecosystem_hourly=lambda: mart_ecosystem_hourly(events, as_of)),
+                    build(mart_viral_velocity=lambda: mart_viral_velocity(events, as_of)),
+                ],
+                [
+                    build(
+                        mart_trending_repos=lambda: mart_trending_repos(stored(ACTIVITY), as_of),
+                        mart_trending_by_topic=lambda: mart_trending_by_topic(
+                            stored("mart_trending_repos"), metadata
+                        ),
+                        mart_ai_ecosystem=lambda: mart_ai_ecosystem(
+                            stored("mart_trending_by_topic"), as_of
+                        ),
+                    ),
+                    build(mart_new_repo_breakout=lambda: mart_new_repo_breakout(
+                        stored(SIGNALS), stored(ACTIVITY), as_of
+                    )),
+                    build(mart_fork_conversion=lambda: mart_fork_conversion(
+                        events, stored(SIGNALS), as_of
+                    )),
+                    build(mart_contributor_migration=lambda: mart_contributor_migration(
+                        events, stored("int_contributor_profiles"), as_of
+                    )),
+                ],
+            ):
+                # A chunk per task: a free thread takes the next one.
+                for models in pool.map(lambda task: task(), tasks, chunksize=1):
+                    built += models
+                if load and daily in tasks:
+                    log_hours(warehouse, load)
+        return built
     finally:
         scratch.drop()
-
-
-def _build_models(warehouse: Warehouse, as_of: AsOf) -> list[str]:
-    events, metadata = warehouse.events(), warehouse.metadata()
-
-    def stored(model: str) -> DataFrame:
-        return read_model(warehouse, model)
-
-    # Each step's models use those of the steps before.
-    steps: list[dict[str, Callable[[], DataFrame]]] = [
-        {
-            "int_contributor_profiles": lambda: int_contributor_profiles(events, as_of),
-            "int_org_activity": lambda: int_org_activity(events, as_of),
-            "mart_trending_repos": lambda: mart_trending_repos(stored(ACTIVITY), as_of),
-            "mart_new_repo_breakout": lambda: mart_new_repo_breakout(
-                stored(SIGNALS), stored(ACTIVITY), as_of
-            ),
-            "mart_ecosystem_hourly": lambda: mart_ecosystem_hourly(events, as_of),
-            "mart_fork_conversion": lambda: mart_fork_conversion(events, stored(SIGNALS), as_of),
-            "mart_release_momentum": lambda: mart_release_momentum(events, as_of),
-            "mart_viral_velocity": lambda: mart_viral_velocity(events, as_of),
-        },
-        {
-            "mart_org_scoreboard": lambda: mart_org_scoreboard(stored("int_org_activity")),
-            "mart_contributor_migration": lambda: mart_contributor_migration(
-                events, stored("int_contributor_profiles"), as_of
-            ),
-            "mart_trending_by_topic": lambda: mart_trending_by_topic(
-                stored("mart_trending_repos"), metadata
-            ),
-        },
-        {
-            "mart_ai_ecosystem": lambda: mart_ai_ecosystem(stored("mart_trending_by_topic"), as_of),
-        },
-    ]
-    built: list[str] = []
-    with ThreadPool(CONCURRENCY) as pool:
-        for step in steps:
-            pool.map(lambda model: write_model(warehouse, model, step[model]()), list(step))
-            built += step
-    return built

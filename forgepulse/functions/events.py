@@ -69,7 +69,16 @@ def utc_wall_clock(instant: Column) -> Column:
 
 
 def as_instant(events: DataFrame, column: str) -> Column:
-    """The column as a zoned timestamp, the only type a watermark accepts."""
+    """The column as a zoned timestamp, the only type a watermark accepts.
+
+    A wall-clock time is taken as UTC, whatever the session time zone.
+    """
     if isinstance(events.schema[column].dataType, T.TimestampType):
         return F.col(column)
-    return F.col(column).cast("timestamp")
+    since_epoch = F.col(column) - F.lit(EPOCH).cast("timestamp_ntz")
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), since_epoch)
+
+    minutes = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return F.timestamp_seconds(minutes * 60 + part("SECOND"))

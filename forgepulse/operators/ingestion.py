@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
+from forgepulse.operators.quality import observe_nulls
 from forgepulse.schema import EVENTS
 from forgepulse.sources.landing import quarantined, read_landed
 from forgepulse.sources.storage import Scratch
@@ -56,10 +57,12 @@ def one_per_event(events: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Load:
-    """What a load covered: its ledger entries and the event dates it may have changed."""
+    """What a load covered: its ledger entries, the event dates it may have changed, and
+    the nulls among the stored rows in each column that must not have any."""
 
     entries: DataFrame
     dates: list[date]
+    null_failures: dict[str, int] = field(default_factory=dict)
 
 
 def load_hours(
@@ -83,8 +86,12 @@ def load_hours(
     batch = landed.where(F.col("unusable").isNull())
     dates = [row.event_date for row in batch.select("event_date").distinct().collect()]
     stored = warehouse.events().where(F.col("event_date").isin(dates)).select("event_id")
-    warehouse.append_events(one_per_event(batch).join(stored, "event_id", "left_anti"))
-    return Load(_entries(hours, batch, as_of), sorted(dates))
+    nulls = Observation()
+    warehouse.append_events(
+        one_per_event(batch).join(stored, "event_id", "left_anti"),
+        last_step=lambda rows: observe_nulls(rows, nulls),
+    )
+    return Load(_entries(hours, batch, as_of), sorted(dates), nulls.get)
 
 
 def _entries(hours: DataFrame, batch: DataFrame | None, as_of: AsOf) -> DataFrame:

@@ -20,9 +20,11 @@ def dq_not_null(df: DataFrame, table: str, columns: Sequence[str] = REQUIRED) ->
 
 
 def observe_nulls(
-    df: DataFrame, columns: Sequence[str] = REQUIRED
-) -> tuple[DataFrame, Observation]:
-    """The same counts taken while the frame is written, at no extra pass."""
-    observation = Observation()
-    nulls = [F.count_if(F.col(name).isNull()).alias(name) for name in columns]
-    return df.observe(observation, *nulls), observation
+    df: DataFrame, observation: Observation, columns: Sequence[str] = REQUIRED
+) -> DataFrame:
+    """The frame, with the same counts taken by `observation` while it is written.
+
+    To be the last step before the write: where adaptive execution finds an input
+    empty, it drops the steps below, and what they would have observed.
+    """
+    return df.observe(observation, *[F.count_if(F.col(name).isNull()).alias(name) for name in columns])

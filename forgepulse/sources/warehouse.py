@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,18 +53,22 @@ class Warehouse:
                 return f"{folder}/{name}"
         return None
 
-    def append_events(self, events: DataFrame) -> None:
+    def append_events(
+        self, events: DataFrame, last_step: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    ) -> None:
         """Adds events to their dates.
 
         Rebalancing by date keeps a small hour in one file and lets adaptive execution
         split a large date over many tasks. Sorting by type gives each file's row groups
         narrow type ranges, which filters on the type can skip by.
         """
-        (
+        rows = (
             events.select(*EVENTS.names)
             .hint("rebalance", "event_date")
             .sortWithinPartitions("event_date", "event_type", "repo_id")
-            .write.mode("append").partitionBy("event_date").parquet(self.path(EVENTS_TABLE))
+        )
+        last_step(rows).write.mode("append").partitionBy("event_date").parquet(
+            self.path(EVENTS_TABLE)
         )
 
     def append_ledger(self, entries: DataFrame) -> None:

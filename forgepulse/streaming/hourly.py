@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.functions.events import as_instant
+from forgepulse.functions.events import as_instant, utc_wall_clock
 from forgepulse.operators.community import hourly_ratios
 
 
@@ -37,7 +37,7 @@ def stream_hourly(events: DataFrame, delay: str) -> DataFrame:
             F.count_if(a_repo & known).alias("unique_repos"),
         )
         .select(
-            F.col("hour.start").cast("timestamp_ntz").alias("activity_hour"), "event_type",
+            utc_wall_clock(F.col("hour.start")).alias("activity_hour"), "event_type",
             "event_count", "unique_actors", "unique_repos",
         )
     )

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import NOW, by_key, collected, days_ago, event, frame, metadata
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from forgepulse import binding
@@ -113,6 +114,17 @@ def test_event_in_a_later_load_is_not_stored_again(store, as_of):
     ]
 
 
+def test_nulls_are_counted_while_loading(store, as_of):
+    """Rows with nulls are stored and reported, once."""
+    warehouse, folder = store
+    land(folder, "2024-01-31-5", landed(1), landed(2, kind=None), landed(3, repo={"id": 1}))
+    expected = {"event_id": 0, "event_type": 1, "repo_name": 1}
+    assert ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of).null_failures == expected
+    again = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+    assert again.null_failures == dict.fromkeys(expected, 0)
+    assert warehouse.events().count() == 3
+
+
 def test_backfill_equals_the_hours_one_by_one(spark, store, tmp_path, as_of):
     warehouse, folder = store
     keys = []
@@ -192,8 +204,8 @@ def test_null_checks(spark, tmp_path):
     failures = {"event_id": 0, "event_type": 1, "repo_name": 1}
     report = dq_not_null(frame(spark, rows), "events")
     assert {row.column_name: row.failures for row in report.collect()} == failures
-    watched, observation = observe_nulls(frame(spark, rows))
-    watched.write.parquet(str(tmp_path / "out"))
+    observation = Observation()
+    observe_nulls(frame(spark, rows), observation).write.parquet(str(tmp_path / "out"))
     assert observation.get == failures
 
 

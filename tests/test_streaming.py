@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import gzip
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import collected, event, frame
 from pyspark.sql import functions as F
 from test_jobs import land, landed
 
 from forgepulse.clock import AsOf
+from forgepulse.functions.events import as_instant, hour_key, hour_start, utc_wall_clock
 from forgepulse.operators.community import mart_ecosystem_hourly
 from forgepulse.schema import EVENTS
 from forgepulse.sources.landing import stream_landed
@@ -41,7 +42,26 @@ def test_stream_ingest_deduplicates_and_drops_late_events(spark, tmp_path):
     assert run() == [*first, (4, "2024-01-31-9")]
 
 
-def test_stream_hours_equal_batch_hours(spark, tmp_path):
+@pytest.fixture(params=["UTC", "Asia/Kolkata"])
+def time_zone(spark, request):
+    """A session time zone, which must not matter."""
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_times_are_utc_in_any_session(spark, time_zone):
+    events = frame(spark, [event("Push", at=datetime(2024, 3, 31, 2, 30, 0, 123456))])
+    instant = as_instant(events, "created_at")
+    row = events.select(
+        F.unix_micros(instant).alias("micros"), utc_wall_clock(instant).alias("again"),
+        hour_start("created_at").alias("hour"), hour_key("created_at").alias("key"),
+    ).first()
+    assert row.micros == 1711852200123456 and row.again == datetime(2024, 3, 31, 2, 30, 0, 123456)
+    assert row.hour == datetime(2024, 3, 31, 2) and row.key == "2024-03-31-2"
+
+
+def test_stream_hours_equal_batch_hours(spark, tmp_path, time_zone):
     start = datetime(2024, 1, 31)
     rows = [
         event(kind, repo=n % 5, actor=None if n % 11 == 0 else n % 7, at=start + timedelta(minutes=7 * n))
@@ -76,9 +96,3 @@ def test_stream_hours_drop_what_comes_after_the_watermark(spark, tmp_path):
     assert add(10, 20, 150) == [(start, 2)]
     # The hour at 00:00 is closed; the one at 01:00 is still open.
     assert add(30, 100, 300) == [(start, 2), (start + timedelta(hours=1), 1), (start + timedelta(hours=2), 1)]
-
-
-def test_gzip_is_read_by_name(tmp_path):
-    land(tmp_path, "2024-01-31-5", landed(1))
-    with gzip.open(tmp_path / "2024-01-31-5.json.gz", "rt") as file:
-        assert file.read().count("\n") == 1

@@ -232,7 +232,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return ai_ecosystem(spark, "/root/testdata/sf0.001")
 
 
+# The corpus operators are an optional subpackage: without it the other queries stay.
+try:
+    from forgepulse.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name != "forgepulse.llm":
+        raise
+    corpus = None
+
+
 def queries() -> dict[str, Query]:
+    return own_queries() | (corpus.QUERIES if corpus else {})
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "raw_events": raw_events,
         "repo_metadata": repo_metadata,
@@ -277,10 +290,10 @@ def _with_inputs(name: str, texts: dict[str, str], done: dict[str, str]) -> None
 def oracle_sql() -> dict[str, str]:
     texts = {path.stem: path.read_text().strip() for path in sorted(ORACLE.glob("*.sql"))}
     result = {}
-    for name in queries():
+    for name in own_queries():
         chain: dict[str, str] = {}
         _with_inputs(name, texts, chain)
         body = chain.pop(name)
         inputs = ",\n".join(f"{other} as (\n{text}\n)" for other, text in chain.items())
         result[name] = f"with {inputs}\nselect * from (\n{body}\n)"
-    return result
+    return result | (corpus.ORACLE if corpus else {})

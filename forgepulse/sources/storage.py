@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
-
-
 def _open(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
@@ -36,18 +30,17 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`.
+    """The folder all executors share: `spark.checkpoint.dir`, else below the warehouse.
 
-    Only a session that names none, as in tests, gets a local temporary folder.
+    Both are shared storage on a cluster; a machine's own folder is never chosen.
     """
-    global _local_root
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="forgepulse-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 class Scratch:
@@ -64,13 +57,26 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        path = self.path(uuid.uuid4().hex)
+    def keep(
+        self, df: DataFrame, partition_by: Sequence[str] = (), name: str | None = None
+    ) -> DataFrame:
+        path = self.path(name or uuid.uuid4().hex)
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def discard(self, *names: str) -> None:
+        """Deletes results kept under these names, which nothing reads any more."""
+        for name in names:
+            drop_folder(self.spark, self.path(name))
+
     def drop(self) -> None:
         drop_folder(self.spark, self.root)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()

@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("catalog")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

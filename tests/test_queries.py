@@ -37,13 +37,13 @@ def _sorted_rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
-    assert len(registry.queries()) == 33
+    assert set(registry.own_queries()) <= set(registry.oracle_sql())
+    assert len(registry.own_queries()) == 33
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.own_queries()))
 def test_query_equals_its_sql(spark, duck, name):
-    ours = registry.queries()[name](spark, DATA)
+    ours = registry.own_queries()[name](spark, DATA)
     result = duck.execute(registry.oracle_sql()[name])
     names = [column[0] for column in result.description]
     types = {column[0]: str(column[1]) for column in result.description}

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,9 +169,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predicted(texts: Iterator) -> Iterator:
-        import pandas as pd
-
+    def predicted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield pd.DataFrame(
                 [sent.value.predict(text) for text in batch], columns=["lang_pred", "score", "rejected"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +16,8 @@ from forgepulse.llm.common import NO_ID, known_id, original_id
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-# Units remembered per generation in a Python worker.
-REMEMBERED = 300_000
+# Words remembered per generation in a Python worker.
+REMEMBERED = 200_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(64 << 20),
@@ -26,14 +28,95 @@ ORC_OPTIONS = {
 }
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter a byte-level vocabulary writes each byte as: printable Latin-1 characters
+    stand for themselves, the other bytes for the characters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+class Unsafe(ValueError):
+    """A text whose pieces might not be encoded alike alone."""
+
+
+class Units(dict):
+    """The ids of words that follow a space, found out by the tokenizer when first met.
+
+    Of two generations the older is forgotten when the younger is full.
+    """
+
+    letters = _byte_letters()
+
+    def __init__(self, tokenizer, remembered: int):
+        super().__init__()
+        self.tokenizer, self.model, self.remembered = tokenizer, tokenizer.model, remembered
+        self.old: dict[str, bytes] = {}
+        self.line_feed = self.whole("\n")
+        self.marks = {mark: self.whole(mark) for mark in ".,"}
+
+    def whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.old.get(unit)
+        if ids is None:
+            ids = self._encoded(unit)
+        if "\n" not in unit:
+            self[unit] = ids
+        return ids
+
+    def _encoded(self, unit: str) -> bytes:
+        # Without digits, marks and rare letters the word is one pre-token, which goes to
+        # the model at once.
+        if unit.isalpha() and max(unit) < "\u0250":
+            return self._merged(" " + unit)
+        if unit[-1:] in self.marks and (stem := unit[:-1]).isalpha():
+            return self[stem] + self.marks[unit[-1]]
+        words = unit.split()
+        if words == [unit] and "<|" not in unit:
+            return self.whole(" " + unit)
+        lines = unit.split("\n")
+        if words == lines and "<|" not in unit:
+            rest = (self.first(line) for line in lines[1:])
+            return self.line_feed.join([self[lines[0]], *rest])
+        # Two spaces, one at an edge or other white space: they might join.
+        raise Unsafe(unit)
+
+    def first(self, word: str) -> bytes:
+        """The ids of a word that no space precedes."""
+        key = "\n" + word
+        ids = self.get(key) or self.old.get(key)
+        if ids is None:
+            if not word or word.split() != [word] or "<|" in word:
+                raise Unsafe(word)
+            ids = self[key] = self.whole(word)
+        return ids
+
+    def _merged(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return _packed([token.id for token in self.model.tokenize(spelled)])
+
+    def age(self) -> None:
+        if len(self) > self.remembered:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
-    """Encodes texts unit by unit, remembering the ids of each unit.
+    """Encodes texts word by word, remembering the ids of each word.
 
     The tokenizer never merges over the place before a single space between two other
-    characters, nor on either side of a single line feed between two others. A text of
-    such separators only is cut there, and each unit (a word with its space) is encoded
-    by the tokenizer once and then looked up. Any other text is encoded as a whole. The
-    older of two generations of units is forgotten when the younger is full.
+    characters, nor on either side of a single line feed between two others. A text with
+    no other white space is cut there, and each word is encoded by the tokenizer once and
+    then looked up. Any other text, or one with a special token's mark, is encoded whole.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -41,61 +124,22 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.line_feed = self._encoded(["\n"])[0]
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
-
-    def _special(self, text: str) -> bool:
-        return "<|" in text
-
-    def _units(self, text: str) -> list[list[str]] | None:
-        """The units of each line, or None for a text that must be encoded as a whole."""
-        if not text or self._special(text):
-            return None
-        lines = []
-        for line in text.split("\n"):
-            units = line.split(" ")
-            # A second space, a space at an edge or other white space might join.
-            if line.split() != units or not units:
-                return None
-            lines.append(units)
-        return lines
+        self.units = Units(Tokenizer.from_file(path), remembered)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self._units(text) for text in texts]
-        missing: dict[str, None] = {}
-        young, old = self.young, self.old
-        for lines in cut:
-            for units in lines or ():
-                head = "\n" + units[0]
-                for unit in (head, *units[1:]):
-                    if unit not in young:
-                        if unit in old:
-                            young[unit] = old[unit]
-                        else:
-                            missing[unit] = None
-        if missing:
-            # A first unit stands without a space, the others with one.
-            own = [unit[1:] if unit[0] == "\n" else " " + unit for unit in missing]
-            young.update(zip(missing, self._encoded(own), strict=True))
-        whole = iter(self._encoded([t for t, lines in zip(texts, cut, strict=True) if lines is None]))
-        found, line_feed = young.__getitem__, self.line_feed
-        result = [
-            next(whole) if lines is None else line_feed.join(
-                [b"".join([found("\n" + units[0]), *map(found, units[1:])]) for units in lines]
-            )
-            for lines in cut
-        ]
-        if len(young) > self.remembered:
-            self.young, self.old = {}, young
-        return result
+        return [self._one(text) for text in texts]
+
+    def _one(self, text: str) -> bytes:
+        units = self.units
+        units.age()
+        head, *rest = text.split(" ")
+        try:
+            start, *lines = head.split("\n")
+            begun = units.line_feed.join([units.first(start), *map(units.first, lines)])
+            return begun + b"".join(map(units.__getitem__, rest))
+        except Unsafe:
+            return units.whole(text)
 
 
 _encoders: dict[str, Encoder] = {}

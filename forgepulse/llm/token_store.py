@@ -17,7 +17,7 @@ from forgepulse.llm.common import NO_ID, known_id, original_id
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 # Words remembered per generation in a Python worker.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(64 << 20),
@@ -92,7 +92,8 @@ class Units(dict):
 
     def first(self, word: str) -> bytes:
         """The ids of a word that no space precedes."""
-        key = "\n" + word
+        # No word holds a space, so this is a key of its own.
+        key = " " + word
         ids = self.get(key) or self.old.get(key)
         if ids is None:
             if not word or word.split() != [word] or "<|" in word:

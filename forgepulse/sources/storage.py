@@ -67,6 +67,12 @@ class Scratch:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def inner(self) -> Scratch:
+        """A folder within this one, so that an operator can be used twice with one scratch."""
+        folder = Scratch(self.spark)
+        folder.root = self.path(uuid.uuid4().hex)
+        return folder
+
     def discard(self, *names: str) -> None:
         """Deletes results kept under these names, which nothing reads any more."""
         for name in names:

@@ -56,26 +56,27 @@ def positions(
     rows of its key in earlier partitions. Only that list, a row per key and partition,
     passes through a window. Rows equal in keys and order get places in any order.
     """
+    columns = [column for column in df.columns if column != into]
     ranged = (
         df.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         # The partition in the upper 31 bits, the row's number in it below.
-        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("__row", F.monotonically_increasing_id())
     )
-    rows = scratch.keep(ranged, name=f"{name}-rows").withColumn("_part", F.shiftright("_row", 33))
-    so_far = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    rows = scratch.keep(ranged, name=f"{name}-rows").withColumn("__part", F.shiftright("__row", 33))
+    so_far = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     heads = (
-        rows.groupBy(*keys, "_part")
-        .agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(so_far), F.lit(0)))
-        .drop("_rows")
+        rows.groupBy(*keys, "__part")
+        .agg(F.min("__row").alias("__first"), F.count("*").alias("__rows"))
+        .withColumn("__before", F.coalesce(F.sum("__rows").over(so_far), F.lit(0)))
+        .drop("__rows")
     )
     # Written, so that the planner knows its size before it chooses a join.
     heads = scratch.keep(heads, name=f"{name}-heads")
     return (
-        rows.join(heads, same(rows, heads, [*keys, "_part"]))
+        rows.join(heads, same(rows, heads, [*keys, "__part"]))
         .select(
-            *[rows[column] for column in df.columns],
-            (F.col("_row") - F.col("_first") + F.col("_before")).alias(into),
+            *[rows[column] for column in columns],
+            (F.col("__row") - F.col("__first") + F.col("__before")).alias(into),
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.llm.common import SPACES, known_id, original_id
@@ -34,6 +34,7 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     Null texts count as empty, which are equal to each other. A null doc_id comes after
     all others. Of rows with the same text and doc_id one stays. The digest is output only.
     """
+    scratch = scratch.inner()
     text = F.col("text").cast("binary")
     base = scratch.keep(
         docs.select(known_id(F.col("doc_id")).alias("did"), normalised(F.col("text")).alias("norm"))

@@ -18,7 +18,7 @@ CLUSTERS = 4
 SAMPLE_PER_LANGUAGE = 500
 # A document is rejected if its cosine is under this part of the lowest tenth of a
 # percent among the documents learned from.
-SLACK = 0.5
+SLACK = 0.25
 UNKNOWN = "und"
 SEED = 42
 # Bytes of a text counted at a time.

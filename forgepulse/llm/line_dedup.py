@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import ascii_lower, known_id, original_id
+from forgepulse.llm.common import ascii_lower, known_id
 from forgepulse.sources.storage import Scratch
 
 MIN_CHARS = 10
@@ -94,6 +94,7 @@ def keep_bitmaps(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS)
     A document is a doc_id (rows with the same id and text are the same document; a null
     id counts as one document after all others). Lines shorter than `min_chars` stay.
     """
+    scratch = scratch.inner()
     lines = scratch.keep(line_hashes(docs, min_chars), name="lines")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("pos") % 64)
     words = (
@@ -101,10 +102,13 @@ def keep_bitmaps(docs: DataFrame, scratch: Scratch, min_chars: int = MIN_CHARS)
         .groupBy("did", "version", F.floor(F.col("pos") / 64).cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("dropped"))
     )
-    return words.groupBy("did", "version").agg(
+    bitmaps = words.groupBy("did", "version").agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.bitwise_not("dropped")))).alias("keep"),
         F.sum(F.bit_count("dropped")).cast("bigint").alias("n_dropped"),
     )
+    bitmaps = scratch.keep(bitmaps, name="bitmaps")
+    scratch.discard("lines")
+    return bitmaps
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:

@@ -78,24 +78,25 @@ def mix(
     A source of size 0 has target 0 and takes nothing. A null source is a source of its
     own. Repeated rows are separate rows. Columns named as the results are replaced.
     """
+    scratch = scratch.inner()
     size = word_count(F.col("text")) if size is None else size
     sized = docs.withColumn("size", size)
-    placed = positions(sized, ["source"], ["size", "doc_id"], scratch, "mix")
+    placed = positions(sized, ["source"], ["size", "doc_id"], scratch, "mix", "__place")
     targets = scratch.keep(source_targets(
         placed.select("source", "size"), weights, share, ceiling
     ), name="mix-targets")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(
         F.lit(0.0)
     )
-    start = F.col("position") * F.col("expected") + F.col("offset")
-    end = (F.col("position") + 1) * F.col("expected") + F.col("offset")
+    start = F.col("__place") * F.col("__expected") + F.col("__offset")
+    end = (F.col("__place") + 1) * F.col("__expected") + F.col("__offset")
     kept = [name for name in sized.columns if name not in ("source_size", "target", "copies")]
     return (
         placed.join(targets, same(placed, targets, ["source"]))
         .select(
-            *[placed[name] for name in kept], placed["position"], targets["source_size"],
-            targets["target"], expected.alias("expected"),
-            offset(placed["source"], seed).alias("offset"),
+            *[placed[name] for name in kept], placed["__place"], targets["source_size"],
+            targets["target"], expected.alias("__expected"),
+            offset(placed["source"], seed).alias("__offset"),
         )
         .select(
             *kept, "source_size", "target", (F.floor(end) - F.floor(start)).alias("copies")

@@ -73,9 +73,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scratch = Scratch(spark)
-    bitmaps = scratch.keep(line_dedup.keep_bitmaps(docs, scratch), name="bitmaps")
-    scratch.discard("lines")
+    bitmaps = line_dedup.keep_bitmaps(docs, Scratch(spark))
     return line_dedup.apply_bitmaps(docs, bitmaps).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )

@@ -11,7 +11,7 @@ from forgepulse.llm.common import known_id, original_id, positions
 from forgepulse.sources.storage import Scratch
 
 SHARDS = 16
-ROUNDS = 8
+ROUNDS = 12
 SEED = 42
 # Requests are admitted in this many random portions per pair of shards.
 PORTIONS = 256
@@ -49,11 +49,14 @@ def _admissible(asked: dict[tuple[int, int], int], free: dict[int, int]) -> dict
     into: dict[int, int] = {}
     for (_, b), rows in one_way.items():
         into[b] = into.get(b, 0) + rows
-    return {
-        (a, b): rows - one_way[a, b]
-        + min(one_way[a, b], max(0, free.get(b, 0)) * one_way[a, b] // max(1, into[b]))
-        for (a, b), rows in asked.items()
-    }
+    admitted = {}
+    for (a, b), rows in sorted(asked.items()):
+        # In proportion to what is still asked and free, so that no room is lost by rounding.
+        asks, room = one_way[a, b], max(0, free.get(b, 0))
+        fits = min(asks, -(-room * asks // max(1, into[b])))
+        free, into[b] = free | {b: room - fits}, into[b] - asks
+        admitted[a, b] = rows - asks + fits
+    return admitted
 
 
 def propagate(
@@ -141,6 +144,7 @@ def shard(
     or no doc_id are separate rows. An empty table gives an empty result. Returns
     doc_id, size, text_crc32, shard, slot.
     """
+    scratch = scratch.inner()
     base = scratch.keep(described(docs).withColumn("start", _hashed(shards, "did")), name="base")
     total = base.count()
     capacity = {b: total // shards + (b < total % shards) for b in range(shards)}

@@ -321,6 +321,7 @@ def near_duplicates(
     component_id is null only among its like. Repeated rows are one node with several
     rows in the result. Copies are one fingerprint, so they are never paired.
     """
+    scratch = scratch.inner()
     prints = scratch.keep(fingerprints(docs, words, seed), name="prints")
     nodes = scratch.keep(
         prints.groupBy("fp").agg(F.min("did").alias("node")), name="nodes"

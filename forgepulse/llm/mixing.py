@@ -80,7 +80,7 @@ def mix(
     """
     scratch = scratch.inner()
     size = word_count(F.col("text")) if size is None else size
-    sized = docs.withColumn("size", size)
+    sized = docs.drop("source_size", "target", "copies").withColumn("size", size)
     placed = positions(sized, ["source"], ["size", "doc_id"], scratch, "mix", "__place")
     targets = scratch.keep(source_targets(
         placed.select("source", "size"), weights, share, ceiling

@@ -17,7 +17,6 @@ from forgepulse.operators import community, enrichment, ingestion, profiles, qua
 from forgepulse.operators.activity import activity_of_events, daily_signals, int_repo_daily_activity
 from forgepulse.plans import layers, pipeline
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
-from forgepulse.sources.landing import stream_landed
 from forgepulse.sources.storage import Scratch
 from forgepulse.sources.warehouse import Warehouse, landed_hours
 from forgepulse.streaming import hourly, ingest
@@ -136,13 +135,16 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded in at least three micro-batches, then once more from the same checkpoint."""
     scratch = Scratch(spark)
-    landed = stream_landed(spark, _land(spark, sf_dir))
-    path = scratch.path("events")
-    ingest.write_available(
-        ingest.deduplicated(landed, "2 hours"), path, scratch.path("state"), ("event_date",)
-    ).awaitTermination()
-    return spark.read.schema(EVENTS).parquet(path).select(*EVENT_COLUMNS)
+    folder = _land(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch.path("warehouse"))
+    files = -(-len(landed_hours(spark, folder)) // 3)
+    for _ in range(2):
+        ingest.load_available(
+            warehouse, folder, AS_OF, scratch.path("state"), files
+        ).awaitTermination()
+    return warehouse.events().select(*EVENT_COLUMNS)
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ class Load:
 
 
 def load_hours(
-    warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf, scratch: Scratch | None = None
+    warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf, scratch: Scratch
 ) -> Load:
     """Loads landed hours in one pass and returns the entries to log once all is done.
 
@@ -74,7 +74,6 @@ def load_hours(
     An event keeps its creation time in every file, so only the stored dates that
     occur in the batch are compared. The collected list holds days, not rows.
     """
-    scratch = scratch or Scratch(warehouse.spark)
     paths = landed_hours(warehouse.spark, folder)
     present = [key for key in keys if key in paths]
     hours = hour_frame(warehouse.spark, present)
@@ -82,15 +81,27 @@ def load_hours(
         return Load(_entries(hours, None, as_of), [])
     # Compressed JSON cannot be split or pruned; it is read once.
     landed = scratch.keep(read_landed(warehouse.spark, [paths[key] for key in present]))
+    return load_landed(warehouse, landed, hours, as_of)
+
+
+def load_landed(warehouse: Warehouse, landed: DataFrame, hours: DataFrame, as_of: AsOf) -> Load:
+    """Loads landed records, which are read several times, of the given hours.
+
+    The dates are recorded as touched before the first row is stored, so that a refresh
+    takes them in whatever happens in between, and again after the last, for a refresh
+    that ran meanwhile.
+    """
     warehouse.replace_quarantine(quarantined(landed))
     batch = landed.where(F.col("unusable").isNull())
     dates = [row.event_date for row in batch.select("event_date").distinct().collect()]
+    warehouse.touch(dates)
     stored = warehouse.events().where(F.col("event_date").isin(dates)).select("event_id")
     nulls = Observation()
     warehouse.append_events(
         one_per_event(batch).join(stored, "event_id", "left_anti"),
         last_step=lambda rows: observe_nulls(rows, nulls),
     )
+    warehouse.touch(dates)
     return Load(_entries(hours, batch, as_of), sorted(dates), nulls.get)
 
 
@@ -108,17 +119,39 @@ def _entries(hours: DataFrame, batch: DataFrame | None, as_of: AsOf) -> DataFram
     )
 
 
-def log_hours(warehouse: Warehouse, load: Load) -> None:
-    """Adds the entries of hours not logged before."""
+class NullsFound(ValueError):
+    """Stored rows without a value in columns that must have one."""
+
+
+def check_nulls(load: Load) -> None:
+    """Fails for a load with nulls in required columns, as their declared tests do."""
+    failures = {name: count for name, count in load.null_failures.items() if count}
+    if failures:
+        raise NullsFound(f"nulls in required columns: {failures}")
+
+
+def log_hours(warehouse: Warehouse, load: Load, only_report_nulls: bool = False) -> None:
+    """Adds the entries of hours not logged before.
+
+    With nulls in required columns the hours stay pending and the run fails, unless
+    `only_report_nulls` leaves it to the reader of `Load.null_failures`.
+    """
+    if not only_report_nulls:
+        check_nulls(load)
     warehouse.append_ledger(pending_hours(load.entries, warehouse.ledger()))
 
 
-def ingest_hours(warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf) -> Load:
+def ingest_hours(
+    warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf, only_report_nulls: bool = False
+) -> Load:
     """Loads and logs landed hours; an hour without a file stays pending."""
-    load = load_hours(warehouse, folder, keys, as_of)
-    log_hours(warehouse, load)
+    with Scratch(warehouse.spark) as scratch:
+        load = load_hours(warehouse, folder, keys, as_of, scratch)
+        log_hours(warehouse, load, only_report_nulls)
     return load
 
 
-def ingest_hour(warehouse: Warehouse, folder: str, key: str, as_of: AsOf) -> Load:
-    return ingest_hours(warehouse, folder, [key], as_of)
+def ingest_hour(
+    warehouse: Warehouse, folder: str, key: str, as_of: AsOf, only_report_nulls: bool = False
+) -> Load:
+    return ingest_hours(warehouse, folder, [key], as_of, only_report_nulls)

@@ -144,7 +144,8 @@ def mart_new_repo_breakout(signals: DataFrame, activity: DataFrame, as_of: AsOf)
         .where(~F.col("owner").isin(rules.EXCLUDED_OWNERS))
     )
     totals = (
-        activity.groupBy("repo_id")
+        # Only the newborn repositories' days are added up.
+        activity.join(created.select("repo_id"), "repo_id", "left_semi").groupBy("repo_id")
         .agg(
             F.sum("stars").alias("total_stars"),
             F.sum("pushes").alias("total_pushes"),

@@ -15,7 +15,7 @@ from forgepulse.operators.community import (
     mart_release_momentum, mart_viral_velocity,
 )
 from forgepulse.operators.enrichment import metadata_upsert
-from forgepulse.operators.ingestion import Load, load_hours, log_hours, pending_hours
+from forgepulse.operators.ingestion import Load, check_nulls, load_hours, log_hours, pending_hours
 from forgepulse.operators.profiles import int_contributor_profiles, int_org_activity
 from forgepulse.operators.trending import (
     mart_ai_ecosystem, mart_new_repo_breakout, mart_trending_by_topic, mart_trending_repos,
@@ -37,14 +37,16 @@ def load_pending(warehouse: Warehouse, folder: str, as_of: AsOf, scratch: Scratc
     return load_hours(warehouse, folder, sorted(keys), as_of, scratch)
 
 
-def refresh_daily_tables(warehouse: Warehouse, load: Load | None, scratch: Scratch) -> None:
-    """Rebuilds the daily tables: the dates of a load, or all when they are not there yet.
+def refresh_daily_tables(warehouse: Warehouse, scratch: Scratch) -> None:
+    """Rebuilds the daily tables: the dates touched since the last refresh by any load,
+    or all when the tables are not there yet.
 
     With daily counts stored, reports over all history need not read all events again.
     """
+    names, touched = warehouse.touched()
     events, dates = warehouse.events(), None
-    if load is not None and all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY)):
-        dates = load.dates
+    if all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY)):
+        dates = touched
         if not dates:
             return
         events = events.where(F.col("event_date").isin(dates))
@@ -52,10 +54,12 @@ def refresh_daily_tables(warehouse: Warehouse, load: Load | None, scratch: Scrat
     if dates is not None:
         signals = signals.where(F.col("activity_date").isin(dates))
     write_model(warehouse, ACTIVITY, int_repo_daily_activity(signals, scratch), dates)
+    warehouse.refreshed(names)
 
 
 def run_pipeline(
-    warehouse: Warehouse, as_of: AsOf, landing: str | None = None, records: DataFrame | None = None
+    warehouse: Warehouse, as_of: AsOf, landing: str | None = None, records: DataFrame | None = None,
+    only_report_nulls: bool = False,
 ) -> list[str]:
     """Loads pending hours and fetched metadata records, then rebuilds every model.
 
@@ -67,6 +71,8 @@ def run_pipeline(
     scratch = Scratch(warehouse.spark)
     try:
         load = load_pending(warehouse, landing, as_of, scratch) if landing else None
+        if load and not only_report_nulls:
+            check_nulls(load)
         if records is not None:
             warehouse.replace_metadata(metadata_upsert(warehouse.metadata(), records))
         events, metadata = warehouse.events(), warehouse.metadata()
@@ -82,7 +88,7 @@ def run_pipeline(
             return write_each
 
         def daily() -> list[str]:
-            refresh_daily_tables(warehouse, load, scratch)
+            refresh_daily_tables(warehouse, scratch)
             return [ACTIVITY]
 
         built = create_views(events)
@@ -124,7 +130,7 @@ def run_pipeline(
                 for models in pool.map(lambda task: task(), tasks, chunksize=1):
                     built += models
                 if load and daily in tasks:
-                    log_hours(warehouse, load)
+                    log_hours(warehouse, load, only_report_nulls)
         return built
     finally:
         scratch.drop()

@@ -46,9 +46,11 @@ def read_landed(spark, paths: list[str]) -> DataFrame:
     return landed_events(spark.read.schema(LANDED).json(paths))
 
 
-def stream_landed(spark, path: str) -> DataFrame:
-    """A folder of landed files as a stream."""
+def stream_landed(spark, path: str, max_files: int | None = None) -> DataFrame:
+    """A folder of landed files as a stream, of `max_files` in a batch at most."""
     reader = spark.readStream.schema(LANDED).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return landed_events(reader.json(path))
 
 

@@ -29,6 +29,24 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, location = _open(spark, path)
+    stream = files.create(location, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, location = _open(spark, path)
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: `spark.checkpoint.dir`, else below the warehouse.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from pyspark.sql import types as T
 
 from forgepulse.schema import EVENTS, LEDGER, METADATA, QUARANTINE
 from forgepulse.sources.landing import HOUR_IN_NAME
-from forgepulse.sources.storage import child_names, exists
+from forgepulse.sources.storage import child_names, drop_folder, exists, read_text, write_text
 
 EVENTS_TABLE = "raw/events"
+TOUCHED = "raw/touched_dates"
+SCHEMAS = "schemas"
 
 
 class Warehouse:
@@ -71,6 +74,28 @@ class Warehouse:
             self.path(EVENTS_TABLE)
         )
 
+    def touch(self, dates: Sequence[date]) -> None:
+        """Records that the daily tables must take in these event dates anew.
+
+        Kept until a refresh has done so, whoever loaded the events.
+        """
+        if dates:
+            days = json.dumps(sorted({day.isoformat() for day in dates}))
+            write_text(self.spark, self.path(f"{TOUCHED}/{uuid.uuid4().hex}"), days)
+
+    def touched(self) -> tuple[list[str], list[date]]:
+        """The names of the records not refreshed yet, and their dates."""
+        names = child_names(self.spark, self.path(TOUCHED))
+        days = {
+            day for name in names
+            for day in json.loads(read_text(self.spark, self.path(f"{TOUCHED}/{name}")))
+        }
+        return names, [date.fromisoformat(day) for day in sorted(days)]
+
+    def refreshed(self, names: Sequence[str]) -> None:
+        for name in names:
+            drop_folder(self.spark, self.path(f"{TOUCHED}/{name}"))
+
     def append_ledger(self, entries: DataFrame) -> None:
         entries.select(*LEDGER.names).coalesce(1).write.mode("append").parquet(
             self.path("raw/ingestion_log")
@@ -96,10 +121,14 @@ class Warehouse:
         writer = writer.write.mode("overwrite").partitionBy(*partition_by)
         if only_touched:
             writer = writer.option("partitionOverwriteMode", "dynamic")
+        # A partitioned table without rows has no file to take the schema from.
+        write_text(self.spark, self.path(f"{SCHEMAS}/{name}.json"), df.schema.json())
         writer.parquet(self.path(name))
 
     def read(self, name: str, order_by: Sequence = ()) -> DataFrame:
-        table = self.spark.read.parquet(self.path(name))
+        stored = json.loads(read_text(self.spark, self.path(f"{SCHEMAS}/{name}.json")))
+        schema = T.StructType.fromJson(stored)
+        table = self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
         return table.orderBy(*order_by) if order_by else table
 
 

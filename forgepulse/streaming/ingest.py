@@ -6,30 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from forgepulse.schema import EVENTS
+from forgepulse.clock import AsOf
+from forgepulse.operators.ingestion import load_landed, log_hours
+from forgepulse.sources.landing import stream_landed
+from forgepulse.sources.storage import Scratch
+from forgepulse.sources.warehouse import Warehouse
 
 
-def deduplicated(landed: DataFrame, delay: str) -> DataFrame:
-    """Usable events of a landed stream, each id once within the watermark.
+def load_available(
+    warehouse: Warehouse, folder: str, as_of: AsOf, checkpoint: str,
+    max_files: int | None = None, only_report_nulls: bool = False,
+) -> StreamingQuery:
+    """Loads all landed files not seen before into the warehouse, then stops.
 
-    State holds the ids of the watermark's span only.
+    Each micro-batch is a load like any other: unusable records go to the quarantine, ids
+    already stored are recognised, the touched dates and the hours are recorded. So the
+    stored events are the same however files fall into batches and however late an event
+    is, and a batch repeated after a failure changes nothing. `max_files` bounds a batch.
     """
+    def load(batch: DataFrame, _: int) -> None:
+        with Scratch(warehouse.spark) as scratch:
+            landed = scratch.keep(batch)
+            hours = landed.select(F.col("source_file").alias("hour_key")).distinct()
+            log_hours(
+                warehouse, load_landed(warehouse, landed, hours, as_of), only_report_nulls
+            )
+
+    landed = stream_landed(warehouse.spark, folder, max_files)
     return (
-        landed.where(F.col("unusable").isNull())
-        .withWatermark("created", delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .select(*EVENTS.names)
+        landed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
 
 
-def write_available(
-    stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()
-) -> StreamingQuery:
+def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Appends all that is available to a parquet folder, then stops."""
-    writer = stream.writeStream.format("parquet").outputMode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     return (
-        writer.option("path", path).option("checkpointLocation", checkpoint)
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -17,13 +17,14 @@ from forgepulse.functions.events import hour_key
 from forgepulse.operators.activity import activity_of_events
 from forgepulse.operators.enrichment import enrichment_candidates, metadata_upsert
 from forgepulse.operators.ingestion import (
-    backfill_hours, ingest_hour, ingest_hours, load_hours, pending_hours,
+    NullsFound, backfill_hours, ingest_hour, ingest_hours, load_hours, pending_hours,
 )
 from forgepulse.operators.quality import dq_not_null, observe_nulls
 from forgepulse.operators.trending import mart_trending_repos
 from forgepulse.plans.layers import ACTIVITY, READ_ORDER, read_model, write_model
 from forgepulse.plans.pipeline import run_pipeline
 from forgepulse.schema import EVENT_COLUMNS
+from forgepulse.sources.storage import Scratch
 from forgepulse.sources.warehouse import Warehouse, hour_frame
 
 DATA = "/root/testdata/sf0.001"
@@ -96,7 +97,8 @@ def test_loading_twice_changes_nothing(store, as_of):
 def test_a_load_that_was_not_logged_is_repeated(store, as_of):
     warehouse, folder = store
     land(folder, "2024-01-31-5", landed(1))
-    load_hours(warehouse, str(folder), ["2024-01-31-5"], as_of)
+    with Scratch(warehouse.spark) as scratch:
+        load_hours(warehouse, str(folder), ["2024-01-31-5"], as_of, scratch)
     assert warehouse.ledger().count() == 0
     load = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
     assert load.dates == [date(2024, 1, 31)]
@@ -119,12 +121,21 @@ def test_nulls_are_counted_while_loading(store, as_of):
     warehouse, folder = store
     land(folder, "2024-01-31-5", landed(1), landed(2, kind=None), landed(3, repo={"id": 1}))
     expected = {"event_id": 0, "event_type": 1, "repo_name": 1}
-    assert ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of).null_failures == expected
+    load = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of, only_report_nulls=True)
+    assert load.null_failures == expected
     again = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
     assert again.null_failures == dict.fromkeys(expected, 0)
     assert warehouse.events().count() == 3
 
 
+def test_nulls_fail_the_load_before_its_hours_are_logged(store, as_of):
+    warehouse, folder = store
+    land(folder, "2024-01-31-5", landed(2, kind=None))
+    with pytest.raises(NullsFound, match="event_type"):
+        ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+    assert warehouse.ledger().isEmpty()
+
+
 def test_backfill_equals_the_hours_one_by_one(spark, store, tmp_path, as_of):
     warehouse, folder = store
     keys = []

@@ -13,33 +13,68 @@ from forgepulse.clock import AsOf
 from forgepulse.functions.events import as_instant, hour_key, hour_start, utc_wall_clock
 from forgepulse.operators.community import mart_ecosystem_hourly
 from forgepulse.schema import EVENTS
-from forgepulse.sources.landing import stream_landed
+from forgepulse.operators.ingestion import ingest_hours
+from forgepulse.plans.pipeline import run_pipeline
+from forgepulse.plans.layers import read_model
+from forgepulse.sources.warehouse import Warehouse
 from forgepulse.streaming.hourly import stream_hourly
-from forgepulse.streaming.ingest import deduplicated, write_available
+from forgepulse.streaming.ingest import load_available, write_available
 
 
-def _run(stream, tmp_path, *partition_by):
-    write_available(stream, str(tmp_path / "out"), str(tmp_path / "state"), partition_by).awaitTermination()
+def _run(stream, tmp_path):
+    write_available(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
 
 
-def test_stream_ingest_deduplicates_and_drops_late_events(spark, tmp_path):
+@pytest.mark.parametrize("max_files", [1, 2, None])
+def test_stream_equals_the_load_for_any_batching(spark, tmp_path, as_of, max_files):
     folder = tmp_path / "landing"
     folder.mkdir()
+    streamed, loaded = (Warehouse(spark, str(tmp_path / name)) for name in ("streamed", "loaded"))
 
     def run():
-        _run(deduplicated(stream_landed(spark, str(folder)), "1 hour"), tmp_path, "event_date")
-        stored = spark.read.schema(EVENTS).parquet(str(tmp_path / "out"))
-        return collected(stored, "event_id", "source_file")
+        load_available(
+            streamed, str(folder), as_of, str(tmp_path / "state"), max_files
+        ).awaitTermination()
+        return collected(streamed.events(), "event_id")
 
     land(folder, "2024-01-31-5", landed(1), landed(1), landed(2, at="2024-01-31T09:00:00Z"), "{broken")
-    first = [(1, "2024-01-31-5"), (2, "2024-01-31-5")]
-    assert run() == first
-    # A repeated id, one event older than the watermark of 08:00, one newer.
+    land(folder, "2024-01-31-6", landed(5, at="2024-01-31T06:00:00Z"))
+    assert run() == [1, 2, 5]
+    # A repeated id, and events days older than those stored.
     land(
         folder, "2024-01-31-9", landed(2, at="2024-01-31T09:00:00Z"),
-        landed(3, at="2024-01-31T05:00:00Z"), landed(4, at="2024-01-31T08:30:00Z"),
+        landed(3, at="2024-01-21T05:00:00Z"), landed(4, at="2024-01-31T08:30:00Z"),
     )
-    assert run() == [*first, (4, "2024-01-31-9")]
+    assert run() == [1, 2, 3, 4, 5]
+    ingest_hours(loaded, str(folder), ["2024-01-31-5", "2024-01-31-6", "2024-01-31-9"], as_of)
+    for table in ("events", "ledger", "quarantine"):
+        frames = [getattr(warehouse, table)() for warehouse in (streamed, loaded)]
+        names = [name for name in frames[0].columns if name != "loaded_at"]
+        assert collected(frames[0], *names) == collected(frames[1], *names)
+
+
+def test_daily_tables_take_in_what_others_loaded(spark, tmp_path, as_of):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    # Nothing has landed: every model is there, and empty.
+    models = run_pipeline(warehouse, as_of, str(folder))
+    assert len(models) == 20
+    assert all(read_model(warehouse, name).isEmpty() for name in models if not name.startswith("stg_"))
+    land(folder, "2024-01-31-5", landed(1, at="2024-01-31T05:00:00Z"))
+    run_pipeline(warehouse, as_of, str(folder))
+    land(folder, "2024-01-31-6", landed(2, at="2024-01-31T06:00:00Z"))
+    ingest_hours(warehouse, str(folder), ["2024-01-31-6"], as_of)
+    land(folder, "2024-01-31-7", landed(3, at="2024-01-30T07:00:00Z"))
+    load_available(warehouse, str(folder), as_of, str(tmp_path / "state")).awaitTermination()
+    run_pipeline(warehouse, as_of, str(folder))
+    whole = Warehouse(spark, str(tmp_path / "whole"))
+    run_pipeline(whole, as_of, str(folder))
+    for name in models:
+        if not name.startswith("stg_"):
+            columns = read_model(whole, name).columns
+            assert collected(read_model(warehouse, name), *columns) == collected(read_model(whole, name), *columns)
+    assert warehouse.touched() == ([], [])
 
 
 @pytest.fixture(params=["UTC", "Asia/Kolkata"])

@@ -29,7 +29,8 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     alone. Digits widen, so a text of n bytes takes about log(n) rounds up to the widest
     digit. Groups are counted by aggregates that combine before the shuffle, so
     thousands of copies reach a task as one row for each task before; adaptive execution
-    splits the join that hands a large group its number.
+    splits the join that hands a large group its number. The shared digits have no bound,
+    so they are merged with the texts at every size and never broadcast.
 
     Null texts count as empty, which are equal to each other. A null doc_id comes after
     all others. Of rows with the same text and doc_id one stays. The digest is output only.
@@ -58,7 +59,7 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     columns = ["uid", "did", F.col("next_group").alias("grp"), "keep_did", "group_size"]
     groups = scratch.keep(shared(base, *key), name="groups")
     rest = F.substring(text, FIRST_DIGIT + 1, 2**31 - 1)
-    rows = base.join(groups, key).select(*columns, rest.alias("rest"))
+    rows = base.join(groups.hint("merge"), key).select(*columns, rest.alias("rest"))
     finished, width, step = [], FIRST_DIGIT, 0
     while True:
         rows = scratch.keep(rows, name=f"rows-{step}")
@@ -73,7 +74,7 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
         )
         groups = scratch.keep(shared(parts, "grp", "digit"), name=f"groups-{step}")
         rest = F.substring("rest", width + 1, 2**31 - 1)
-        rows = parts.join(groups, ["grp", "digit"]).select(
+        rows = parts.join(groups.hint("merge"), ["grp", "digit"]).select(
             "uid", "did", F.col("next_group").alias("grp"), "keep_did", "group_size",
             rest.alias("rest"),
         )
@@ -87,7 +88,7 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     return (
         base.select("uid", "did", "text_sha256")
-        .join(equal.select("uid", "keep_did", "group_size"), "uid", "left")
+        .join(equal.select("uid", "keep_did", "group_size").hint("merge"), "uid", "left")
         .join(staying, "uid", "left")
         .select(
             original_id(F.col("did")).alias("doc_id"),

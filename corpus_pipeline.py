@@ -21,12 +21,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id.
-
-    Of rows with that doc_id in one group the first by text stays.
+    """Of each group of texts that share 0.8 of their five-word shingles, the document
+    with the smallest doc_id; rows that repeat it stay with it, as do rows without one.
     """
-    scratch = Scratch(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"), scratch)
+    groups = simhash.alike(docs.select("doc_id", "text"), Scratch(spark))
     dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         known_id(F.col("doc_id")).alias("_id")
     ).distinct()

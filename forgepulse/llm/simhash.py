@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import combinations
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,18 @@ TILE = 4096
 TOGETHER = 512
 # Shingles hashed at a time, so that a very long text needs no more memory.
 CHUNK = 1 << 16
+# Texts alike: words of a shingle, least similarity (Jaccard), bits of a fingerprint.
+ALIKE_WORDS = 5
+ALIKE = 0.8
+ALIKE_BITS = 256
+# A pair of the least similarity exceeds the radius with about this chance ...
+BEYOND_RADIUS = 0.02
+# ... and meets in no bucket with at most this one.
+NEVER_MEETS = 0.01
+# Fingerprints in a bucket of unrelated texts, about: one word of the bit planes.
+PER_BUCKET = 64
+# Multiplies a hash into the further lanes of a long fingerprint. Fixed values.
+MIX_ADD, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -33,25 +47,67 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     Words are runs of anything but ASCII white space, A-Z lower-cased. A bit is set if it
     is set in over half of the shingles' XXH64. A text of fewer words is one shingle.
     """
+    total, counts = 0, np.zeros(BITS, dtype=np.int64)
+    for hashes in shingle_hashes(text, words, seed):
+        total += len(hashes)
+        counts += bit_counts(hashes)
+    return int.from_bytes(np.packbits(counts * 2 > total).tobytes(), "big")
+
+
+def shingle_hashes(text: str | None, words: int, seed: int) -> Iterator[np.ndarray]:
+    """XXH64 of the text's word shingles in their order, in chunks; none without words."""
     import xxhash
 
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return
     joined = b" ".join(found)
     lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     span = min(words, len(found)) - 1
     first, last = starts[: len(found) - span], ends[span:]
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(BITS, dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, len(first), CHUNK):
         pairs = zip(first[at:at + CHUNK].tolist(), last[at:at + CHUNK].tolist(), strict=True)
-        hashes = np.array([digest(joined[a:b], seed) for a, b in pairs], dtype=">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(
-            axis=0, dtype=np.int64
-        )
-    return int.from_bytes(np.packbits(counts * 2 > len(first)).tobytes(), "big")
+        yield np.array([digest(joined[a:b], seed) for a, b in pairs], dtype=np.uint64)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set, the highest bit first."""
+    rows = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
+
+
+def long_fingerprint(
+    text: str | None, words: int = ALIKE_WORDS, bits: int = ALIKE_BITS, seed: int = SEED
+) -> bytes:
+    """A SimHash of `bits` bits of the text's different word shingles; empty without words.
+
+    Each lane of 64 bits mixes the shingles' hashes anew. Of an even number of shingles
+    the one with the smallest hash counts twice, so that no bit is a tie: ties would draw
+    short texts together.
+    """
+    chunks = list(shingle_hashes(text, words, seed))
+    if not chunks:
+        return b""
+    hashes = np.unique(np.concatenate(chunks))
+    lanes = []
+    for lane in range(bits // BITS):
+        counts, odd = np.zeros(BITS, dtype=np.int64), len(hashes) | 1
+        for at in range(0, len(hashes), CHUNK):
+            counts += bit_counts(_mixed(hashes[at:at + CHUNK], lane))
+        if odd > len(hashes):
+            counts += bit_counts(_mixed(hashes[:1], lane))
+        lanes.append(np.packbits(counts * 2 > odd).tobytes())
+    return b"".join(lanes)
+
+
+def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    mixed = hashes + np.uint64(MIX_ADD * (lane + 1) & (2**64 - 1))
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(MIX_1)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(MIX_2)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
@@ -73,22 +129,25 @@ def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataF
 def near_rows(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For n fingerprints an n x (n / 64) matrix of bits: which others lie within `radius`.
 
-    The fingerprints are stored as 64 vertical bit planes, 64 fingerprints to a word.
+    `values` has a column for each 64 bits of a fingerprint, or is flat for 64 bits. The
+    fingerprints are stored as vertical bit planes, 64 fingerprints to a word.
     Each query's bits are XORed with the planes one at a time, and the differences
     added to carry-save counters (planes of a binary number per fingerprint), so that
     one operation updates 64 distances. A counter past the radius stays past it; a word
     all of whose 64 counters are past it is abandoned.
     """
     n = len(values)
+    values = values.reshape(n, -1)
+    lanes = values.shape[1]
     words = -(-n // 64)
-    padded = np.zeros(words * 64, dtype=np.uint64)
+    padded = np.zeros((words * 64, lanes), dtype=np.uint64)
     padded[:n] = values
     order = np.arange(BITS, dtype=np.uint64)
     ones = np.uint64(2**64 - 1)
     # planes[b, w]: bit b of the fingerprints 64 w to 64 w + 63, the first in the lowest bit.
-    bits = ((padded[None, :] >> order[:, None]) & np.uint64(1)).astype(np.uint8)
-    planes = np.packbits(bits.reshape(BITS, words, 64), axis=2, bitorder="little")
-    planes = planes.reshape(BITS, words, 8).view("<u8").reshape(BITS, words)
+    bits = ((padded.T[:, None, :] >> order[None, :, None]) & np.uint64(1)).astype(np.uint8)
+    planes = np.packbits(bits.reshape(lanes * BITS, words, 64), axis=2, bitorder="little")
+    planes = planes.view("<u8").reshape(lanes * BITS, words)
     real = np.full(words, ones)
     if n % 64:
         real[-1] = np.uint64((1 << (n % 64)) - 1)
@@ -101,8 +160,9 @@ def near_rows(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
         columns = np.tile(np.arange(words), len(queries))
         past = ~real[columns]
         counter = [np.zeros(len(rows), dtype=np.uint64) for _ in range(levels)]
-        for bit in range(BITS):
-            own = np.where((queries >> np.uint64(bit)) & np.uint64(1), ones, np.uint64(0))
+        for bit in range(lanes * BITS):
+            lane = queries[:, bit // BITS]
+            own = np.where((lane >> np.uint64(bit % BITS)) & np.uint64(1), ones, np.uint64(0))
             carry = planes[bit, columns] ^ own[rows]
             for level in range(levels):
                 counter[level], carry = counter[level] ^ carry, counter[level] & carry
@@ -167,8 +227,11 @@ def forest(values: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.nda
     return np.array(parents, dtype=np.int64), np.array(children, dtype=np.int64)
 
 
-def _links_of_groups(radius: int, together: int):
-    """Turns sorted groups (g1, g2, i, j) of fingerprints into links between their nodes."""
+def _links_of_groups(radius: int, together: int, lanes: Callable = lambda fp: fp.to_numpy()):
+    """Turns sorted groups (mask, part, i, j) of fingerprints into links between their nodes.
+
+    `lanes` turns a column of fingerprints into an array of one or several longs each.
+    """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(keys: np.ndarray, nodes: np.ndarray, values: np.ndarray):
             """Compares runs of whole groups; a link across groups is as true as any other."""
@@ -179,7 +242,7 @@ def _links_of_groups(radius: int, together: int):
                     cuts.append(at)
             out = []
             for a, b in zip(cuts, cuts[1:], strict=False):
-                different, index = np.unique(values[a:b], return_index=True)
+                different, index = np.unique(values[a:b], axis=0, return_index=True)
                 parents, children = forest(different, radius)
                 own = nodes[a:b][index]
                 out.append(np.stack([own[parents], own[children]]))
@@ -192,7 +255,7 @@ def _links_of_groups(radius: int, together: int):
             if not batch.num_rows:
                 continue
             keys = np.stack([batch[k].to_numpy() for k in ("mask", "part", "i", "j")], axis=1)
-            part = (keys, batch["node"].to_numpy(), batch["fp"].to_numpy().view(np.uint64))
+            part = (keys, batch["node"].to_numpy(), lanes(batch["fp"]).view(np.uint64))
             if rest is not None:
                 part = tuple(np.concatenate(x) for x in zip(rest, part, strict=True))
             keys = part[0]
@@ -243,11 +306,15 @@ def links(
     shared = scratch.keep(
         bucketed.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1"), name="shared"
     )
-    tiles = F.ceil(F.col("n") / tile).cast("int")
+    return _linked(bucketed.join(shared, ["mask", "part"]), tile, _links_of_groups(radius, together))
+
+
+def _linked(bucketed: DataFrame, tile: int, of: Callable) -> DataFrame:
+    """Links among the rows (mask, part, node, fp, n) of each bucket of n; null for one tile."""
+    tiles = F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     grouped = (
-        bucketed.join(shared, ["mask", "part"]).withColumn("tiles", tiles)
-        .withColumn("own", own)
+        bucketed.withColumn("tiles", tiles).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
             "mask", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
@@ -257,7 +324,7 @@ def links(
     key = ["mask", "part", "i", "j"]
     return (
         grouped.repartition(*key).sortWithinPartitions(*key)
-        .mapInArrow(_links_of_groups(radius, together), "low bigint, high bigint")
+        .mapInArrow(of, "low bigint, high bigint")
         .distinct()
     )
 
@@ -347,3 +414,120 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         original_id(F.col("component")).alias("component_id"),
     )
+
+
+def alike_radius(similarity: float, bits: int = ALIKE_BITS, beyond: float = BEYOND_RADIUS) -> int:
+    """The differing bits that texts of this similarity exceed with the chance `beyond`.
+
+    Sets of similarity s have a cosine of 2 s / (1 + s), and fingerprints differ in each
+    bit with the chance of their angle over pi.
+    """
+    share = _differing(similarity)
+    spread = NormalDist().inv_cdf(1 - beyond) * math.sqrt(bits * share * (1 - share))
+    return math.floor(bits * share + spread)
+
+
+def _differing(similarity: float) -> float:
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def bucket_tables(
+    nodes: int, similarity: float, bits: int = ALIKE_BITS, never: float = NEVER_MEETS
+) -> np.ndarray:
+    """The bits each table's key is made of, a row per table, for so many fingerprints.
+
+    Keys grow with the logarithm of `nodes`, so buckets of unrelated texts stay as they
+    are, and there are as many tables as keep the chance to meet in one of them.
+    """
+    width = min(62, max(1, math.ceil(math.log2(max(2, nodes / PER_BUCKET)))))
+    tables = math.ceil(math.log(never) / math.log1p(-(1 - _differing(similarity)) ** width))
+    random = np.random.default_rng(SEED)
+    return np.stack([random.permutation(bits)[:width] for _ in range(tables)])
+
+
+def _lanes(prints: pa.Array) -> np.ndarray:
+    """Binary fingerprints of equal length as rows of longs."""
+    size = len(prints[0].as_py())
+    data = np.frombuffer(b"".join(prints.to_pylist()), dtype=">u8")
+    return data.astype(np.uint64).reshape(len(prints), size // 8)
+
+
+def alike(
+    docs: DataFrame, scratch: Scratch, words: int = ALIKE_WORDS, similarity: float = ALIKE,
+    bits: int = ALIKE_BITS, tile: int = TILE, together: int = TOGETHER,
+) -> DataFrame:
+    """doc_id and component_id of every row of `docs`: groups of texts of a similarity.
+
+    Texts are linked if the SimHashes of their different shingles, long enough to tell
+    the similarity, are within its radius (see `alike_radius`): of pairs at `similarity`
+    about 97 in 100 are linked, of more similar ones nearly all; in a larger group others
+    link them too. Less similar pairs are linked with falling chance, by the defaults
+    about every other at 0.7 and one in ten at 0.6.
+
+    Each fingerprint goes to a bucket of every table, by the bits drawn for the table;
+    within a bucket the bit planes are compared. Buckets over `tile` are compared tile by
+    tile, and tasks hand out forests, so a group of near copies of any size is never
+    paired off. Texts without words are alike only to each other. A null doc_id comes
+    after all others; rows without one that are alike have a null component_id only
+    where no row with an id is. Repeated rows are one node.
+    """
+    scratch = scratch.inner()
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [long_fingerprint(text, words, bits) for text in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["did"], pa.array(values, pa.binary())], names=["did", "fp"]
+            )
+
+    prints = scratch.keep(
+        docs.select(known_id(F.col("doc_id")).alias("did"), "text")
+        .mapInArrow(printed, "did bigint, fp binary"), name="prints",
+    )
+    # Nodes without an id take numbers of their own, at the end.
+    last = F.lit(NO_ID) - F.pmod(F.xxhash64("fp"), F.lit(1 << 61))
+    nodes = scratch.keep(
+        prints.groupBy("fp").agg(F.min("did").alias("did"))
+        .withColumn("node", F.when(F.col("did") == NO_ID, last).otherwise(F.col("did"))),
+        name="nodes",
+    )
+    tables = bucket_tables(nodes.count(), similarity, bits)
+    weights = np.int64(1) << np.arange(tables.shape[1], dtype=np.int64)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.frombuffer(b"".join(batch["fp"].to_pylist()), dtype=np.uint8)
+            set_bits = np.unpackbits(rows.reshape(batch.num_rows, -1), axis=1).astype(np.int64)
+            for number, chosen in enumerate(tables):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(batch.num_rows, number)), pa.array(set_bits[:, chosen] @ weights),
+                        batch["node"], batch["fp"],
+                    ],
+                    names=["mask", "part", "node", "fp"],
+                )
+
+    bucketed = nodes.where(F.length("fp") > 0).select("node", "fp").mapInArrow(
+        dealt, "mask bigint, part bigint, node bigint, fp binary"
+    )
+    # Few buckets exceed a tile, and the planner knows the size of their list.
+    large = scratch.keep(
+        bucketed.groupBy("mask", "part").agg(F.count("*").alias("n")).where(F.col("n") > tile),
+        name="large",
+    )
+    found = scratch.keep(
+        _linked(
+            bucketed.join(large, ["mask", "part"], "left"), tile,
+            _links_of_groups(alike_radius(similarity, bits), together, _lanes),
+        ),
+        name="links",
+    )
+    roots = components(found, scratch)
+    reached = F.coalesce("root", "node")
+    component = F.when(reached > NO_ID - (1 << 61), F.lit(NO_ID)).otherwise(reached)
+    joined = nodes.join(roots, "node", "left").select("fp", component.alias("component"))
+    return prints.join(joined, "fp").select(
+        original_id(F.col("did")).alias("doc_id"), original_id(F.col("component")).alias("component_id")
+    )

@@ -49,6 +49,7 @@ OPERATORS = {
     "mix": lambda docs, scratch: mixing.mix(docs, scratch),
     "shard": lambda docs, scratch: sharding.shard(docs, scratch),
     "simhash": lambda docs, scratch: simhash.near_duplicates(docs, scratch),
+    "alike": lambda docs, scratch: simhash.alike(docs, scratch),
     "decontaminate": lambda docs, scratch: decontamination.contaminated(
         docs, docs.select(F.lit(1).alias("item_id"), "text")
     ),
@@ -286,3 +287,49 @@ def test_mix_is_systematic(documents, scratch):  # noqa: F811
         assert abs(sum(row.copies * row.size for row in own) - own[0].target) <= 13
     assert {row.copies for row in mixed} <= {0, 1, 2}
     assert re.fullmatch("s[01]", mixed[0].source)
+
+
+def test_long_fingerprints_compare_like_short_ones():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 2**63, (150, 4), dtype=np.uint64)
+    values[75:] = values[:75] ^ (np.uint64(1) << rng.integers(0, 40, (75, 4), dtype=np.uint64))
+    values[100:110] = ~values[90:100]
+    bits = np.unpackbits(values.view(np.uint8), axis=1)
+    distances = (bits[:, None, :] != bits[None, :, :]).sum(axis=2)
+    for radius in (3, 4, 50):
+        near = simhash.near_rows(values, radius)
+        got = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, :150]
+        assert (got.astype(bool) == (distances <= radius)).all()
+
+
+def test_alike_texts_share_a_component(documents, scratch):
+    rng = np.random.default_rng(6)
+
+    def prose(n):
+        return [f"w{k}" for k in rng.integers(0, 5000, n)]
+
+    rows, groups = [], []
+    for group in range(12):
+        words = prose(300)
+        for copy in range(6):
+            changed = list(words)
+            if copy:
+                changed[int(rng.integers(300))] = f"other{copy}"
+            rows.append((len(rows), " ".join(changed)))
+            groups.append(group * 6)
+    passage = prose(60)
+    for _ in range(20):
+        # A shared passage of 60 words does not make 400 other words alike.
+        groups.append(len(rows))
+        rows.append((len(rows), " ".join(prose(200) + passage + prose(200))))
+    short = len(rows)
+    rows += [(short, None), (short + 1, ""), (short + 2, " \n"), (short + 3, "one"), (short + 4, "ONE "),
+             (short + 5, "one two three four five six"), (None, "one"), (None, "nobody else"), (None, "nobody else")]
+    groups += [short] * 3 + [short + 3] * 2 + [short + 5]
+    for tile in (simhash.TILE, 16):
+        found = simhash.alike(documents(rows), scratch, tile=tile).collect()
+        by_id = {row.doc_id: row.component_id for row in found if row.doc_id is not None}
+        assert by_id == dict(enumerate(groups))
+        assert sorted(str(row.component_id) for row in found if row.doc_id is None) == sorted(
+            [str(short + 3), "None", "None"]
+        )

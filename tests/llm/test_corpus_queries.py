@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as registry
 import corpus_pipeline
 from forgepulse.llm import queries as corpus
+from forgepulse.llm import simhash
 
 DATA = "/root/testdata/sf0.001"
 
@@ -112,7 +113,7 @@ def simhash_of(text):
     return sum(1 << bit for bit in range(64) if 2 * counts[bit] > len(shingles))
 
 
-def components_of(prints):
+def components_of(prints, radius=3):
     """Brute force: all pairs, then the smallest id of each component."""
     ids = sorted(prints)
     root = {i: i for i in ids}
@@ -124,7 +125,7 @@ def components_of(prints):
 
     for a in ids:
         for b in ids:
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= 3:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= radius:
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     return {i: find(i) for i in ids}
@@ -213,7 +214,10 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, results, texts, duck):
     of the mix from its own operator."""
     rejected = {row["doc_id"] for row in results("op8_language_id") if row["rejected"]}
     kept = {i: text for i, text in texts.items() if i not in rejected}
-    roots = components_of({i: simhash_of(text) for i, text in kept.items()})
+    roots = components_of(
+        {i: int.from_bytes(simhash.long_fingerprint(text), "big") for i, text in kept.items()},
+        simhash.alike_radius(simhash.ALIKE),
+    )
     unsafe = {row["doc_id"] for row in results("op5_decontamination") if row["contaminated"]}
     kept = {i for i in kept if roots[i] == i and i not in unsafe}
     docs = spark.read.parquet(f"{DATA}/documents.parquet").where(

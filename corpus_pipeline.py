@@ -12,6 +12,10 @@ from forgepulse.llm import decontamination, language, mixing, simhash, token_sto
 from forgepulse.llm.common import known_id, table
 from forgepulse.sources.storage import Scratch
 
+# Words a worker remembers when token ids are written: its memory and the executor's have
+# served the other stages already.
+REMEMBERED = 300_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -46,7 +50,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files' documents, as read back: doc_id, start, n_tokens, ids_crc32."""
     path = Scratch(spark).path("tokens")
-    token_store.write_tokens(docs, path, public_tokenizers.path(token_store.VOCABULARY))
+    token_store.write_tokens(
+        docs, path, public_tokenizers.path(token_store.VOCABULARY), remembered=REMEMBERED
+    )
     return token_store.described(token_store.read_tokens(spark, path))
 
 

@@ -37,6 +37,8 @@ BEYOND_RADIUS = 0.02
 NEVER_MEETS = 0.01
 # Fingerprints in a bucket of unrelated texts, about: one word of the bit planes.
 PER_BUCKET = 64
+# Fingerprints unpacked into single bits at a time.
+ROWS_AT_ONCE = 1024
 # Multiplies a hash into the further lanes of a long fingerprint. Fixed values.
 MIX_ADD, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -145,9 +147,11 @@ def near_rows(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     order = np.arange(BITS, dtype=np.uint64)
     ones = np.uint64(2**64 - 1)
     # planes[b, w]: bit b of the fingerprints 64 w to 64 w + 63, the first in the lowest bit.
-    bits = ((padded.T[:, None, :] >> order[None, :, None]) & np.uint64(1)).astype(np.uint8)
-    planes = np.packbits(bits.reshape(lanes * BITS, words, 64), axis=2, bitorder="little")
-    planes = planes.view("<u8").reshape(lanes * BITS, words)
+    planes = np.zeros((lanes * BITS, words), dtype=np.uint64)
+    for lane in range(lanes):
+        bits = ((padded[None, :, lane] >> order[:, None]) & np.uint64(1)).astype(np.uint8)
+        packed = np.packbits(bits.reshape(BITS, words, 64), axis=2, bitorder="little")
+        planes[lane * BITS:(lane + 1) * BITS] = packed.view("<u8").reshape(BITS, words)
     real = np.full(words, ones)
     if n % 64:
         real[-1] = np.uint64((1 << (n % 64)) - 1)
@@ -475,7 +479,8 @@ def alike(
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [long_fingerprint(text, words, bits) for text in batch["text"].to_pylist()]
+            # One text at a time: a batch's texts as Python objects would double its memory.
+            values = [long_fingerprint(text.as_py(), words, bits) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [batch["did"], pa.array(values, pa.binary())], names=["did", "fp"]
             )
@@ -495,9 +500,11 @@ def alike(
     weights = np.int64(1) << np.arange(tables.shape[1], dtype=np.int64)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        parts = (
+            batch.slice(at, ROWS_AT_ONCE) for batch in batches
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE)
+        )
+        for batch in parts:
             rows = np.frombuffer(b"".join(batch["fp"].to_pylist()), dtype=np.uint8)
             set_bits = np.unpackbits(rows.reshape(batch.num_rows, -1), axis=1).astype(np.int64)
             for number, chosen in enumerate(tables):

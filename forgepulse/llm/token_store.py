@@ -146,15 +146,17 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, remembered: int) -> Encoder:
     """A worker's encoder, which outlives the task."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].units.remembered = remembered
     return _encoders[path]
 
 
 def encode(
-    docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, rows_at_once: int = 256
+    docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, rows_at_once: int = 256,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """did, part, part_start, n_tokens, ids of each document, in the order of doc_id.
 
@@ -163,7 +165,7 @@ def encode(
     own partition.
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = _encoder(tokenizer_path), 0
+        encoder, before = _encoder(tokenizer_path, remembered), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, rows_at_once):
@@ -192,16 +194,19 @@ def encode(
     )
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
+    remembered: int = REMEMBERED,
+) -> None:
     """Writes the ids of all documents as ORC, one file (or more) for each range of doc_id.
 
     Stripes of 64 MB can be read by separate tasks. Integers are run-length encoded by
     the format; its row index and the Bloom filter on the document id let a reader skip
     stripes and row groups. Null texts are empty documents with the end id only; rows
     without a doc_id come last; an empty table gives an empty folder. Repeated rows are
-    written as often as they occur.
+    written as often as they occur. Fewer words remembered take less memory and more time.
     """
-    writer = encode(docs, tokenizer_path, end_id).write
+    writer = encode(docs, tokenizer_path, end_id, remembered=remembered).write
     for name, value in ORC_OPTIONS.items():
         writer = writer.option(name, value)
     writer.orc(path)

@@ -40,19 +40,23 @@ def pending_hours(hours: DataFrame, ledger: DataFrame) -> DataFrame:
     return hours.join(ledger.where(F.col("status") == "loaded"), "hour_key", "left_anti")
 
 
-def one_per_event(events: DataFrame) -> DataFrame:
+def one_per_event(events: DataFrame, repeated: DataFrame) -> DataFrame:
     """One row per event id, the one from the earliest-named file.
 
-    An aggregate rather than a window: copies are combined before the shuffle, so an
-    event repeated any number of times is no large group.
+    Only the rows of the `repeated` ids are grouped; all others pass as they are. An
+    aggregate rather than a window: copies are combined before the shuffle, so an event
+    repeated any number of times is no large group.
     """
     rest = [name for name in EVENTS.names if name not in ("event_id", "source_file")]
-    return (
-        events.groupBy("event_id")
+    events = events.select(*EVENTS.names)
+    copies = (
+        events.join(repeated, "event_id", "left_semi")
+        .groupBy("event_id")
         .agg(F.min(F.struct("source_file", *rest)).alias("row"))
         .select("event_id", "row.*")
         .select(*EVENTS.names)
     )
+    return events.join(repeated, "event_id", "left_anti").unionByName(copies)
 
 
 @dataclass(frozen=True)
@@ -81,12 +85,17 @@ def load_hours(
         return Load(_entries(hours, None, as_of), [])
     # Compressed JSON cannot be split or pruned; it is read once.
     landed = scratch.keep(read_landed(warehouse.spark, [paths[key] for key in present]))
-    return load_landed(warehouse, landed, hours, as_of)
+    return load_landed(warehouse, landed, hours, as_of, scratch)
 
 
-def load_landed(warehouse: Warehouse, landed: DataFrame, hours: DataFrame, as_of: AsOf) -> Load:
+def load_landed(
+    warehouse: Warehouse, landed: DataFrame, hours: DataFrame, as_of: AsOf, scratch: Scratch
+) -> Load:
     """Loads landed records, which are read several times, of the given hours.
 
+    Ids are compared alone: those that repeat, and those stored already, are written as
+    narrow tables, whose sizes the planner knows when it joins them to whole rows.
+
     The dates are recorded as touched before the first row is stored, so that a refresh
     takes them in whatever happens in between, and again after the last, for a refresh
     that ran meanwhile.
@@ -95,10 +104,13 @@ def load_landed(warehouse: Warehouse, landed: DataFrame, hours: DataFrame, as_of
     batch = landed.where(F.col("unusable").isNull())
     dates = [row.event_date for row in batch.select("event_date").distinct().collect()]
     warehouse.touch(dates)
+    ids = scratch.keep(batch.groupBy("event_id").agg(F.count("*").alias("n")))
+    repeated = scratch.keep(ids.where("n > 1").select("event_id"))
     stored = warehouse.events().where(F.col("event_date").isin(dates)).select("event_id")
+    known = scratch.keep(stored.join(ids, "event_id", "left_semi"))
     nulls = Observation()
     warehouse.append_events(
-        one_per_event(batch).join(stored, "event_id", "left_anti"),
+        one_per_event(batch, repeated).join(known, "event_id", "left_anti"),
         last_step=lambda rows: observe_nulls(rows, nulls),
     )
     warehouse.touch(dates)

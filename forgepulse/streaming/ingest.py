@@ -24,17 +24,16 @@ def load_available(
     stored events are the same however files fall into batches and however late an event
     is, and a batch repeated after a failure changes nothing. `max_files` bounds a batch.
     """
-    def load(batch: DataFrame, _: int) -> None:
+    def load_batch(batch: DataFrame, _: int) -> None:
         with Scratch(warehouse.spark) as scratch:
             landed = scratch.keep(batch)
             hours = landed.select(F.col("source_file").alias("hour_key")).distinct()
-            log_hours(
-                warehouse, load_landed(warehouse, landed, hours, as_of), only_report_nulls
-            )
+            load = load_landed(warehouse, landed, hours, as_of, scratch)
+            log_hours(warehouse, load, only_report_nulls)
 
     landed = stream_landed(warehouse.spark, folder, max_files)
     return (
-        landed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        landed.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 

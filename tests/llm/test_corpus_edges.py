@@ -333,3 +333,37 @@ def test_alike_texts_share_a_component(documents, scratch):
         assert sorted(str(row.component_id) for row in found if row.doc_id is None) == sorted(
             [str(short + 3), "None", "None"]
         )
+
+
+def jaccard_components(texts, words=5, similarity=0.8):
+    """Brute force: exact Jaccard of all pairs, then the smallest index of each component."""
+    sets = []
+    for text in texts:
+        own = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        sets.append({tuple(own[i:i + words]) for i in range(max(1, len(own) - words + 1))} if own else set())
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if x == high else x for x in root]
+    return root
+
+
+def changed_texts(sizes, rng):
+    """Texts of so many shingles, and copies with words changed at the end or start."""
+    rows = []
+    for size in sizes:
+        base = [f"w{k}" for k in rng.integers(0, 5000, size + 4)]
+        rows.append(" ".join(base))
+        for changed in sorted({1, 2, max(1, size // 10), max(1, size // 9), max(1, size // 8), size // 5 + 1}):
+            rows.append(" ".join([*base[:-changed], *(f"x{k}" for k in rng.integers(0, 5000, changed))]))
+            rows.append(" ".join(base[:-changed]))
+            rows.append(" ".join([*(f"y{k}" for k in rng.integers(0, 5000, changed)), *base]))
+    return rows
+
+
+def test_alike_short_texts_equal_brute_force(documents, scratch):  # noqa: F811
+    texts = changed_texts([*range(1, 24), *range(40, 70, 3)] * 2, np.random.default_rng(8))
+    found = simhash.alike(documents(texts), scratch).collect()
+    assert {row.doc_id: row.component_id for row in found} == dict(enumerate(jaccard_components(texts)))

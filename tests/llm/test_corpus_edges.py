@@ -367,3 +367,11 @@ def test_alike_short_texts_equal_brute_force(documents, scratch):  # noqa: F811
     texts = changed_texts([*range(1, 24), *range(40, 70, 3)] * 2, np.random.default_rng(8))
     found = simhash.alike(documents(texts), scratch).collect()
     assert {row.doc_id: row.component_id for row in found} == dict(enumerate(jaccard_components(texts)))
+
+
+def test_alike_long_texts_equal_brute_force(documents, scratch):  # noqa: F811
+    texts = changed_texts([80, 150, 300, 600] * 4, np.random.default_rng(9))
+    wanted = dict(enumerate(jaccard_components(texts)))
+    for verified in (simhash.VERIFIED, 1000):
+        found = simhash.alike(documents(texts), scratch, verified=verified).collect()
+        assert {row.doc_id: row.component_id for row in found} == wanted

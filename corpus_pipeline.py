@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import decontamination, language, mixing, simhash, token_store
-from forgepulse.llm.common import known_id, table
+from forgepulse.llm.common import table
 from forgepulse.sources.storage import Scratch
 
 # Words a worker remembers when token ids are written: its memory and the executor's have
@@ -26,13 +26,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts that share 0.8 of their five-word shingles, the document
-    with the smallest doc_id; rows that repeat it stay with it, as do rows without one.
+    with the smallest doc_id; rows of the group that repeat it stay with it, as do all rows
+    without one. Other texts of a doc_id that goes are not touched.
     """
     groups = simhash.alike(docs.select("doc_id", "text"), Scratch(spark))
-    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        known_id(F.col("doc_id")).alias("_id")
+    # A comparison with null drops nothing.
+    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     ).distinct()
-    kept = docs.withColumn("_id", known_id(F.col("doc_id"))).join(dropped, "_id", "left_anti")
+    kept = docs.withColumns({
+        "_id": F.col("doc_id").cast("bigint"), "_hash": F.xxhash64("text")
+    }).join(dropped, ["_id", "_hash"], "left_anti")
     return kept.select(*docs.columns)
 
 

@@ -335,6 +335,16 @@ def test_alike_texts_share_a_component(documents, scratch):
         )
 
 
+def test_near_copies_go_by_row(spark, documents):  # noqa: F811
+    """A row without an id stays, and so does the other text of a repeated id."""
+    rows = [*ROWS, (5, "a clean text with that id", "en", "s")]
+    kept = [(row.doc_id, row.text) for row in corpus_pipeline.near_dedup(spark, documents(rows), "").collect()]
+    # Rows 1, 2 and 6 have no words, and row 5 repeats row 4.
+    gone = [(2, ""), (6, "\n\n"), (5, "same text here")]
+    wanted = [(row[0], row[1]) for row in rows if (row[0], row[1]) not in gone]
+    assert sorted(map(repr, kept)) == sorted(map(repr, wanted))
+
+
 def jaccard_components(texts, words=5, similarity=0.8):
     """Brute force: exact Jaccard of all pairs, then the smallest index of each component."""
     sets = []

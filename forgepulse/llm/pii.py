@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,33 +78,58 @@ def base_spans(text: str) -> list[Span]:
 
 
 # Generators of candidates: wide nets, which may overlap each other.
-_NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().\[\]/-]{0,3}[0-9]){5,24}")
-_DOT = re.compile(r"[\[({\x20](?:dot|DOT)[\])}\x20]|@")
-_SPELLED = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}\x20?(?:[\[({\x20](?:at|AT)[\])}\x20]|@)\x20?[A-Za-z0-9-]{1,63}"
-    r"(?:\x20?(?:[\[({\x20](?:dot|DOT)[\])}\x20]|\.)\x20?[A-Za-z0-9-]{1,63}){1,5}"
-)
+_RUN = re.compile(r"[0-9]+(?:[\x20().\[\]/-]{1,3}[0-9]+)*")
+_GROUP = re.compile(r"[0-9]+")
+_MARK = re.compile(r"[\[({\x20][Aa][Tt][\])}\x20]|@")
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_SPELLED_DOT = r"\x20?[\[({\x20][Dd][Oo][Tt][\])}\x20]\x20?"
+_DOMAIN = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\x20?\.\x20?){_LABEL}){{1,5}}")
+# After a plain "at" a full stop before a space ends a sentence.
+_DOMAIN_OF_WORDS = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\.){_LABEL}){{1,5}}")
+
+
+def _numbers(text: str) -> Iterator[Span]:
+    """Every sequence of neighbouring groups of digits with as many digits as a phone or a
+    card has, and every four short groups."""
+    for run in _RUN.finditer(text):
+        if run.end() - run.start() < 7:
+            continue
+        groups = [group.span() for group in _GROUP.finditer(text, *run.span())]
+        for i, (start, _) in enumerate(groups):
+            opened = start - (text[start - 1:start] in ("+", "("))
+            digits = 0
+            for first, end in groups[i:i + 19]:
+                digits += end - first
+                if digits > 19:
+                    break
+                if 7 <= digits <= 15:
+                    yield "phone", opened, end
+                if digits >= 13:
+                    yield "card", opened, end
+            four = groups[i:i + 4]
+            if len(four) == 4 and all(end - first <= 3 for first, end in four):
+                yield "ip", start, four[-1][1]
+
+
+def _spelled(text: str) -> Iterator[Span]:
+    """Addresses around every mark: the local part reaches back from it, the domain follows."""
+    for mark in _MARK.finditer(text):
+        words = mark[0][0] == mark[0][-1] == " "
+        domain = (_DOMAIN_OF_WORDS if words else _DOMAIN).match(text, mark.end())
+        if not domain:
+            continue
+        end = mark.start() - (text[mark.start() - 1:mark.start()] == " ")
+        start = end
+        while start > max(0, end - 64) and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < end:
+            yield "email", start, domain.end()
 
 
 def candidates(text: str) -> list[Span]:
     """Spans that may be personal data: numbers with separators as phone, card or address,
     and e-mail addresses, also spelled out. Overlaps are allowed."""
-    found: set[Span] = set()
-    for match in _NUMBER.finditer(text):
-        digits = len(_NO_DIGITS.sub("", match[0]))
-        if 7 <= digits <= 15:
-            found.add(("phone", *match.span()))
-        if 13 <= digits <= 19:
-            found.add(("card", *match.span()))
-        parts = re.split(r"[^0-9]+", match[0].strip("+("))
-        if len(parts) == 4 and all(len(part) <= 3 for part in parts):
-            found.add(("ip", *match.span()))
-    last = 0
-    for mark in _DOT.finditer(text):
-        # The mark ends or joins an address that began not far before it.
-        for match in _SPELLED.finditer(text, max(last, mark.start() - 140), mark.end() + 70):
-            found.add(("email", *match.span()))
-            last = match.end()
+    found = {*_numbers(text), *_spelled(text)}
     return sorted(found, key=lambda span: (KINDS.index(span[0]), *span[1:]))
 
 
@@ -148,6 +174,9 @@ def features(text: str, span: Span) -> list[float]:
         float(after[:1].isalnum()), float(after[:1] in "%/:" and after != ""),
         float(sum(c.isalpha() for c in inner)), float(inner.lower().count("at")),
         float(inner.lower().count("dot")),
+        # A number that goes on beyond the span: joined by a sign, or by a space.
+        float(bool(re.search(r"[0-9][().\[\]/-]{1,3}$", before))), float(bool(re.search(r"[0-9]\x20$", before))),
+        float(bool(re.match(r"[().\[\]/-]{1,3}[0-9]", after))), float(bool(re.match(r"\x20[0-9]", after))),
     ]
 
 
@@ -155,7 +184,10 @@ def _disguised(kind: str, inner: str) -> list[str]:
     """Other ways to write a certain span, which the fixed patterns miss."""
     if kind == "email":
         name, _, domain = inner.partition("@")
-        return [f"{name} at {domain.replace('.', ' dot ')}", f"{name}[at]{domain.replace('.', '[dot]')}"]
+        return [
+            f"{name} at {domain.replace('.', ' dot ')}", f"{name}[at]{domain.replace('.', '[dot]')}",
+            f"{name}[at]{domain}",
+        ]
     if kind == "ip":
         return [inner.replace(".", "[.]")]
     digits = _NO_DIGITS.sub("", inner)
@@ -179,6 +211,8 @@ def _harmless(i: int) -> tuple[str, str]:
         ("price", f"{a},{b:03d},{c:04d}.00 {c}"),
         ("id", f"{c:05d}/{a:03d}-{b:04d}"),
         ("section", f"{a}.{b % 9}.{c % 9}.{a % 9} {b}"),
+        ("look", f"it up at site{a}.example"),
+        ("stands", f"now at {a}.{b}"),
     )
     return forms[i % len(forms)]
 
@@ -186,7 +220,8 @@ def _harmless(i: int) -> tuple[str, str]:
 def training_rows(text: str) -> list[tuple[list[float], float]]:
     """Examples from one text: its certain spans and disguised forms of them in the same
     place are personal data; other candidates, and harmless numbers put in the same places,
-    are not. An address spelled out is left aside: it may well be personal.
+    are not. An address spelled out is left aside: it may well be personal. Of two phones or
+    cards side by side, both are personal data, and spans of their parts are not.
     """
     rows = []
     certain = base_spans(text)
@@ -194,7 +229,25 @@ def training_rows(text: str) -> list[tuple[list[float], float]]:
         before, after = text[max(0, start - 2 * CONTEXT):start], text[end:end + 2 * CONTEXT]
         for inner in (text[start:end], *_disguised(kind, text[start:end])):
             changed = before + inner + after
-            rows.append((features(changed, (kind, len(before), len(before) + len(inner))), 1.0))
+            whole = (kind, len(before), len(before) + len(inner))
+            rows.append((features(changed, whole), 1.0))
+            if kind in ("card", "phone"):
+                # Beside its like: both are whole, what takes parts of them is not.
+                changed = f"{before}{inner} {inner}{after}"
+                second = (kind, whole[2] + 1, whole[2] + 1 + len(inner))
+                rows += [(features(changed, span), 1.0) for span in (whole, second)]
+                others = [
+                    span for span in candidates(changed)
+                    if whole[1] < span[2] and span[1] < second[2] and span[1:] not in (whole[1:], second[1:])
+                ]
+                # So is one beside a harmless number.
+                _, number = _harmless(start + i)
+                at = len(before) + len(number) + 1
+                beside = f"{before}{number} {inner}{after}"
+                rows.append((features(beside, (kind, at, at + len(inner))), 1.0))
+                # A few are enough, so that they don't crowd out other examples.
+                others.sort(key=lambda span: hashlib.sha256(repr((changed, span)).encode()).digest())
+                rows += [(features(changed, span), 0.0) for span in others[:4]]
         for k in range(3):
             word, inner = _harmless(start + 3 * i + k)
             opening = f"{before[:-1]} {word} " if k else before
@@ -228,18 +281,23 @@ def train(
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [row for text in batch["text"].to_pylist() for row in training_rows(text)]
+            # Drawn by text and place: by their features, all examples alike would go together.
+            rows = [
+                (*row, zlib.crc32(text.encode("utf-8", "surrogatepass")) << 20 | i & 0xFFFFF)
+                for text in batch["text"].to_pylist() for i, row in enumerate(training_rows(text))
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x for x, _ in rows], type=pa.list_(pa.float64())),
-                    pa.array([y for _, y in rows], type=pa.float64()),
+                    pa.array([x for x, _, _ in rows], type=pa.list_(pa.float64())),
+                    pa.array([y for _, y, _ in rows], type=pa.float64()),
+                    pa.array([place for _, _, place in rows], type=pa.int64()),
                 ],
-                names=["x", "y"],
+                names=["x", "y", "place"],
             )
 
     rows = (
-        chosen.mapInArrow(examples, "x array<double>, y double")
-        .orderBy(F.xxhash64("x", "y"), "x", "y").limit(sample_spans).collect()
+        chosen.mapInArrow(examples, "x array<double>, y double, place bigint")
+        .orderBy(F.xxhash64("place"), "x", "y").limit(sample_spans).collect()
     )
     y = np.array([row.y for row in rows])
     if len(set(y.tolist())) < 2 or len(y) < 40:
@@ -253,7 +311,7 @@ def all_spans(
     text: str, model: Booster | None, threshold: float = THRESHOLD
 ) -> tuple[list[Span], list[Span]]:
     """The certain spans, and all spans: certain ones, then by probability those
-    candidates that overlap none chosen before."""
+    candidates, of equal ones the longest, that overlap none chosen before."""
     certain = base_spans(text)
     if model is None:
         return certain, certain
@@ -265,7 +323,7 @@ def all_spans(
     added = []
     if open_ones:
         chance = model.probability(np.array([features(text, span) for span in open_ones]))
-        for k in sorted(range(len(open_ones)), key=lambda k: (-chance[k], open_ones[k])):
+        for k in sorted(range(len(open_ones)), key=lambda k: (-chance[k], open_ones[k][1] - open_ones[k][2], open_ones[k])):
             _, start, end = open_ones[k]
             if chance[k] >= threshold and not any(start < b and a < end for a, b in taken):
                 taken.append((start, end))

@@ -385,3 +385,38 @@ def test_alike_long_texts_equal_brute_force(documents, scratch):  # noqa: F811
     for verified in (simhash.VERIFIED, 1000):
         found = simhash.alike(documents(texts), scratch, verified=verified).collect()
         assert {row.doc_id: row.component_id for row in found} == wanted
+
+
+def proposed(text):
+    return {(kind, text[start:end]) for kind, start, end in pii.candidates(text)}
+
+
+def test_disguised_addresses_are_candidates():
+    for form in ("john.doe [at] example.com", "ann(at)example.org", "bob.c at example.net", "a.b [At] c [Dot] org",
+                 "a@b.example", "x at y dot org"):
+        assert ("email", form) in proposed(f"write to {form}, please")
+    assert not proposed("look at this. It is here")
+    assert any(form.endswith("[at]mail.example.com") for form in pii._disguised("email", "ann@mail.example.com"))
+
+
+def test_numbers_side_by_side_are_candidates():
+    assert {("phone", "555-123-4567"), ("phone", "555-987-6543")} <= proposed("555-123-4567 555-987-6543")
+    assert {("card", "4111.1111.1111.1111"), ("phone", "555-987-6543")} <= proposed("4111.1111.1111.1111 555-987-6543")
+    assert {("phone", "(415) 555-0123"), ("phone", "2024-05-17")} <= proposed("2024-05-17 (415) 555-0123")
+    assert ("ip", "8[.]8[.]8[.]8") in proposed("8[.]8[.]8[.]8")
+    # Linear in the groups.
+    assert len(pii.candidates("1234 " * 10_000)) < 60_000
+
+
+def test_neighbours_and_bracketed_addresses_are_added(documents):  # noqa: F811
+    rng = random.Random(4)
+    filler = lambda: " ".join(rng.choice(["some", "plain", "words", "stand", "here"]) for _ in range(12))
+    rows = []
+    for i in range(240):
+        own = (f"ann.b{i}@mail{i % 7}.example.com", f"10.2.{i}.7", "4111 1111 1111 1111", f"+1 (415) 555-{i:04d}")[i % 4]
+        rows.append((i, f"{filler()} {own} {filler()}"))
+    rows.append((500, f"{filler()} bob.c5[at]mail3.example.com {filler()}"))
+    rows.append((501, f"{filler()} 415-555-4567 415-555-6543 {filler()}"))
+    found = {row.doc_id: row for row in pii.find_personal_data(documents(rows)).collect()}
+    assert "[email]" in found[500].redacted_text and "bob.c5" not in found[500].redacted_text
+    assert "[phone] [phone]" in found[501].redacted_text

@@ -43,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("item_ids") == 0).select(*docs.columns)
+    return found.where(~F.col("contaminated")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,7 +79,7 @@ def best_distance(masks: dict[int, int], length: int, window: bytes, enough: int
 class Matcher:
     """Finds the items of a block of the benchmark in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE):
         import ahocorasick
 
         plain = [(number, text) for number, item in items if (text := normal(item))]
@@ -100,10 +100,11 @@ class Matcher:
         if places:
             self.automaton.make_automaton()
 
-    def find(self, text: str | None) -> list[int]:
-        """The numbers of the items that occur in the text within their budgets."""
+    def find(self, text: str | None) -> set[int | None]:
+        """The numbers of the items that occur in the text within their budgets; None for
+        those without one."""
         if not self.items:
-            return []
+            return set()
         haystack = b" " + normal(text) + b" "
         found: set[int] = set()
         tried: dict[int, int] = {}
@@ -125,14 +126,15 @@ class Matcher:
                     self.masks[k] = bit_masks(item)
                 if best_distance(self.masks[k], len(item), window, errors) <= errors:
                     found.add(k)
-        return sorted({self.items[k][0] for k in found})
+        return {self.items[k][0] for k in found}
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """All rows of `docs` with `item_ids`, the sorted ids of the benchmark items in them.
+    """All rows of `docs` with `item_ids`, the sorted ids of the benchmark items in them,
+    and `contaminated`, whether they hold any.
 
     An item occurs in a document if some part of the document's normal text is within
     `rate` of the item's length of it in edit distance. Each item is cut into one piece
@@ -143,19 +145,24 @@ def contaminated(
     documents are never shuffled.
 
     Null and empty texts hold no item. Null or empty items, and those without a letter or
-    digit, match nothing; items with a null id are left out. Items with the same text are
-    all named. With an empty benchmark every list is empty. A column named `item_ids` is
-    replaced.
+    digit, match nothing; items with a null id are searched for, but cannot be named. Items with
+    the same text are all named. With an empty benchmark every list is empty. Columns named
+    as the results are replaced.
     """
     spark = docs.sparkSession
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+    items = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("bigint").alias("item_id"), "text"
     )
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    plain = docs.drop("item_ids")
-    schema = T.StructType([*plain.schema.fields, T.StructField("item_ids", T.ArrayType(T.LongType()))])
-    result = plain.withColumn("item_ids", F.array().cast("array<bigint>"))
+    plain = docs.drop("item_ids", "contaminated")
+    schema = T.StructType([
+        *plain.schema.fields, T.StructField("item_ids", T.ArrayType(T.LongType())),
+        T.StructField("contaminated", T.BooleanType()),
+    ])
+    result = plain.withColumns({
+        "item_ids": F.array().cast("array<bigint>"), "contaminated": F.lit(False)
+    })
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast([tuple(row) for row in part.collect()])
@@ -163,17 +170,23 @@ def contaminated(
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(sent.value, rate)
             for batch in batches:
+                found = [matcher.find(text) for text in batch["text"].to_pylist()]
                 lists = [
-                    sorted({*known, *matcher.find(text)})
-                    for text, known in zip(
-                        batch["text"].to_pylist(), batch["item_ids"].to_pylist(), strict=True
-                    )
+                    sorted({*known, *(new - {None})})
+                    for known, new in zip(batch["item_ids"].to_pylist(), found, strict=True)
                 ]
-                columns = [batch[name] for name in batch.schema.names if name != "item_ids"]
-                names = [name for name in batch.schema.names if name != "item_ids"]
+                flags = [
+                    known or bool(new)
+                    for known, new in zip(batch["contaminated"].to_pylist(), found, strict=True)
+                ]
+                names = [name for name in batch.schema.names if name not in ("item_ids", "contaminated")]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(lists, type=pa.list_(pa.int64()))], names=[*names, "item_ids"]
+                    [
+                        *(batch[name] for name in names), pa.array(lists, type=pa.list_(pa.int64())),
+                        pa.array(flags, pa.bool_()),
+                    ],
+                    names=[*names, "item_ids", "contaminated"],
                 )
 
-        result = result.select(*plain.columns, "item_ids").mapInArrow(search, schema)
+        result = result.select(*plain.columns, "item_ids", "contaminated").mapInArrow(search, schema)
     return result

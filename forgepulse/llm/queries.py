@@ -48,7 +48,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
+    return found.select("doc_id", "contaminated", "item_ids")
 
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

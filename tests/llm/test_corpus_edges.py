@@ -420,3 +420,13 @@ def test_neighbours_and_bracketed_addresses_are_added(documents):  # noqa: F811
     found = {row.doc_id: row for row in pii.find_personal_data(documents(rows)).collect()}
     assert "[email]" in found[500].redacted_text and "bob.c5" not in found[500].redacted_text
     assert "[phone] [phone]" in found[501].redacted_text
+
+
+def test_items_without_an_id_are_searched(documents, spark):  # noqa: F811
+    bench = spark.createDataFrame([(None, "a passage of some test"), (1, "other words here")], "item_id int, text string")
+    rows = [(1, "see a passage of some test now"), (2, "other words here"), (3, "clean")]
+    for block in (1 << 20, 10):
+        found = decontamination.contaminated(documents(rows), bench, block_bytes=block).collect()
+        assert {row.doc_id: (row.item_ids, row.contaminated) for row in found} == {
+            1: ([], True), 2: ([1], True), 3: ([], False),
+        }

@@ -116,13 +116,16 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model of the labelled documents that aren't held out, from a bounded sample.
 
-    From each language about `per_language` documents are drawn by a hash of the
-    text. Their n-grams are counted in the executors; the driver gets vectors.
+    From each language about `per_language` different texts are drawn by a hash of the
+    text, all where it has no more; copies are counted once. Their n-grams are counted in the executors; the driver gets vectors.
     """
     labelled = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     ).select("lang", "text")
-    sizes = {row.lang: row.n for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    different = F.approx_count_distinct(F.xxhash64("text"))
+    sizes = {
+        row.lang: max(1, row.n) for row in labelled.groupBy("lang").agg(different.alias("n")).collect()
+    }
     if not sizes:
         return fit([], np.zeros((0, DIMENSIONS), np.int64))
     limits = F.create_map(*[

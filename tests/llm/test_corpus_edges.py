@@ -430,3 +430,10 @@ def test_items_without_an_id_are_searched(documents, spark):  # noqa: F811
         assert {row.doc_id: (row.item_ids, row.contaminated) for row in found} == {
             1: ([], True), 2: ([1], True), 3: ([], False),
         }
+
+
+def test_language_of_copies_is_learned(documents):  # noqa: F811
+    rows = [(4 * i, "the same few words again", "en", "s") for i in range(3000)]
+    rows += [(20_000 + i, f"ein anderer kurzer satz {'abcdefgh'[i % 8]}", "de", "s") for i in range(40)]
+    model = language.train(documents(rows), per_language=20)
+    assert set(model.labels) == {"en", "de"}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from forgepulse.llm import (
-    decontamination, exact_dedup, language, line_dedup, mixing, pii, sharding, simhash,
-    token_store, url_filter,
+    conversation_repair, decontamination, exact_dedup, language, line_dedup, mixing, pii, prefix_trie,
+    sentence_pieces, sharding, simhash, token_store, url_filter,
 )
 from forgepulse.llm.common import table
 from forgepulse.sources.storage import Scratch
@@ -84,9 +84,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.equal_texts(docs, Scratch(spark))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(turns, Scratch(spark))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sentence_pieces.described(docs, public_tokenizers.path(sentence_pieces.VOCABULARY))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, Scratch(spark), gone="gone")
+
+
 _QUERIES = (
     op1_mixing, op2_url_filter, op3_sharding, op4_simhash, op5_decontamination,
     op6_token_output, op7_pii, op8_language_id, op9_line_dedup, op10_exact_dedup,
+    op11_prefix_trie, op12_sentence_pieces, op13_conversation_repair,
 )
 QUERIES = {query.__name__: query for query in _QUERIES} | {"pipeline": corpus_pipeline.run}
 ORACLE = {
@@ -94,4 +110,6 @@ ORACLE = {
     "op2_url_filter": url_filter.oracle(),
     "op9_line_dedup": line_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }

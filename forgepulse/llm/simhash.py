@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,27 +25,6 @@ TILE = 4096
 TOGETHER = 512
 # Shingles hashed at a time, so that a very long text needs no more memory.
 CHUNK = 1 << 16
-# Texts alike: words of a shingle, least similarity (Jaccard), bits of a fingerprint.
-ALIKE_WORDS = 5
-ALIKE = 0.8
-ALIKE_BITS = 256
-# A pair of the least similarity exceeds the radius with about this chance.
-BEYOND_RADIUS = 0.02
-# Candidates are verified, so their radius is wider: a pair of the least similarity exceeds
-# it with about this chance ...
-BEYOND_CANDIDATES = 1e-6
-# ... and meets in no bucket with at most this one.
-NEVER_MEETS = 0.001
-# Pairs of texts with at most so many different shingles are found without chance.
-SHORT = 64
-# Shingles of the texts verified against each other in one task, about half of them.
-VERIFIED = 1 << 20
-# Fingerprints in a bucket of unrelated texts, about: one word of the bit planes.
-PER_BUCKET = 64
-# Fingerprints unpacked into single bits at a time.
-ROWS_AT_ONCE = 1024
-# Multiplies a hash into the further lanes of a long fingerprint. Fixed values.
-MIX_ADD, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -89,82 +65,22 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
 
 
-def long_fingerprint(
-    text: str | None, words: int = ALIKE_WORDS, bits: int = ALIKE_BITS, seed: int = SEED
-) -> bytes:
-    """A SimHash of `bits` bits of the text's different word shingles; empty without words.
-
-    Each lane of 64 bits mixes the shingles' hashes anew. Of an even number of shingles
-    the one with the smallest hash counts twice, so that no bit is a tie: ties would draw
-    short texts together.
-    """
-    return set_fingerprint(shingle_set(text, words, seed), bits)
-
-
-def set_fingerprint(hashes: np.ndarray, bits: int = ALIKE_BITS) -> bytes:
-    if not len(hashes):
-        return b""
-    lanes = []
-    for lane in range(bits // BITS):
-        counts, odd = np.zeros(BITS, dtype=np.int64), len(hashes) | 1
-        for at in range(0, len(hashes), CHUNK):
-            counts += bit_counts(_mixed(hashes[at:at + CHUNK], lane))
-        if odd > len(hashes):
-            counts += bit_counts(_mixed(hashes[:1], lane))
-        lanes.append(np.packbits(counts * 2 > odd).tobytes())
-    return b"".join(lanes)
-
-
-def shingle_set(text: str | None, words: int = ALIKE_WORDS, seed: int = SEED) -> np.ndarray:
-    """The hashes of the text's different word shingles, ascending."""
-    chunks = list(shingle_hashes(text, words, seed))
-    return np.unique(np.concatenate(chunks)) if chunks else np.zeros(0, dtype=np.uint64)
-
-
-def odd_sketch(hashes: np.ndarray, bits: int = ALIKE_BITS) -> bytes:
-    """Of each bit whether an odd number of the hashes fall on it. Two sketches never differ
-    in more bits than their sets differ in members."""
-    odd = np.bincount((hashes >> np.uint64(32)) % np.uint64(bits), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def prefix_length(size: int, similarity: float) -> int:
-    """Of two sets of this similarity, so many smallest members of each have one in common."""
-    return size - math.ceil(similarity * size - 1e-9) + 1
-
-
-def size_class(size: int, similarity: float) -> int:
-    """Sets of a similarity have equal or neighbouring classes."""
-    return math.floor(math.log(size) / -math.log(similarity) + 1e-9)
-
-
-def class_radius(number: int, similarity: float, short: int = SHORT) -> int:
-    """The members that sets of this similarity and of class `number` or the one below differ in."""
-    largest = min(short, similarity ** -(number + 1))
-    return math.floor((1 - similarity) / (1 + similarity) * 2 * largest + 1e-9)
-
-
-def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
-    mixed = hashes + np.uint64(MIX_ADD * (lane + 1) & (2**64 - 1))
-    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(MIX_1)
-    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(MIX_2)
-    return mixed ^ (mixed >> np.uint64(31))
-
-
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """did and the fingerprint fp (as a signed long) of every whole text."""
+    """did, the text's XXH64 (Spark's) and the fingerprint fp, as signed longs, of every whole
+    text."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array(
                 [fingerprint(text, words, seed) for text in batch["text"].to_pylist()], dtype=np.uint64
             )
             yield pa.RecordBatch.from_arrays(
-                [batch["did"], pa.array(values.view(np.int64))], names=["did", "fp"]
+                [batch["did"], batch["text_hash"], pa.array(values.view(np.int64))],
+                names=["did", "text_hash", "fp"],
             )
 
-    return docs.select(known_id(F.col("doc_id")).alias("did"), "text").mapInArrow(
-        of, "did bigint, fp bigint"
-    )
+    return docs.select(
+        known_id(F.col("doc_id")).alias("did"), F.xxhash64("text").alias("text_hash"), "text"
+    ).mapInArrow(of, "did bigint, text_hash bigint, fp bigint")
 
 
 def near_rows(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
@@ -436,13 +352,14 @@ def near_duplicates(
     docs: DataFrame, scratch: Scratch, words: int = WORDS, radius: int = RADIUS,
     seed: int = SEED, parts: int = PARTS,
 ) -> DataFrame:
-    """doc_id, fingerprint and component_id of every row of `docs`.
+    """doc_id, fingerprint, component_id and text_hash (XXH64) of every row of `docs`.
 
     Documents whose fingerprints differ in at most `radius` bits are linked;
     component_id is the smallest doc_id that links reach. Null and empty texts have
     fingerprint 0, linked like any other. A null doc_id comes after all others and its
     component_id is null only among its like. Repeated rows are one node with several
-    rows in the result. Copies are one fingerprint, so they are never paired.
+    rows in the result. Copies are one fingerprint, so they are never paired. Columns of
+    `docs` but doc_id and text are not read, and an empty table gives an empty result.
     """
     scratch = scratch.inner()
     prints = scratch.keep(fingerprints(docs, words, seed), name="prints")
@@ -468,295 +385,5 @@ def near_duplicates(
     return prints.join(joined, "fp").select(
         original_id(F.col("did")).alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        original_id(F.col("component")).alias("component_id"),
-    )
-
-
-def alike_radius(similarity: float, bits: int = ALIKE_BITS, beyond: float = BEYOND_RADIUS) -> int:
-    """The differing bits that texts of this similarity exceed with the chance `beyond`.
-
-    Sets of similarity s have a cosine of 2 s / (1 + s), and fingerprints differ in each
-    bit with the chance of their angle over pi.
-    """
-    share = _differing(similarity)
-    spread = NormalDist().inv_cdf(1 - beyond) * math.sqrt(bits * share * (1 - share))
-    return math.floor(bits * share + spread)
-
-
-def _differing(similarity: float) -> float:
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def bucket_tables(
-    nodes: int, similarity: float, bits: int = ALIKE_BITS, never: float = NEVER_MEETS
-) -> np.ndarray:
-    """The bits each table's key is made of, a row per table, for so many fingerprints.
-
-    Keys grow with the logarithm of `nodes`, so buckets of unrelated texts stay as they
-    are, and there are as many tables as keep the chance to meet in one of them.
-    """
-    width = min(62, max(1, math.ceil(math.log2(max(2, nodes / PER_BUCKET)))))
-    tables = math.ceil(math.log(never) / math.log1p(-(1 - _differing(similarity)) ** width))
-    random = np.random.default_rng(SEED)
-    return np.stack([random.permutation(bits)[:width] for _ in range(tables)])
-
-
-def _lanes(prints: pa.Array) -> np.ndarray:
-    """Binary fingerprints of equal length as rows of longs."""
-    size = len(prints[0].as_py())
-    data = np.frombuffer(b"".join(prints.to_pylist()), dtype=">u8")
-    return data.astype(np.uint64).reshape(len(prints), size // 8)
-
-
-def verified_forest(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
-    """Links by index that connect the sets whose Jaccard similarity is at least this.
-
-    A set is compared with all others by an inverted index. A pair needs no comparison once
-    it is in one component, so the sets are asked for one by one until all that were not are
-    in the largest one: a group of near copies of any size takes few comparisons.
-    """
-    n, sizes = len(sets), np.array([len(one) for one in sets])
-    members = np.concatenate(sets)
-    order = np.argsort(members, kind="stable")
-    owners = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
-    members = members[order]
-    label, count, asked = np.arange(n), np.ones(n, dtype=np.int64), np.zeros(n, dtype=bool)
-    parents, children = [], []
-    while True:
-        rest = np.flatnonzero(~asked & (label != np.argmax(count)))
-        if not len(rest):
-            return parents, children
-        at = int(rest[0])
-        asked[at] = True
-        first = np.searchsorted(members, sets[at], "left")
-        lengths = np.searchsorted(members, sets[at], "right") - first
-        places = np.arange(lengths.sum()) + np.repeat(first - np.cumsum(lengths) + lengths, lengths)
-        common = np.bincount(owners[places], minlength=n)
-        near = common >= similarity * (sizes[at] + sizes - common) - 1e-9
-        for other in np.flatnonzero(near & (label != label[at])).tolist():
-            old, new = int(label[other]), int(label[at])
-            if old != new:
-                parents.append(at)
-                children.append(other)
-                if count[old] > count[new]:
-                    old, new = new, old
-                label[label == old] = new
-                count[new] += count[old]
-                count[old] = 0
-
-
-def _verified_groups(similarity: float):
-    """Turns sorted groups (root, i, j) of sets into the links that hold."""
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
-            found = np.array(nodes, dtype=np.int64)
-            parents, children = verified_forest(
-                [np.frombuffer(one, dtype=np.uint64) for one in sets], similarity
-            )
-            ends = np.stack([found[parents], found[children]]) if parents else np.zeros((2, 0), np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ends.min(axis=0)), pa.array(ends.max(axis=0))], names=["low", "high"]
-            )
-
-        key, nodes, sets = None, [], []
-        for batch in batches:
-            keys = zip(*(batch[k].to_pylist() for k in ("root", "i", "j")), strict=True)
-            for at, (own, node) in enumerate(zip(keys, batch["node"].to_pylist(), strict=True)):
-                if own != key and len(nodes) > 1:
-                    yield links(nodes, sets)
-                if own != key:
-                    key, nodes, sets = own, [], []
-                nodes.append(node)
-                sets.append(batch["members"][at].as_py())
-        if len(nodes) > 1:
-            yield links(nodes, sets)
-
-    return of
-
-
-def _verified(
-    texts: DataFrame, nodes: DataFrame, found: DataFrame, scratch: Scratch, words: int,
-    similarity: float, verified: int,
-) -> DataFrame:
-    """The links between texts of the similarity, from links (low, high) of candidates.
-
-    The candidates' links are a forest, so a link that holds may be one of two nodes that
-    they connect only through others. Therefore the whole component that they make is
-    compared: only its texts, one for each node, are read again. Components of many
-    shingles are dealt over tiles like large buckets.
-    """
-    roots = components(found, scratch, "candidates")
-    members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    members = scratch.keep(
-        members.join(nodes.select("node", "text_hash", "size"), "node"), name="members"
-    )
-    total = members.groupBy("root").agg(F.sum("size").alias("total"))
-    members = members.join(total, "root").withColumn(
-        "tiles", F.ceil(F.col("total") / verified).cast("int")
-    )
-    own = texts.join(members, "text_hash").groupBy("root", "node", "tiles").agg(F.min("text").alias("text"))
-
-    def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text.as_py(), words).tobytes() for text in batch["text"]]
-            yield pa.RecordBatch.from_arrays(
-                [batch["root"], batch["node"], batch["tiles"], pa.array(sets, pa.binary())],
-                names=["root", "node", "tiles", "members"],
-            )
-
-    sets = own.mapInArrow(collected, "root bigint, node bigint, tiles int, members binary")
-    key = ["root", "i", "j"]
-    tiled = (
-        sets.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select(
-            "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "node", "members",
-        )
-    )
-    return (
-        tiled.repartition(*key).sortWithinPartitions(*key)
-        .mapInArrow(_verified_groups(similarity), "low bigint, high bigint").distinct()
-    )
-
-
-def alike(
-    docs: DataFrame, scratch: Scratch, words: int = ALIKE_WORDS, similarity: float = ALIKE,
-    bits: int = ALIKE_BITS, tile: int = TILE, together: int = TOGETHER, verified: int = VERIFIED,
-) -> DataFrame:
-    """doc_id, component_id and text_hash (XXH64) of every row of `docs`: groups of texts of
-    a similarity.
-
-    Texts are linked if the Jaccard similarity of their sets of shingles is at least
-    `similarity`, which is verified for every link. Candidates among texts of up to SHORT
-    shingles are found without chance: of the smallest hashes they share one, and odd
-    sketches never differ by more than the sets do. Among longer ones they are pairs
-    within a wide radius of SimHash, of which about one in a thousand at `similarity`
-    never meets, and hardly any of more similar ones; in a larger group others link them.
-
-    Each fingerprint goes to a bucket of every table, by the bits drawn for the table;
-    within a bucket the bit planes are compared. Buckets over `tile` are compared tile by
-    tile, and tasks hand out forests, so a group of near copies of any size is never
-    paired off. What they connect is verified together. Texts without words are alike
-    only to each other. component_id is the smallest doc_id of a group; it is null only
-    where no row of the group has an id. Every different set of shingles is a node.
-    """
-    import xxhash
-
-    scratch = scratch.inner()
-    long_from = math.ceil(similarity * SHORT)
-
-    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sizes, prints, shorts = [], [], [], []
-            # One text at a time: a batch's texts as Python objects would double its memory.
-            for text in batch["text"]:
-                own = shingle_set(text.as_py(), words)
-                keys.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sizes.append(len(own))
-                prints.append(set_fingerprint(own, bits) if len(own) >= long_from else b"")
-                short = 0 < len(own) <= SHORT
-                shorts.append(
-                    odd_sketch(own, bits) + own[:prefix_length(len(own), similarity)].tobytes()
-                    if short else b""
-                )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["did"], batch["text_hash"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                    pa.array(prints, pa.binary()), pa.array(shorts, pa.binary()),
-                ],
-                names=["did", "text_hash", "key", "size", "fp", "short"],
-            )
-
-    texts = docs.select(
-        known_id(F.col("doc_id")).alias("did"), F.xxhash64("text").alias("text_hash"), "text"
-    )
-    prints = scratch.keep(
-        texts.mapInArrow(
-            printed, "did bigint, text_hash bigint, key binary, size bigint, fp binary, short binary"
-        ),
-        name="prints",
-    )
-    nodes = scratch.keep(
-        prints.groupBy("key", "size", "fp", "short").agg(F.min("text_hash").alias("text_hash"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        name="nodes",
-    )
-    tables = bucket_tables(nodes.where(F.length("fp") > 0).count(), similarity, bits)
-    weights = np.int64(1) << np.arange(tables.shape[1], dtype=np.int64)
-    width = bits // 8
-
-    def rows_of(masks, parts, nodes, prints) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(masks, pa.int64()), pa.array(parts, pa.int64()), pa.array(nodes, pa.int64()),
-                pa.array(prints, pa.binary()),
-            ],
-            names=["mask", "part", "node", "fp"],
-        )
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (
-            batch.slice(at, ROWS_AT_ONCE) for batch in batches
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE)
-        )
-        for batch in parts:
-            short = []
-            for node, size, sketch in zip(
-                batch["node"].to_pylist(), batch["size"].to_pylist(), batch["short"].to_pylist(), strict=True
-            ):
-                if sketch:
-                    own = size_class(size, similarity)
-                    short += [
-                        (-1 - number, part, node, sketch[:width])
-                        for part in np.frombuffer(sketch[width:], dtype=np.int64).tolist()
-                        for number in (own, own + 1)
-                    ]
-            if short:
-                yield rows_of(*zip(*short, strict=True))
-            batch = batch.filter(pa.compute.greater(pa.compute.binary_length(batch["fp"]), 0))
-            if not batch.num_rows:
-                continue
-            rows = np.frombuffer(b"".join(batch["fp"].to_pylist()), dtype=np.uint8)
-            set_bits = np.unpackbits(rows.reshape(batch.num_rows, -1), axis=1).astype(np.int64)
-            for number, chosen in enumerate(tables):
-                yield rows_of(
-                    np.full(batch.num_rows, number), set_bits[:, chosen] @ weights, batch["node"], batch["fp"]
-                )
-
-    wide = alike_radius(similarity, bits, BEYOND_CANDIDATES)
-
-    def radius(mask: int) -> int:
-        return wide if mask >= 0 else class_radius(int(-1 - mask), similarity)
-
-    bucketed = nodes.select("node", "size", "fp", "short").mapInArrow(
-        dealt, "mask bigint, part bigint, node bigint, fp binary"
-    )
-    # Few buckets exceed a tile, and the planner knows the size of their list.
-    large = scratch.keep(
-        bucketed.groupBy("mask", "part").agg(F.count("*").alias("n")).where(F.col("n") > tile),
-        name="large",
-    )
-    found = scratch.keep(
-        _linked(
-            bucketed.join(large, ["mask", "part"], "left"), tile,
-            _links_of_groups(radius, together, _lanes),
-        ),
-        name="links",
-    )
-    held = scratch.keep(
-        _verified(texts.select("text_hash", "text"), nodes, found, scratch, words, similarity, verified),
-        name="verified",
-    )
-    roots = components(held, scratch)
-    grouped = scratch.keep(
-        nodes.select("key", "node").join(roots, "node", "left")
-        .select("key", F.coalesce("root", "node").alias("root")),
-        name="grouped",
-    )
-    rows = scratch.keep(prints.select("did", "text_hash", "key").join(grouped, "key").drop("key"), name="rows")
-    least = scratch.keep(rows.groupBy("root").agg(F.min("did").alias("least")), name="least")
-    return rows.join(least, "root").select(
-        original_id(F.col("did")).alias("doc_id"), original_id(F.col("least")).alias("component_id"),
-        "text_hash",
+        original_id(F.col("component")).alias("component_id"), "text_hash",
     )

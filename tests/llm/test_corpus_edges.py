@@ -49,7 +49,6 @@ OPERATORS = {
     "mix": lambda docs, scratch: mixing.mix(docs, scratch),
     "shard": lambda docs, scratch: sharding.shard(docs, scratch),
     "simhash": lambda docs, scratch: simhash.near_duplicates(docs, scratch),
-    "alike": lambda docs, scratch: simhash.alike(docs, scratch),
     "decontaminate": lambda docs, scratch: decontamination.contaminated(
         docs, docs.select(F.lit(1).alias("item_id"), "text")
     ),
@@ -289,52 +288,6 @@ def test_mix_is_systematic(documents, scratch):  # noqa: F811
     assert re.fullmatch("s[01]", mixed[0].source)
 
 
-def test_long_fingerprints_compare_like_short_ones():
-    rng = np.random.default_rng(5)
-    values = rng.integers(0, 2**63, (150, 4), dtype=np.uint64)
-    values[75:] = values[:75] ^ (np.uint64(1) << rng.integers(0, 40, (75, 4), dtype=np.uint64))
-    values[100:110] = ~values[90:100]
-    bits = np.unpackbits(values.view(np.uint8), axis=1)
-    distances = (bits[:, None, :] != bits[None, :, :]).sum(axis=2)
-    for radius in (3, 4, 50):
-        near = simhash.near_rows(values, radius)
-        got = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, :150]
-        assert (got.astype(bool) == (distances <= radius)).all()
-
-
-def test_alike_texts_share_a_component(documents, scratch):
-    rng = np.random.default_rng(6)
-
-    def prose(n):
-        return [f"w{k}" for k in rng.integers(0, 5000, n)]
-
-    rows, groups = [], []
-    for group in range(12):
-        words = prose(300)
-        for copy in range(6):
-            changed = list(words)
-            if copy:
-                changed[int(rng.integers(300))] = f"other{copy}"
-            rows.append((len(rows), " ".join(changed)))
-            groups.append(group * 6)
-    passage = prose(60)
-    for _ in range(20):
-        # A shared passage of 60 words does not make 400 other words alike.
-        groups.append(len(rows))
-        rows.append((len(rows), " ".join(prose(200) + passage + prose(200))))
-    short = len(rows)
-    rows += [(short, None), (short + 1, ""), (short + 2, " \n"), (short + 3, "one"), (short + 4, "ONE "),
-             (short + 5, "one two three four five six"), (None, "one"), (None, "nobody else"), (None, "nobody else")]
-    groups += [short] * 3 + [short + 3] * 2 + [short + 5]
-    for tile in (simhash.TILE, 16):
-        found = simhash.alike(documents(rows), scratch, tile=tile).collect()
-        by_id = {row.doc_id: row.component_id for row in found if row.doc_id is not None}
-        assert by_id == dict(enumerate(groups))
-        assert sorted(str(row.component_id) for row in found if row.doc_id is None) == sorted(
-            [str(short + 3), "None", "None"]
-        )
-
-
 def test_near_copies_go_by_row(spark, documents):  # noqa: F811
     """A row without an id stays, and so does the other text of a repeated id."""
     rows = [*ROWS, (5, "a clean text with that id", "en", "s")]
@@ -345,48 +298,6 @@ def test_near_copies_go_by_row(spark, documents):  # noqa: F811
     assert sorted(map(repr, kept)) == sorted(map(repr, wanted))
 
 
-def jaccard_components(texts, words=5, similarity=0.8):
-    """Brute force: exact Jaccard of all pairs, then the smallest index of each component."""
-    sets = []
-    for text in texts:
-        own = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
-        sets.append({tuple(own[i:i + words]) for i in range(max(1, len(own) - words + 1))} if own else set())
-    root = list(range(len(texts)))
-    for a in range(len(texts)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) and root[a] != root[b]:
-                low, high = sorted((root[a], root[b]))
-                root = [low if x == high else x for x in root]
-    return root
-
-
-def changed_texts(sizes, rng):
-    """Texts of so many shingles, and copies with words changed at the end or start."""
-    rows = []
-    for size in sizes:
-        base = [f"w{k}" for k in rng.integers(0, 5000, size + 4)]
-        rows.append(" ".join(base))
-        for changed in sorted({1, 2, max(1, size // 10), max(1, size // 9), max(1, size // 8), size // 5 + 1}):
-            rows.append(" ".join([*base[:-changed], *(f"x{k}" for k in rng.integers(0, 5000, changed))]))
-            rows.append(" ".join(base[:-changed]))
-            rows.append(" ".join([*(f"y{k}" for k in rng.integers(0, 5000, changed)), *base]))
-    return rows
-
-
-def test_alike_short_texts_equal_brute_force(documents, scratch):  # noqa: F811
-    texts = changed_texts([*range(1, 24), *range(40, 70, 3)] * 2, np.random.default_rng(8))
-    found = simhash.alike(documents(texts), scratch).collect()
-    assert {row.doc_id: row.component_id for row in found} == dict(enumerate(jaccard_components(texts)))
-
-
-def test_alike_long_texts_equal_brute_force(documents, scratch):  # noqa: F811
-    texts = changed_texts([80, 150, 300, 600] * 4, np.random.default_rng(9))
-    wanted = dict(enumerate(jaccard_components(texts)))
-    for verified in (simhash.VERIFIED, 1000):
-        found = simhash.alike(documents(texts), scratch, verified=verified).collect()
-        assert {row.doc_id: row.component_id for row in found} == wanted
-
-
 def proposed(text):
     return {(kind, text[start:end]) for kind, start, end in pii.candidates(text)}
 

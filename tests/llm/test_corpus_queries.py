@@ -12,13 +12,13 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
 import corpus_pipeline
 from forgepulse.llm import queries as corpus
-from forgepulse.llm import simhash
 
 DATA = "/root/testdata/sf0.001"
 
@@ -51,7 +51,7 @@ def results(spark):
 
 def test_all_are_registered():
     names = list(registry.queries())
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert "pipeline" in names
     assert set(corpus.ORACLE) <= set(corpus.QUERIES)
@@ -164,6 +164,15 @@ def test_tokens_equal_the_tokenizer(results, texts):
         start += len(ids)
 
 
+def test_pieces_equal_the_library(results, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for row in results("op12_sentence_pieces"):
+        ids = library.encode(texts[row["doc_id"]])
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -214,10 +223,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, results, texts, duck):
     of the mix from its own operator."""
     rejected = {row["doc_id"] for row in results("op8_language_id") if row["rejected"]}
     kept = {i: text for i, text in texts.items() if i not in rejected}
-    roots = components_of(
-        {i: int.from_bytes(simhash.long_fingerprint(text), "big") for i, text in kept.items()},
-        simhash.alike_radius(simhash.ALIKE),
-    )
+    roots = components_of({i: simhash_of(text) for i, text in kept.items()})
     unsafe = {row["doc_id"] for row in results("op5_decontamination") if row["contaminated"]}
     kept = {i for i in kept if roots[i] == i and i not in unsafe}
     docs = spark.read.parquet(f"{DATA}/documents.parquet").where(

@@ -25,11 +25,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that share 0.8 of their five-word shingles, the document
-    with the smallest doc_id; rows of the group that repeat it stay with it, as do all rows
-    without one. Other texts of a doc_id that goes are not touched.
+    """Of each group of documents that links of SimHash connect, the one with the smallest
+    doc_id; rows of the group that repeat it stay with it, as do all rows without one.
+    Other texts of a doc_id that goes are not touched.
     """
-    groups = simhash.alike(docs.select("doc_id", "text"), Scratch(spark))
+    groups = simhash.near_duplicates(docs, Scratch(spark))
     # A comparison with null drops nothing.
     dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")

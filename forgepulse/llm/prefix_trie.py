@@ -485,10 +485,14 @@ def prefix_trie(
             F.coalesce("whole", "ends_sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"),
         )
     )
-    closed = ranges.where(F.col("kind") == CLOSED).join(parents, "parent", "left").select(
-        "conv_id", "depth", F.coalesce("parent_conv_id", "parent_conv").alias("parent_conv_id"), "n_convs",
-        "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+    # Only the few whose parent is open are joined; the others know it.
+    closed = ranges.where(F.col("kind") == CLOSED)
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    below = (
+        closed.where(F.col("parent").isNotNull()).drop("parent_conv_id").join(parents, "parent")
+        .withColumnRenamed("parent_conv", "parent_conv_id").select(*columns)
     )
+    closed = closed.where(F.col("parent").isNull()).select(*columns).unionByName(below)
     return closed.unionByName(opened)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,10 @@ from forgepulse.binding import AS_OF
 from forgepulse.functions.events import hour_key
 from forgepulse.operators import community, enrichment, ingestion, profiles, quality, staging, trending
 from forgepulse.operators.activity import activity_of_events, daily_signals, int_repo_daily_activity
-from forgepulse.plans import layers, pipeline
+from forgepulse.plans import layers, pipeline, upkeep
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse, landed_hours
+from forgepulse.sources.warehouse import Warehouse, landed_files, landed_hours
 from forgepulse.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,14 +48,24 @@ _landings: dict[tuple[str, str], str] = {}
 
 
 def _land(spark: SparkSession, sf_dir: str) -> str:
-    """The events as hour files, gzip JSON in a folder per hour; written once per session."""
+    """The events as gzip JSON in a folder per hour, two files each (even and odd ids), an
+    unusable record in every file; written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landings:
         folder = Scratch(spark).path("landing")
         records = binding.landed_records(_events(spark, sf_dir))
-        records.repartition("hour_key").write.partitionBy("hour_key").option(
-            "compression", "gzip"
-        ).json(folder)
+        fields = [name for name in records.columns if name != "hour_key"]
+        lines = records.select(
+            "hour_key", F.pmod(F.col("id").cast("bigint"), F.lit(2)).alias("slot"),
+            F.to_json(F.struct(*fields)).alias("value"),
+        )
+        broken = lines.select("hour_key", "slot").distinct().withColumn(
+            "value", F.concat(F.lit("{broken "), "hour_key", F.lit(" "), F.col("slot").cast("string"))
+        )
+        for slot in (0, 1):
+            lines.unionByName(broken).where(F.col("slot") == slot).repartition("hour_key").select(
+                "hour_key", "value"
+            ).write.mode("append").partitionBy("hour_key").option("compression", "gzip").text(folder)
         _landings[key] = folder
     return _landings[key]
 
@@ -67,6 +78,39 @@ def ingest_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.events().select(*EVENT_COLUMNS)
 
 
+def _in_two_loads(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
+    """A warehouse whose earlier half of the hours is loaded."""
+    folder = _land(spark, sf_dir)
+    warehouse = Warehouse(spark, Scratch(spark).path("warehouse"))
+    hours = sorted(landed_hours(spark, folder))
+    ingestion.ingest_hours(warehouse, folder, hours[: len(hours) // 2], AS_OF)
+    return warehouse, folder
+
+
+def concurrent_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads side by side of overlapping hours, in which events of the same dates occur."""
+    folder = _land(spark, sf_dir)
+    warehouse = Warehouse(spark, Scratch(spark).path("warehouse"))
+    hours = sorted(landed_hours(spark, folder))
+    part = -(-len(hours) // 4)
+    loads = [hours[max(0, at - part // 2):at + part] for at in range(0, len(hours), part)]
+    with ThreadPool(len(loads)) as pool:
+        pool.map(lambda keys: ingestion.ingest_hours(warehouse, folder, keys, AS_OF), loads, chunksize=1)
+    return warehouse.events().select(*EVENT_COLUMNS)
+
+
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by date after two loads and a compaction: the rows, a sum of the ids, and the
+    segments they lie in."""
+    warehouse, folder = _in_two_loads(spark, sf_dir)
+    ingestion.ingest_hours(warehouse, folder, sorted(landed_hours(spark, folder)), AS_OF)
+    upkeep.compact_events(warehouse, segments=1)
+    return warehouse.events().groupBy("event_date").agg(
+        F.count("*").alias("row_count"), F.sum("event_id").alias("id_sum"),
+        F.count_distinct(F.regexp_extract(F.input_file_name(), "segment=([0-9a-f]+)", 1)).alias("segments"),
+    )
+
+
 def hour_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     return events.select("event_id", hour_key("created_at").alias("hour_key"))
@@ -119,32 +163,69 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run from landed files; the rows of every model as stored."""
-    scratch = Scratch(spark)
-    warehouse = Warehouse(spark, scratch.path("warehouse"))
+    """Two runs from landed files, the second over the later hours and the metadata; of every
+    model as stored its rows, and of its numbers the sums and the nulls."""
+    warehouse, folder = _in_two_loads(spark, sf_dir)
+    pipeline.run_pipeline(warehouse, AS_OF)
     records = binding.bound_metadata(spark, sf_dir)
-    models = pipeline.run_pipeline(warehouse, AS_OF, _land(spark, sf_dir), records)
+    models = pipeline.run_pipeline(warehouse, AS_OF, folder, records)
     views = staging.staging_views(warehouse.events())
-    counts = [
-        (views[model] if model in views else layers.read_model(warehouse, model)).agg(
-            F.lit(model).alias("model"), F.count("*").alias("row_count")
-        )
+    return reduce(DataFrame.unionByName, [
+        _profile(views[model] if model in views else layers.read_model(warehouse, model), model)
         for model in models
+    ])
+
+
+# Sums of doubles depend on their order, so numbers are summed as millionths.
+_NUMBERS = {"bigint", "int", "double"}
+
+
+def _profile(df: DataFrame, model: str) -> DataFrame:
+    """A row for each column: the rows of its model, its nulls and, of numbers, their sum."""
+    kinds = dict(df.dtypes)
+    values = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.count_if(F.col(name).isNull()).alias("nulls"),
+            (
+                F.sum(F.round(F.col(name).cast("double") * 1_000_000).cast("decimal(38,0)"))
+                .cast("string") if kinds[name] in _NUMBERS else F.lit(None).cast("string")
+            ).alias("millionths"),
+        )
+        for name in sorted(df.columns)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return (
+        df.agg(F.count("*").alias("row_count"), F.array(*values).alias("columns"))
+        .select(F.lit(model).alias("model"), "row_count", F.explode("columns").alias("own"))
+        .select("model", "row_count", "own.*")
+    )
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded in at least three micro-batches, then once more from the same checkpoint."""
+def _streamed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Loaded in at least three micro-batches that part the files of hours, then once more
+    from the same checkpoint."""
     scratch = Scratch(spark)
     folder = _land(spark, sf_dir)
     warehouse = Warehouse(spark, scratch.path("warehouse"))
-    files = -(-len(landed_hours(spark, folder)) // 3)
+    files = -(-len(landed_files(spark, landed_hours(spark, folder))) // 3) | 1
     for _ in range(2):
         ingest.load_available(
             warehouse, folder, AS_OF, scratch.path("state"), files
         ).awaitTermination()
-    return warehouse.events().select(*EVENT_COLUMNS)
+    return warehouse
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).events().select(*EVENT_COLUMNS)
+
+
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after a streamed load, with the quarantined records of each hour."""
+    warehouse = _streamed(spark, sf_dir)
+    rejected = warehouse.quarantine().groupBy("hour_key").agg(F.count("*").alias("rejected"))
+    return warehouse.ledger().join(rejected, "hour_key").select(
+        "hour_key", "row_count", "status", "rejected"
+    )
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +356,9 @@ def own_queries() -> dict[str, Query]:
         "mart_new_repo_breakout": new_repo_breakout,
         "mart_viral_velocity": viral_velocity,
         "stream_ingest": stream_ingest,
+        "stream_ledger": stream_ledger,
+        "concurrent_loads": concurrent_loads,
+        "compaction": compaction,
         "stream_hourly": stream_hourly,
     }
 
@@ -296,6 +380,6 @@ def oracle_sql() -> dict[str, str]:
         chain: dict[str, str] = {}
         _with_inputs(name, texts, chain)
         body = chain.pop(name)
-        inputs = ",\n".join(f"{other} as (\n{text}\n)" for other, text in chain.items())
+        inputs = ",\n".join(f"{other} as materialized (\n{text}\n)" for other, text in chain.items())
         result[name] = f"with {inputs}\nselect * from (\n{body}\n)"
     return result | (corpus.ORACLE if corpus else {})

@@ -19,7 +19,7 @@ from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
 from forgepulse.schema import EVENTS, METADATA
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import EVENTS_TABLE, Warehouse
+from forgepulse.sources.warehouse import arranged
 
 AS_OF = AsOf(datetime(2024, 1, 31))
 
@@ -130,9 +130,9 @@ def event_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        warehouse = Warehouse(spark, Scratch(spark).path("bound"))
-        warehouse.append_events(bound_events(spark, sf_dir))
-        _stored[key] = warehouse.path(EVENTS_TABLE), warehouse.events()
+        path = Scratch(spark).path("bound")
+        arranged(bound_events(spark, sf_dir)).write.partitionBy("event_date").parquet(path)
+        _stored[key] = path, spark.read.schema(EVENTS).parquet(path).select(*EVENTS.names)
     return _stored[key]
 
 

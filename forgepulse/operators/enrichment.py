@@ -9,6 +9,8 @@ from forgepulse import rules
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import since, with_event_date
 from forgepulse.schema import METADATA
+from forgepulse.sources.versions import Conflict, Version
+from forgepulse.sources.warehouse import BUCKETS, METADATA_BASE, METADATA_DELTAS, Warehouse
 
 
 def enrichment_candidates(
@@ -52,3 +54,40 @@ def metadata_upsert(current: DataFrame, records: DataFrame) -> DataFrame:
         .select("repo_id", "row.*")
         .select(*METADATA.names)
     )
+
+
+def upsert_metadata(warehouse: Warehouse, records: DataFrame) -> None:
+    """Publishes fetched records as a delta, which reads merge into what is stored; the
+    buckets are not touched."""
+    segment = warehouse.write_segment(METADATA_DELTAS, records.select(*METADATA.names))
+
+    def change(content: dict, now: Version) -> None:
+        content.setdefault(METADATA_DELTAS, {})[segment] = {}
+
+    warehouse.publish(change)
+
+
+def merge_metadata(warehouse: Warehouse) -> list[str]:
+    """Rewrites the buckets that deltas have rows for, publishes them without the deltas, and
+    returns them. Deltas that come meanwhile stay."""
+    base = warehouse.version()
+    deltas = list(base.get(METADATA_DELTAS))
+    if not deltas:
+        return []
+    bucket = F.pmod(F.xxhash64("repo_id"), F.lit(BUCKETS)).cast("int")
+    known = F.col("repo_id").isNotNull()
+    records = warehouse.read_segments(METADATA_DELTAS, METADATA, deltas).where(known)
+    # A bucket's number each, not rows.
+    touched = [str(row.bucket) for row in records.select(bucket.alias("bucket")).distinct().collect()]
+    merged = metadata_upsert(warehouse.metadata_base(base, touched), records).withColumn("bucket", bucket)
+    segment = warehouse.write_segment(METADATA_BASE, merged.hint("rebalance", "bucket"), ["bucket"])
+
+    def change(content: dict, now: Version) -> None:
+        if any(now.get(METADATA_BASE).get(name) != base.get(METADATA_BASE).get(name) for name in touched):
+            raise Conflict("metadata were merged meanwhile")
+        content.setdefault(METADATA_BASE, {}).update(dict.fromkeys(touched, segment))
+        for delta in deltas:
+            content[METADATA_DELTAS].pop(delta, None)
+
+    warehouse.publish(change)
+    return sorted(touched, key=int)

@@ -1,20 +1,32 @@
-"""Loading landed hours into the event table, so that repeating a load changes nothing."""
+"""Loading landed hours into the event table, so that repeating a load changes nothing.
+
+A load is written, audited and published: its rows and its files' entries lie in segments
+that no reader sees until one commit names them all.
+"""
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
-from forgepulse.operators.quality import observe_nulls
-from forgepulse.schema import EVENTS
-from forgepulse.sources.landing import quarantined, read_landed
+from forgepulse.operators.quality import REQUIRED
+from forgepulse.schema import EVENTS, FILES, REJECTED
+from forgepulse.sources.landing import read_landed, rejected
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse, hour_frame, landed_hours
+from forgepulse.sources.versions import Conflict, Version
+from forgepulse.sources.warehouse import (
+    EVENT_SEGMENTS, FILE_SEGMENTS, REJECTED_SEGMENTS, Warehouse, add_events, check_not_loaded_since,
+    landed_files, landed_hours,
+)
+
+# Times a load is worked out anew because others published rows of its dates first.
+ATTEMPTS = 20
 
 
 def backfill_hours(spark: SparkSession, first: date | str, last: date | str) -> DataFrame:
@@ -40,127 +52,132 @@ def pending_hours(hours: DataFrame, ledger: DataFrame) -> DataFrame:
     return hours.join(ledger.where(F.col("status") == "loaded"), "hour_key", "left_anti")
 
 
-def one_per_event(events: DataFrame, repeated: DataFrame) -> DataFrame:
-    """One row per event id, the one from the earliest-named file.
+def one_per_event(events: DataFrame, ids: DataFrame, known: DataFrame) -> DataFrame:
+    """One row per event id that is not `known`, the one from the earliest-named file.
 
-    Only the rows of the `repeated` ids are grouped; all others pass as they are. An
-    aggregate rather than a window: copies are combined before the shuffle, so an event
-    repeated any number of times is no large group.
+    `ids` has the rows of each id. Ids that repeat or are known are a narrow list, joined
+    once to the whole rows; then only the rows of repeated ids are grouped, and all others
+    pass as they are. An aggregate rather than a window: copies are combined before the
+    shuffle, so an event repeated any number of times is no large group.
     """
     rest = [name for name in EVENTS.names if name not in ("event_id", "source_file")]
-    events = events.select(*EVENTS.names)
+    marks = (
+        ids.join(known.withColumn("known", F.lit(True)), "event_id", "left")
+        .where("known or n > 1")
+        .select("event_id", F.coalesce("known", F.lit(False)).alias("known"))
+    )
+    new = events.select(*EVENTS.names).join(marks, "event_id", "left").where("known is null or not known")
     copies = (
-        events.join(repeated, "event_id", "left_semi")
-        .groupBy("event_id")
+        new.where("known is not null").groupBy("event_id")
         .agg(F.min(F.struct("source_file", *rest)).alias("row"))
         .select("event_id", "row.*")
         .select(*EVENTS.names)
     )
-    return events.join(repeated, "event_id", "left_anti").unionByName(copies)
+    return new.where("known is null").select(*EVENTS.names).unionByName(copies)
 
 
 @dataclass(frozen=True)
 class Load:
-    """What a load covered: its ledger entries, the event dates it may have changed, and
-    the nulls among the stored rows in each column that must not have any."""
+    """What a load covered: the event dates it added rows to, and the nulls among its usable
+    records in each column that must not have any."""
 
-    entries: DataFrame
     dates: list[date]
     null_failures: dict[str, int] = field(default_factory=dict)
 
 
-def load_hours(
-    warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf, scratch: Scratch
-) -> Load:
-    """Loads landed hours in one pass and returns the entries to log once all is done.
-
-    Safe to repeat after any failure: rows already stored are recognised by their id.
-    An event keeps its creation time in every file, so only the stored dates that
-    occur in the batch are compared. The collected list holds days, not rows.
-    """
-    paths = landed_hours(warehouse.spark, folder)
-    present = [key for key in keys if key in paths]
-    hours = hour_frame(warehouse.spark, present)
-    if not present:
-        return Load(_entries(hours, None, as_of), [])
-    # Compressed JSON cannot be split or pruned; it is read once.
-    landed = scratch.keep(read_landed(warehouse.spark, [paths[key] for key in present]))
-    return load_landed(warehouse, landed, hours, as_of, scratch)
+class NullsFound(ValueError):
+    """Records without a value in columns that must have one."""
 
 
-def load_landed(
-    warehouse: Warehouse, landed: DataFrame, hours: DataFrame, as_of: AsOf, scratch: Scratch
+def load_files(
+    warehouse: Warehouse, landed: DataFrame, files: list[tuple[str, str]], hour_files: dict[str, int],
+    as_of: AsOf, scratch: Scratch, only_report_nulls: bool = False,
 ) -> Load:
-    """Loads landed records, which are read several times, of the given hours.
-
-    Ids are compared alone: those that repeat, and those stored already, are written as
-    narrow tables, whose sizes the planner knows when it joins them to whole rows.
-
-    The dates are recorded as touched before the first row is stored, so that a refresh
-    takes them in whatever happens in between, and again after the last, for a refresh
-    that ran meanwhile.
+    """Loads the landed records of some files (file, hour), which are read several times.
+
+    `hour_files` has the number of files landed for each hour. The files' entries (usable
+    events of each, whatever other files hold), their unusable records and the rows not
+    stored yet are written, and published together. With nulls in required columns of the
+    landed records nothing is: the load fails, and fails again until the file is repaired,
+    unless `only_report_nulls` leaves it to the reader of `Load.null_failures`.
+
+    Safe to repeat, and beside other loads: rows already stored are recognised by their id,
+    and a load that others were first with on one of its dates compares its ids anew. An
+    event keeps its creation time in every file, so only the stored dates that occur in the
+    batch are compared. The collected lists hold days and files, not rows.
     """
-    warehouse.replace_quarantine(quarantined(landed))
+    spark, batch_id = warehouse.spark, time.time_ns() // 1000
     batch = landed.where(F.col("unusable").isNull())
-    dates = [row.event_date for row in batch.select("event_date").distinct().collect()]
-    warehouse.touch(dates)
-    ids = scratch.keep(batch.groupBy("event_id").agg(F.count("*").alias("n")))
-    repeated = scratch.keep(ids.where("n > 1").select("event_id"))
-    stored = warehouse.events().where(F.col("event_date").isin(dates)).select("event_id")
-    known = scratch.keep(stored.join(ids, "event_id", "left_semi"))
-    nulls = Observation()
-    warehouse.append_events(
-        one_per_event(batch, repeated).join(known, "event_id", "left_anti"),
-        last_step=lambda rows: observe_nulls(rows, nulls),
-    )
-    warehouse.touch(dates)
-    return Load(_entries(hours, batch, as_of), sorted(dates), nulls.get)
-
-
-def _entries(hours: DataFrame, batch: DataFrame | None, as_of: AsOf) -> DataFrame:
-    """A ledger entry per hour with the number of different events in its file."""
-    if batch is None:
-        counted = hours.withColumn("row_count", F.lit(0).cast("bigint"))
-    else:
-        counts = batch.groupBy(F.col("source_file").alias("hour_key")).agg(
-            F.count_distinct("event_id").alias("row_count")
-        )
-        counted = hours.join(counts, "hour_key", "left").fillna(0, subset=["row_count"])
-    return counted.select(
-        "hour_key", "row_count", as_of.time_ago().alias("loaded_at"), F.lit("loaded").alias("status")
+    # Narrow: ids with their files, and the audit, from one pass.
+    seen = scratch.keep(batch.groupBy("event_id", "file", "event_date").agg(
+        F.count("*").alias("n"),
+        *[F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in REQUIRED],
+    ))
+    nulls = seen.agg(*[
+        F.coalesce(F.sum(f"null_{name}"), F.lit(0)).cast("bigint").alias(name) for name in REQUIRED
+    ]).first().asDict()
+    if any(nulls.values()) and not only_report_nulls:
+        raise NullsFound(f"nulls in required columns: {({k: v for k, v in nulls.items() if v})}")
+    dates = sorted(row.event_date for row in seen.select("event_date").distinct().collect())
+    ids = scratch.keep(seen.groupBy("event_id").agg(F.sum("n").alias("n")))
+
+    named = spark.createDataFrame(
+        [(file, hour, hour_files[hour]) for file, hour in files],
+        "file string, hour_key string, hour_files bigint",
     )
-
-
-class NullsFound(ValueError):
-    """Stored rows without a value in columns that must have one."""
-
-
-def check_nulls(load: Load) -> None:
-    """Fails for a load with nulls in required columns, as their declared tests do."""
-    failures = {name: count for name, count in load.null_failures.items() if count}
-    if failures:
-        raise NullsFound(f"nulls in required columns: {failures}")
-
-
-def log_hours(warehouse: Warehouse, load: Load, only_report_nulls: bool = False) -> None:
-    """Adds the entries of hours not logged before.
-
-    With nulls in required columns the hours stay pending and the run fails, unless
-    `only_report_nulls` leaves it to the reader of `Load.null_failures`.
-    """
-    if not only_report_nulls:
-        check_nulls(load)
-    warehouse.append_ledger(pending_hours(load.entries, warehouse.ledger()))
+    counts = seen.groupBy("file").agg(F.count_distinct("event_id").alias("row_count"))
+    entries = named.join(counts, "file", "left").fillna(0, subset=["row_count"]).withColumns({
+        "batch": F.lit(batch_id), "loaded_at": as_of.time_ago(),
+    })
+    written = {
+        FILE_SEGMENTS: warehouse.write_segment(FILE_SEGMENTS, entries.select(*FILES.names).coalesce(1)),
+        REJECTED_SEGMENTS: warehouse.write_segment(
+            REJECTED_SEGMENTS, rejected(landed).withColumn("batch", F.lit(batch_id)).select(*REJECTED.names)
+        ),
+    }
+    for _ in range(ATTEMPTS):
+        base = warehouse.version()
+        stored = warehouse.events_of(base, dates).select("event_id")
+        known = scratch.keep(stored.join(ids, "event_id", "left_semi"))
+        segment = warehouse.write_events(one_per_event(batch, ids, known))
+        added = warehouse.partitions_of(EVENT_SEGMENTS, segment)
+
+        def change(content: dict, now: Version) -> None:
+            check_not_loaded_since(base, now, [day.isoformat() for day in dates])
+            add_events(content, now, segment, added)
+            for table, name in written.items():
+                content.setdefault(table, {})[name] = {"batch": batch_id}
+
+        try:
+            warehouse.publish(change)
+            return Load([date.fromisoformat(day) for day in added], nulls)
+        except Conflict:
+            warehouse.drop_segment(EVENT_SEGMENTS, segment)
+    raise Conflict(f"other loads were first {ATTEMPTS} times")
 
 
 def ingest_hours(
     warehouse: Warehouse, folder: str, keys: list[str], as_of: AsOf, only_report_nulls: bool = False
 ) -> Load:
-    """Loads and logs landed hours; an hour without a file stays pending."""
-    with Scratch(warehouse.spark) as scratch:
-        load = load_hours(warehouse, folder, keys, as_of, scratch)
-        log_hours(warehouse, load, only_report_nulls)
-    return load
+    """Loads landed hours, all their files, in one pass; an hour without a file stays pending."""
+    paths = landed_hours(warehouse.spark, folder)
+    present = {key: paths[key] for key in dict.fromkeys(keys) if key in paths}
+    files = landed_files(warehouse.spark, present)
+    if not files:
+        return Load([], dict.fromkeys(REQUIRED, 0))
+    with Scratch(warehouse.spark, warehouse.path("_scratch")) as scratch:
+        # Compressed JSON cannot be split or pruned; it is read once.
+        landed = scratch.keep(read_landed(warehouse.spark, list(present.values())))
+        return load_files(
+            warehouse, landed, files, files_of_hours(files), as_of, scratch, only_report_nulls
+        )
+
+
+def files_of_hours(files: list[tuple[str, str]]) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    for _, hour in files:
+        counts[hour] = counts.get(hour, 0) + 1
+    return counts
 
 
 def ingest_hour(

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.operators.staging import staging_views
-from forgepulse.sources.storage import exists
-from forgepulse.sources.warehouse import Warehouse
+from forgepulse.sources.versions import Conflict, Version
+from forgepulse.sources.warehouse import EVENT_SEGMENTS, Warehouse
 
 ACTIVITY = "int_repo_daily_activity"
 # Not a model of its own: the plain daily counts others are built from.
@@ -41,26 +41,100 @@ def create_views(events: DataFrame) -> list[str]:
     return list(views)
 
 
+class Build:
+    """Models written by one run, of which no reader sees any before `publish` shows all.
+
+    Events and metadata are those of the version the run began with.
+    """
+
+    def __init__(self, warehouse: Warehouse):
+        self.warehouse = warehouse.pinned()
+        self.written: dict[str, dict] = {}
+        self.only_dates: dict[str, list[str] | None] = {}
+        self.taken_in: list[str] = []
+
+    def write(self, model: str, df: DataFrame, only_dates: list[date] | None = None) -> DataFrame:
+        """Writes a model and returns it as it will be read.
+
+        Daily tables are partitioned by date; with `only_dates`, `df` holds those dates
+        only and the others stay.
+        """
+        name = _table(model)
+        partition_by = "activity_date" if model in BY_DATE else None
+        rows = df.hint("rebalance", partition_by) if partition_by else df
+        segment = self.warehouse.write_segment(name, rows, [partition_by] if partition_by else [])
+        values = self.warehouse.partitions_of(name, segment) if partition_by else []
+        self.written[name] = {
+            "schema": df.schema.jsonValue(), "partition_by": partition_by, "segments": {segment: values},
+        }
+        self.only_dates[name] = None if only_dates is None else [day.isoformat() for day in only_dates]
+        return self.read(model).select(*df.columns)
+
+    def read(self, model: str) -> DataFrame:
+        """A model as this run leaves it."""
+        name = _table(model)
+        entry = self.written.get(name)
+        if entry is None:
+            return read_model(self.warehouse, model)
+        return self.warehouse.read_entry(name, self._merged(name, self.warehouse.version().get(name)))
+
+    def _merged(self, name: str, before: dict) -> dict:
+        """The model's entry: dates this run has not rebuilt stay in their segments."""
+        entry, dates = self.written[name], self.only_dates[name]
+        if dates is None:
+            return entry
+        kept = {
+            segment: [day for day in days if day not in set(dates)]
+            for segment, days in before["segments"].items()
+        }
+        kept = {segment: days for segment, days in kept.items() if days}
+        return entry | {"segments": kept | entry["segments"]}
+
+    def publish(self) -> None:
+        """Shows all models written in one step, and marks the events the daily tables took in.
+
+        If another run published a daily table meanwhile, dates rebuilt here on its former
+        state would not fit, and nothing is published.
+        """
+        base = self.warehouse.version()
+
+        def change(content: dict, now: Version) -> None:
+            for name, entry in self.written.items():
+                if self.only_dates[name] is not None and now.get(name) != base.get(name):
+                    raise Conflict(f"{name} was published meanwhile")
+                content[name] = self._merged(name, now.get(name)) if self.only_dates[name] is not None else entry
+            for segment in self.taken_in:
+                if segment in content.get(EVENT_SEGMENTS, {}):
+                    content[EVENT_SEGMENTS][segment]["pending"] = []
+
+        self.warehouse.publish(change)
+
+    def drop(self) -> None:
+        """Deletes what was written, after a run that failed."""
+        for name, entry in self.written.items():
+            for segment in entry["segments"]:
+                self.warehouse.drop_segment(name, segment)
+
+
 def write_model(
     warehouse: Warehouse, model: str, df: DataFrame, only_dates: list[date] | None = None
 ) -> DataFrame:
-    """Rebuilds a model's table and returns it as stored.
-
-    Daily tables are partitioned by date; with `only_dates`, `df` holds those dates
-    only and the others stay.
-    """
-    name = f"{layer_of(model)}/{model}"
-    partition_by = ["activity_date"] if model in BY_DATE else []
-    warehouse.write(name, df, partition_by, only_touched=only_dates is not None)
-    return read_model(warehouse, model).select(*df.columns)
+    """Rebuilds one model's table, publishes it and returns it as stored."""
+    build = Build(warehouse)
+    stored = build.write(model, df, only_dates)
+    build.publish()
+    return stored
 
 
 def is_built(warehouse: Warehouse, model: str) -> bool:
-    """Whether the model's last rebuild was completed."""
-    return exists(warehouse.spark, warehouse.path(f"{layer_of(model)}/{model}/_SUCCESS"))
+    return bool(warehouse.version().get(_table(model)))
 
 
 def read_model(warehouse: Warehouse, model: str, ordered: bool = False) -> DataFrame:
     direction, *columns = READ_ORDER.get(model, [F.desc])
     order_by = [direction(name) for name in columns] if ordered else []
-    return warehouse.read(f"{layer_of(model)}/{model}", order_by)
+    return warehouse.read(_table(model), order_by)
+
+
+def _table(model: str) -> str:
+    return f"{layer_of(model)}/{model}"

@@ -14,15 +14,13 @@ from forgepulse.operators.community import (
     mart_contributor_migration, mart_ecosystem_hourly, mart_fork_conversion, mart_org_scoreboard,
     mart_release_momentum, mart_viral_velocity,
 )
-from forgepulse.operators.enrichment import metadata_upsert
-from forgepulse.operators.ingestion import Load, check_nulls, load_hours, log_hours, pending_hours
+from forgepulse.operators.enrichment import upsert_metadata
+from forgepulse.operators.ingestion import Load, ingest_hours, pending_hours
 from forgepulse.operators.profiles import int_contributor_profiles, int_org_activity
 from forgepulse.operators.trending import (
     mart_ai_ecosystem, mart_new_repo_breakout, mart_trending_by_topic, mart_trending_repos,
 )
-from forgepulse.plans.layers import (
-    ACTIVITY, SIGNALS, create_views, is_built, read_model, write_model,
-)
+from forgepulse.plans.layers import ACTIVITY, SIGNALS, Build, create_views, is_built
 from forgepulse.sources.storage import Scratch
 from forgepulse.sources.warehouse import Warehouse, hour_frame, landed_hours
 
@@ -30,31 +28,34 @@ from forgepulse.sources.warehouse import Warehouse, hour_frame, landed_hours
 CONCURRENCY = 4
 
 
-def load_pending(warehouse: Warehouse, folder: str, as_of: AsOf, scratch: Scratch) -> Load:
-    """Loads all landed hours the ledger does not have yet, without logging them."""
+def load_pending(
+    warehouse: Warehouse, folder: str, as_of: AsOf, only_report_nulls: bool = False
+) -> Load:
+    """Loads all landed hours that the ledger does not have whole."""
     landed = hour_frame(warehouse.spark, sorted(landed_hours(warehouse.spark, folder)))
     keys = [row.hour_key for row in pending_hours(landed, warehouse.ledger()).collect()]
-    return load_hours(warehouse, folder, sorted(keys), as_of, scratch)
+    return ingest_hours(warehouse, folder, sorted(keys), as_of, only_report_nulls)
 
 
-def refresh_daily_tables(warehouse: Warehouse, scratch: Scratch) -> None:
-    """Rebuilds the daily tables: the dates touched since the last refresh by any load,
-    or all when the tables are not there yet.
+def refresh_daily_tables(build: Build, scratch: Scratch) -> None:
+    """Rebuilds the daily tables: the dates of segments not taken in yet, whoever loaded
+    them, or all when the tables are not there yet.
 
     With daily counts stored, reports over all history need not read all events again.
     """
-    names, touched = warehouse.touched()
+    warehouse = build.warehouse
+    touched = warehouse.touched()
     events, dates = warehouse.events(), None
     if all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY)):
-        dates = touched
+        dates = sorted({day for days in touched.values() for day in days})
         if not dates:
             return
-        events = events.where(F.col("event_date").isin(dates))
-    signals = write_model(warehouse, SIGNALS, daily_signals(events), dates)
+        events = warehouse.events_of(warehouse.version(), dates)
+    signals = build.write(SIGNALS, daily_signals(events), dates)
     if dates is not None:
         signals = signals.where(F.col("activity_date").isin(dates))
-    write_model(warehouse, ACTIVITY, int_repo_daily_activity(signals, scratch), dates)
-    warehouse.refreshed(names)
+    build.write(ACTIVITY, int_repo_daily_activity(signals, scratch), dates)
+    build.taken_in = list(touched)
 
 
 def run_pipeline(
@@ -63,32 +64,32 @@ def run_pipeline(
 ) -> list[str]:
     """Loads pending hours and fetched metadata records, then rebuilds every model.
 
-    The hours are logged after the daily tables include them, so a run that failed
-    before is repeated as a whole. Models that do not need each other are submitted
-    together, and Spark shares the executors between them, so that one model's last
-    tasks and commits overlap with the others' work.
+    All models are built from one version of the events and shown together once the last is
+    written; a run that fails leaves the former ones as they are. Models that do not need
+    each other are submitted together, and Spark shares the executors between them, so that
+    one model's last tasks and commits overlap with the others' work.
     """
-    scratch = Scratch(warehouse.spark)
+    if landing:
+        load_pending(warehouse, landing, as_of, only_report_nulls)
+    if records is not None:
+        upsert_metadata(warehouse, records)
+    run = Build(warehouse)
+    scratch = Scratch(warehouse.spark, warehouse.path("_scratch"))
     try:
-        load = load_pending(warehouse, landing, as_of, scratch) if landing else None
-        if load and not only_report_nulls:
-            check_nulls(load)
-        if records is not None:
-            warehouse.replace_metadata(metadata_upsert(warehouse.metadata(), records))
-        events, metadata = warehouse.events(), warehouse.metadata()
+        events, metadata = run.warehouse.events(), run.warehouse.metadata()
 
         def stored(model: str) -> DataFrame:
-            return read_model(warehouse, model)
+            return run.read(model)
 
         def build(**models: Callable[[], DataFrame]) -> Callable[[], list[str]]:
             def write_each() -> list[str]:
                 for model, frame in models.items():
-                    write_model(warehouse, model, frame())
+                    run.write(model, frame())
                 return list(models)
             return write_each
 
         def daily() -> list[str]:
-            refresh_daily_tables(warehouse, scratch)
+            refresh_daily_tables(run, scratch)
             return [ACTIVITY]
 
         built = create_views(events)
@@ -129,8 +130,10 @@ def run_pipeline(
                 # A chunk per task: a free thread takes the next one.
                 for models in pool.map(lambda task: task(), tasks, chunksize=1):
                     built += models
-                if load and daily in tasks:
-                    log_hours(warehouse, load, only_report_nulls)
+        run.publish()
         return built
+    except BaseException:
+        run.drop()
+        raise
     finally:
         scratch.drop()

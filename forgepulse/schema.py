@@ -55,6 +55,23 @@ QUARANTINE = T.StructType([
     T.StructField("hour_key", T.StringType()),
 ])
 
+# What is stored of each load (`batch`): its files, and their unusable records. The newest
+# batch of a file counts.
+FILES = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("hour_key", T.StringType()),
+    T.StructField("row_count", T.LongType()),
+    T.StructField("hour_files", T.LongType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("loaded_at", T.TimestampNTZType()),
+])
+REJECTED = T.StructType([
+    T.StructField("record", T.StringType()),
+    T.StructField("hour_key", T.StringType()),
+    T.StructField("file", T.StringType()),
+    T.StructField("batch", T.LongType()),
+])
+
 _PARTY = T.StructType([T.StructField("id", T.LongType()), T.StructField("login", T.StringType())])
 
 LANDED = T.StructType([

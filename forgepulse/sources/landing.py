@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.functions.events import utc_wall_clock
-from forgepulse.schema import LANDED, QUARANTINE
+from forgepulse.schema import LANDED
 
 # Fixed value: an hour key `yyyy-MM-dd-H` in a file name, or in a folder name
 # such as `hour_key=2024-01-01-5`.
@@ -17,13 +17,15 @@ HOUR_IN_NAME = r"(?:^|=)(\d{4}-\d{2}-\d{2}-\d{1,2})(?:\.|$)"
 def landed_events(records: DataFrame) -> DataFrame:
     """Landed records as flat events, with the raw text of unusable ones.
 
-    `created` is the event time as a zoned timestamp, for watermarks.
+    `created` is the event time as a zoned timestamp, for watermarks; `file` names a landed
+    file by its hour and its own name.
     """
     parsed = records.withColumn("created", F.col("created_at").try_cast("timestamp"))
     fields = F.struct(*[name for name in LANDED.names if name != "_corrupt_record"])
     event_id = F.col("id").try_cast("bigint")
     usable = F.col("_corrupt_record").isNull() & event_id.isNotNull() & F.col("created").isNotNull()
     created_at = utc_wall_clock(F.col("created"))
+    hour = F.regexp_extract("_metadata.file_path", HOUR_IN_PATH, 1)
     return parsed.select(
         event_id.alias("event_id"),
         F.col("type").alias("event_type"),
@@ -34,9 +36,10 @@ def landed_events(records: DataFrame) -> DataFrame:
         F.col("org.id").alias("org_id"),
         F.col("org.login").alias("org_login"),
         created_at.alias("created_at"),
-        F.regexp_extract("_metadata.file_path", HOUR_IN_PATH, 1).alias("source_file"),
+        hour.alias("source_file"),
         F.to_date(created_at).alias("event_date"),
         "created",
+        F.concat(hour, F.lit("/"), "_metadata.file_name").alias("file"),
         F.when(~usable, F.coalesce("_corrupt_record", F.to_json(fields))).alias("unusable"),
     )
 
@@ -54,7 +57,8 @@ def stream_landed(spark, path: str, max_files: int | None = None) -> DataFrame:
     return landed_events(reader.json(path))
 
 
-def quarantined(events: DataFrame) -> DataFrame:
+def rejected(events: DataFrame) -> DataFrame:
+    """The unusable records with their hour and file."""
     return events.where(F.col("unusable").isNotNull()).select(
-        F.col("unusable").alias("record"), F.col("source_file").alias("hour_key")
-    ).select(*QUARANTINE.names)
+        F.col("unusable").alias("record"), F.col("source_file").alias("hour_key"), "file"
+    )

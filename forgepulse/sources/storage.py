@@ -38,6 +38,23 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def create_once(spark: SparkSession, path: str, text: str, beside: str) -> bool:
+    """Writes a whole file under a name nobody has taken, or returns False; readers never see
+    a part of it. `beside` is a name in the same folder for the time of writing."""
+    write_text(spark, beside, text)
+    files, location = _open(spark, path)
+    if not files.exists(location) and files.rename(_open(spark, beside)[1], location):
+        return True
+    drop_folder(spark, beside)
+    return False
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 at which the folder or file was last changed."""
+    files, location = _open(spark, path)
+    return files.getFileStatus(location).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     files, location = _open(spark, path)
     stream = files.open(location)
@@ -48,17 +65,18 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`, else below the warehouse.
+    """The folder all executors share, as `spark.checkpoint.dir` names it.
 
-    Both are shared storage on a cluster; a machine's own folder is never chosen.
+    Where it is unset, a local session (one machine) takes a folder below its warehouse; on
+    a cluster nothing else is known to be shared, so none is guessed.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-    if not warehouse:
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{warehouse.rstrip('/')}/_scratch"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 class Scratch:
@@ -68,9 +86,9 @@ class Scratch:
     planner real sizes to choose join strategies by.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = f"{shared_root(spark)}/forgepulse-{uuid.uuid4().hex}"
+        self.root = f"{root or shared_root(spark)}/forgepulse-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -1,136 +1,253 @@
-"""The stored tables: events, metadata, ledger and model results under one root folder."""
+"""The stored tables: events, files, quarantine, metadata and model results under one root.
+
+Rows lie in segments, folders that are written once and never changed. A version names the
+segments that count, so whatever a load, a rebuild or a compaction has written is published
+by one commit, and a reader pinned to a version sees one state of all tables.
+"""
 
 from __future__ import annotations
 
-import json
 import re
+import time
 import uuid
-from collections.abc import Callable, Sequence
-from datetime import date, datetime, timezone
+from collections.abc import Callable, Iterable, Sequence
+from copy import deepcopy
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forgepulse.schema import EVENTS, LEDGER, METADATA, QUARANTINE
+from forgepulse.schema import EVENTS, FILES, LEDGER, METADATA, QUARANTINE, REJECTED
 from forgepulse.sources.landing import HOUR_IN_NAME
-from forgepulse.sources.storage import child_names, drop_folder, exists, read_text, write_text
+from forgepulse.sources.storage import child_names, drop_folder, modified
+from forgepulse.sources.versions import Conflict, Version, Versions
 
-EVENTS_TABLE = "raw/events"
-TOUCHED = "raw/touched_dates"
-SCHEMAS = "schemas"
+EVENT_SEGMENTS, FILE_SEGMENTS, REJECTED_SEGMENTS = "raw/events", "raw/files", "raw/quarantine"
+METADATA_BASE, METADATA_DELTAS = "raw/metadata", "raw/metadata_deltas"
+# Event dates by the number of the version that last added rows to them.
+LAST_LOADED = "last_loaded"
+SEGMENT = "segment"
+# Buckets the metadata are stored by: an upsert is merged into those it has rows for.
+BUCKETS = 64
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, version: Version | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.versions = Versions(spark, self.path("versions"))
+        self._version = version
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        if not exists(self.spark, self.path(name)):
+    def version(self) -> Version:
+        return self._version or self.versions.current()
+
+    def pinned(self) -> Warehouse:
+        """The warehouse as it is now, whatever is published later."""
+        return Warehouse(self.spark, self.root, self.version())
+
+    def publish(self, change: Callable[[dict, Version], None]) -> Version:
+        """Commits what `change` does to a copy of the current content."""
+        def changed(now: Version) -> dict:
+            content = deepcopy(now.content)
+            change(content, now)
+            return content
+
+        return self.versions.commit(changed)
+
+    # Segments
+
+    def segment_path(self, table: str, segment: str) -> str:
+        return self.path(f"{table}/{SEGMENT}={segment}")
+
+    def write_segment(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> str:
+        """Writes rows nobody reads until a commit names their segment."""
+        segment = uuid.uuid4().hex
+        df.write.partitionBy(*partition_by).parquet(self.segment_path(table, segment))
+        return segment
+
+    def drop_segment(self, table: str, segment: str) -> None:
+        drop_folder(self.spark, self.segment_path(table, segment))
+
+    def partitions_of(self, table: str, segment: str) -> list[str]:
+        """The values of the column a segment is partitioned by."""
+        names = child_names(self.spark, self.segment_path(table, segment))
+        return sorted(name.split("=", 1)[1] for name in names if "=" in name)
+
+    def read_segments(
+        self, table: str, schema: T.StructType, segments: Iterable[str] | dict[str, Sequence[str]],
+        partition_by: str | None = None,
+    ) -> DataFrame:
+        """The rows of whole segments, or of some partitions of each."""
+        if partition_by:
+            paths = [
+                f"{self.segment_path(table, segment)}/{partition_by}={value}"
+                for segment, values in segments.items() for value in values
+            ]
+        else:
+            paths = [self.segment_path(table, segment) for segment in segments]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        return reader.parquet(*paths).select(*schema.names)
+
+    # Events and the files they come from
 
     def events(self) -> DataFrame:
-        """All events, partitioned by `event_date`."""
-        return self._read(EVENTS_TABLE, EVENTS)
+        """All published events, partitioned by `event_date`."""
+        return self.events_of(self.version())
+
+    def events_of(self, version: Version, dates: Iterable[date] | None = None) -> DataFrame:
+        """The events of a version, or those of some dates of it."""
+        only = None if dates is None else {day.isoformat() for day in dates}
+        segments = {
+            segment: [day for day in entry["dates"] if only is None or day in only]
+            for segment, entry in version.get(EVENT_SEGMENTS).items()
+        }
+        return self.read_segments(EVENT_SEGMENTS, EVENTS, segments, "event_date")
+
+    def files(self) -> DataFrame:
+        """The newest entry of every file loaded."""
+        rest = [name for name in FILES.names if name not in ("file", "batch")]
+        return (
+            self.read_segments(FILE_SEGMENTS, FILES, self.version().get(FILE_SEGMENTS))
+            .groupBy("file").agg(F.max(F.struct("batch", *rest)).alias("entry"))
+            .select("file", "entry.*").select(*FILES.names)
+        )
 
     def ledger(self) -> DataFrame:
-        return self._read("raw/ingestion_log", LEDGER)
+        """An entry for every hour with a loaded file; `loaded` once all files that had landed
+        are, `partial` before."""
+        return self.files().groupBy("hour_key").agg(
+            F.sum("row_count").alias("row_count"), F.max("loaded_at").alias("loaded_at"),
+            F.when(F.count("*") >= F.max("hour_files"), "loaded").otherwise("partial").alias("status"),
+        ).select(*LEDGER.names)
 
     def quarantine(self) -> DataFrame:
-        return self._read("raw/quarantine", QUARANTINE)
-
-    def metadata(self) -> DataFrame:
-        """The newest complete snapshot: one record per repository."""
-        snapshot = self._newest_snapshot()
-        return self._read(snapshot or "raw/repo_metadata/none", METADATA)
-
-    def _newest_snapshot(self) -> str | None:
-        folder = "raw/repo_metadata"
-        for name in sorted(child_names(self.spark, self.path(folder)), reverse=True):
-            if exists(self.spark, self.path(f"{folder}/{name}/_SUCCESS")):
-                return f"{folder}/{name}"
-        return None
-
-    def append_events(
-        self, events: DataFrame, last_step: Callable[[DataFrame], DataFrame] = lambda rows: rows
-    ) -> None:
-        """Adds events to their dates.
-
-        Rebalancing by date keeps a small hour in one file and lets adaptive execution
-        split a large date over many tasks. Sorting by type gives each file's row groups
-        narrow type ranges, which filters on the type can skip by.
-        """
-        rows = (
-            events.select(*EVENTS.names)
-            .hint("rebalance", "event_date")
-            .sortWithinPartitions("event_date", "event_type", "repo_id")
-        )
-        last_step(rows).write.mode("append").partitionBy("event_date").parquet(
-            self.path(EVENTS_TABLE)
+        """The unusable records of every file's newest load."""
+        rejected = self.read_segments(REJECTED_SEGMENTS, REJECTED, self.version().get(REJECTED_SEGMENTS))
+        return rejected.join(self.files().select("file", "batch"), ["file", "batch"], "left_semi").select(
+            *QUARANTINE.names
         )
 
-    def touch(self, dates: Sequence[date]) -> None:
-        """Records that the daily tables must take in these event dates anew.
-
-        Kept until a refresh has done so, whoever loaded the events.
-        """
-        if dates:
-            days = json.dumps(sorted({day.isoformat() for day in dates}))
-            write_text(self.spark, self.path(f"{TOUCHED}/{uuid.uuid4().hex}"), days)
-
-    def touched(self) -> tuple[list[str], list[date]]:
-        """The names of the records not refreshed yet, and their dates."""
-        names = child_names(self.spark, self.path(TOUCHED))
-        days = {
-            day for name in names
-            for day in json.loads(read_text(self.spark, self.path(f"{TOUCHED}/{name}")))
+    def append_events(self, events: DataFrame) -> None:
+        """Publishes events as they are, without looking for stored ones."""
+        segment = self.write_events(events)
+        dates = self.partitions_of(EVENT_SEGMENTS, segment)
+        self.publish(lambda content, now: add_events(content, now, segment, dates))
+
+    def write_events(self, events: DataFrame) -> str:
+        return self.write_segment(EVENT_SEGMENTS, arranged(events), ["event_date"])
+
+    def touched(self) -> dict[str, list[date]]:
+        """The segments the daily tables have not taken in yet, and the dates of each."""
+        return {
+            segment: [date.fromisoformat(day) for day in entry["pending"]]
+            for segment, entry in self.version().get(EVENT_SEGMENTS).items() if entry["pending"]
         }
-        return names, [date.fromisoformat(day) for day in sorted(days)]
 
-    def refreshed(self, names: Sequence[str]) -> None:
-        for name in names:
-            drop_folder(self.spark, self.path(f"{TOUCHED}/{name}"))
+    # Metadata
 
-    def append_ledger(self, entries: DataFrame) -> None:
-        entries.select(*LEDGER.names).coalesce(1).write.mode("append").parquet(
-            self.path("raw/ingestion_log")
-        )
+    def metadata(self) -> DataFrame:
+        """One record per repository: the merged buckets and what was fetched since."""
+        from forgepulse.operators.enrichment import metadata_upsert
 
-    def replace_quarantine(self, records: DataFrame) -> None:
-        """Replaces the quarantined records of the hours that have any."""
-        self.write("raw/quarantine", records, ["hour_key"], only_touched=True)
-
-    def replace_metadata(self, metadata: DataFrame) -> None:
-        """Writes a new snapshot; readers move to it when it is complete."""
-        stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-        name = f"snapshot-{stamp}-{uuid.uuid4().hex[:8]}"
-        metadata.select(*METADATA.names).write.parquet(self.path(f"raw/repo_metadata/{name}"))
-
-    def write(
-        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), only_touched: bool = False
-    ) -> None:
-        """Rebuilds a table, or with `only_touched` only the partitions `df` has rows for."""
-        writer = df
-        if partition_by:
-            writer = df.hint("rebalance", *partition_by)
-        writer = writer.write.mode("overwrite").partitionBy(*partition_by)
-        if only_touched:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        # A partitioned table without rows has no file to take the schema from.
-        write_text(self.spark, self.path(f"{SCHEMAS}/{name}.json"), df.schema.json())
-        writer.parquet(self.path(name))
+        version = self.version()
+        base = self.metadata_base(version)
+        deltas = version.get(METADATA_DELTAS)
+        if not deltas:
+            return base
+        return metadata_upsert(base, self.read_segments(METADATA_DELTAS, METADATA, deltas))
+
+    def metadata_base(self, version: Version, buckets: Iterable[str] | None = None) -> DataFrame:
+        only = None if buckets is None else set(buckets)
+        segments: dict[str, list[str]] = {}
+        for bucket, segment in version.get(METADATA_BASE).items():
+            if only is None or bucket in only:
+                segments.setdefault(segment, []).append(bucket)
+        stored = T.StructType([*METADATA.fields, T.StructField("bucket", T.IntegerType())])
+        return self.read_segments(METADATA_BASE, stored, segments, "bucket").select(*METADATA.names)
+
+    # Models
 
     def read(self, name: str, order_by: Sequence = ()) -> DataFrame:
-        stored = json.loads(read_text(self.spark, self.path(f"{SCHEMAS}/{name}.json")))
-        schema = T.StructType.fromJson(stored)
-        table = self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+        entry = self.version().get(name)
+        if not entry:
+            raise KeyError(f"{name} was never built")
+        table = self.read_entry(name, entry)
         return table.orderBy(*order_by) if order_by else table
 
+    def read_entry(self, name: str, entry: dict) -> DataFrame:
+        schema = T.StructType.fromJson(entry["schema"])
+        return self.read_segments(name, schema, entry["segments"], entry["partition_by"])
+
+    # Upkeep
+
+    def vacuum(self, keep: int = 10, older_than: float = 24 * 3600) -> list[str]:
+        """Deletes versions beyond the newest `keep`, and segments that none of these names
+        and that were last written `older_than` seconds ago; a load that runs longer than
+        that would lose its rows before it publishes them. Returns the segments' paths."""
+        used = {
+            (table, segment) for version in self.versions.forget(keep)
+            for table, entries in version.content.items() for segment in _segments_of(table, entries)
+        }
+        gone = []
+        for table in self._tables():
+            for name in child_names(self.spark, self.path(table)):
+                segment = name.removeprefix(f"{SEGMENT}=")
+                path = self.segment_path(table, segment)
+                if segment == name or (table, segment) in used:
+                    continue
+                if time.time() - modified(self.spark, path) >= older_than:
+                    drop_folder(self.spark, path)
+                    gone.append(path)
+        return gone
+
+    def _tables(self) -> list[str]:
+        return [
+            f"{layer}/{name}" for layer in ("raw", "intermediate", "marts")
+            for name in child_names(self.spark, self.path(layer))
+        ]
+
+
+def _segments_of(table: str, entries: dict) -> Iterable[str]:
+    if table == METADATA_BASE:
+        return entries.values()
+    if table == LAST_LOADED:
+        return ()
+    return entries.get("segments", entries)
+
+
+def arranged(events: DataFrame) -> DataFrame:
+    """Events as they are written, by date.
+
+    Rebalancing by date keeps a small hour in one file and lets adaptive execution
+    split a large date over many tasks. Sorting by type gives each file's row groups
+    narrow type ranges, which filters on the type can skip by.
+    """
+    return (
+        events.select(*EVENTS.names)
+        .hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "event_type", "repo_id")
+    )
+
+
+def add_events(content: dict, now: Version, segment: str, dates: Sequence[str]) -> None:
+    """Names a segment of new rows of these dates, which the daily tables are to take in."""
+    if dates:
+        content.setdefault(EVENT_SEGMENTS, {})[segment] = {"dates": list(dates), "pending": list(dates)}
+        content.setdefault(LAST_LOADED, {}).update(dict.fromkeys(dates, now.number + 1))
+
+
+def check_not_loaded_since(base: Version, now: Version, dates: Sequence[str]) -> None:
+    """Fails if another load published rows of these dates after `base`."""
+    taken = [day for day in dates if now.get(LAST_LOADED).get(day, 0) > base.number]
+    if taken:
+        raise Conflict(f"events of {taken[0]} were published meanwhile")
+
 
 def landed_hours(spark: SparkSession, folder: str) -> dict[str, str]:
     """The landed hour keys of a folder and their paths."""
@@ -142,6 +259,14 @@ def landed_hours(spark: SparkSession, folder: str) -> dict[str, str]:
     return found
 
 
+def landed_files(spark: SparkSession, paths: dict[str, str]) -> list[tuple[str, str]]:
+    """(file, hour key) of the landed files at these hours' paths."""
+    return [
+        (f"{hour}/{name}", hour) for hour, path in paths.items()
+        for name in child_names(spark, path) if not name.startswith(("_", "."))
+    ]
+
+
 def hour_frame(spark: SparkSession, keys: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(key,) for key in keys], "hour_key string").select(
         F.col("hour_key")

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forgepulse.clock import AsOf
-from forgepulse.operators.ingestion import load_landed, log_hours
+from forgepulse.operators.ingestion import files_of_hours, load_files
 from forgepulse.sources.landing import stream_landed
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse
+from forgepulse.sources.warehouse import Warehouse, landed_files, landed_hours
 
 
 def load_available(
@@ -19,19 +18,29 @@ def load_available(
 ) -> StreamingQuery:
     """Loads all landed files not seen before into the warehouse, then stops.
 
-    Each micro-batch is a load like any other: unusable records go to the quarantine, ids
-    already stored are recognised, the touched dates and the hours are recorded. So the
-    stored events are the same however files fall into batches and however late an event
-    is, and a batch repeated after a failure changes nothing. `max_files` bounds a batch.
+    Each micro-batch is a load of its files like any other: ids already stored are
+    recognised, unusable records are kept by file, and an hour is `loaded` once all files
+    landed for it are. So events, quarantine and ledger are the same however files fall into
+    batches and however late an event is. A batch repeated after a failure changes nothing,
+    and one that fails its audit publishes nothing, however often it is tried. A file
+    without a single record gives no row; its hour is `partial` until a load of whole hours
+    takes it in. `max_files` bounds a batch.
     """
+    spark = warehouse.spark
+
     def load_batch(batch: DataFrame, _: int) -> None:
-        with Scratch(warehouse.spark) as scratch:
+        with Scratch(spark, warehouse.path("_scratch")) as scratch:
             landed = scratch.keep(batch)
-            hours = landed.select(F.col("source_file").alias("hour_key")).distinct()
-            load = load_landed(warehouse, landed, hours, as_of, scratch)
-            log_hours(warehouse, load, only_report_nulls)
-
-    landed = stream_landed(warehouse.spark, folder, max_files)
+            files = [
+                (row.file, row.source_file)
+                for row in landed.select("file", "source_file").distinct().collect()
+            ]
+            paths = landed_hours(spark, folder)
+            hours = {hour: paths[hour] for _, hour in files}
+            counts = files_of_hours(landed_files(spark, hours))
+            load_files(warehouse, landed, files, counts, as_of, scratch, only_report_nulls)
+
+    landed = stream_landed(spark, folder, max_files)
     return (
         landed.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 from datetime import date, datetime, timedelta
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from conftest import NOW, by_key, collected, days_ago, event, frame, metadata
@@ -15,17 +16,20 @@ from forgepulse import binding
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import hour_key
 from forgepulse.operators.activity import activity_of_events
-from forgepulse.operators.enrichment import enrichment_candidates, metadata_upsert
+from forgepulse.operators.enrichment import (
+    enrichment_candidates, merge_metadata, metadata_upsert, upsert_metadata,
+)
 from forgepulse.operators.ingestion import (
-    NullsFound, backfill_hours, ingest_hour, ingest_hours, load_hours, pending_hours,
+    NullsFound, backfill_hours, ingest_hour, ingest_hours, pending_hours,
 )
 from forgepulse.operators.quality import dq_not_null, observe_nulls
 from forgepulse.operators.trending import mart_trending_repos
 from forgepulse.plans.layers import ACTIVITY, READ_ORDER, read_model, write_model
 from forgepulse.plans.pipeline import run_pipeline
+from forgepulse.plans.upkeep import compact_events, compact_files
 from forgepulse.schema import EVENT_COLUMNS
-from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse, hour_frame
+from forgepulse.sources.versions import Versions
+from forgepulse.sources.warehouse import BUCKETS, Warehouse, hour_frame
 
 DATA = "/root/testdata/sf0.001"
 
@@ -94,15 +98,27 @@ def test_loading_twice_changes_nothing(store, as_of):
     ]
 
 
-def test_a_load_that_was_not_logged_is_repeated(store, as_of):
+def test_a_load_that_fails_before_it_publishes_leaves_nothing(store, as_of, monkeypatch):
     warehouse, folder = store
-    land(folder, "2024-01-31-5", landed(1))
-    with Scratch(warehouse.spark) as scratch:
-        load_hours(warehouse, str(folder), ["2024-01-31-5"], as_of, scratch)
-    assert warehouse.ledger().count() == 0
+    land(folder, "2024-01-31-5", landed(1), "{not json")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Warehouse, "publish", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+    for table in (warehouse.events(), warehouse.ledger(), warehouse.quarantine()):
+        assert table.isEmpty()
     load = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
     assert load.dates == [date(2024, 1, 31)]
     assert warehouse.events().count() == 1 and warehouse.ledger().count() == 1
+    # What the first try wrote is no version's; recent folders are left to running loads.
+    assert warehouse.vacuum() == []
+    gone = warehouse.vacuum(older_than=0)
+    assert len(gone) == 3 and warehouse.vacuum(older_than=0) == []
+    assert warehouse.events().count() == 1 and warehouse.quarantine().count() == 1
 
 
 def test_event_in_a_later_load_is_not_stored_again(store, as_of):
@@ -116,24 +132,179 @@ def test_event_in_a_later_load_is_not_stored_again(store, as_of):
     ]
 
 
-def test_nulls_are_counted_while_loading(store, as_of):
-    """Rows with nulls are stored and reported, once."""
+def test_nulls_are_counted_in_what_landed(store, as_of):
+    """Rows with nulls are stored and reported where that is asked for, and only there."""
     warehouse, folder = store
     land(folder, "2024-01-31-5", landed(1), landed(2, kind=None), landed(3, repo={"id": 1}))
     expected = {"event_id": 0, "event_type": 1, "repo_name": 1}
-    load = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of, only_report_nulls=True)
-    assert load.null_failures == expected
-    again = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
-    assert again.null_failures == dict.fromkeys(expected, 0)
+    for _ in range(2):
+        load = ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of, only_report_nulls=True)
+        assert load.null_failures == expected
+    with pytest.raises(NullsFound):
+        ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
     assert warehouse.events().count() == 3
 
 
-def test_nulls_fail_the_load_before_its_hours_are_logged(store, as_of):
+def test_nulls_keep_a_load_from_being_published_however_often_it_is_tried(store, as_of):
     warehouse, folder = store
-    land(folder, "2024-01-31-5", landed(2, kind=None))
-    with pytest.raises(NullsFound, match="event_type"):
-        ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
-    assert warehouse.ledger().isEmpty()
+    land(folder, "2024-01-31-4", landed(1, at="2024-01-31T04:00:00Z"))
+    ingest_hour(warehouse, str(folder), "2024-01-31-4", as_of)
+    before = warehouse.version()
+    land(folder, "2024-01-31-5", landed(2, kind=None), landed(3), "{not json")
+    for _ in range(3):
+        with pytest.raises(NullsFound, match="event_type"):
+            ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+        with pytest.raises(NullsFound):
+            run_pipeline(warehouse, as_of, str(folder))
+        assert warehouse.version() == before
+    assert collected(warehouse.events(), "event_id") == [1] and warehouse.quarantine().isEmpty()
+    # The repaired file passes, and its former unusable record is gone.
+    land(folder, "2024-01-31-5", landed(2), landed(3))
+    ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+    assert collected(warehouse.events(), "event_id") == [1, 2, 3]
+    assert collected(warehouse.ledger(), "hour_key", "row_count", "status") == [
+        ("2024-01-31-4", 1, "loaded"), ("2024-01-31-5", 2, "loaded"),
+    ]
+
+
+def test_a_repaired_file_loses_its_old_unusable_records(store, as_of):
+    warehouse, folder = store
+    land(folder, "2024-01-31-5", landed(1), "{not json")
+    land(folder, "2024-01-31-6", landed(2), "{nor this")
+    keys = ["2024-01-31-5", "2024-01-31-6"]
+    ingest_hours(warehouse, str(folder), keys, as_of)
+    assert collected(warehouse.quarantine(), "hour_key") == keys
+    land(folder, "2024-01-31-5", landed(1), landed(9))
+    ingest_hour(warehouse, str(folder), keys[0], as_of)
+    assert collected(warehouse.quarantine(), "hour_key") == keys[1:]
+    assert collected(warehouse.ledger(), "row_count") == [1, 2]
+    compact_files(warehouse)
+    assert collected(warehouse.quarantine(), "hour_key") == keys[1:]
+    assert collected(warehouse.ledger(), "row_count") == [1, 2]
+    assert len(warehouse.version().get("raw/files")) == 1
+
+
+def test_loads_side_by_side_store_each_event_once(spark, store, as_of, tmp_path):
+    """Overlapping hours, and events of one date in all of them."""
+    warehouse, folder = store
+    keys = [f"2024-01-31-{hour}" for hour in range(6)]
+    for hour, key in enumerate(keys):
+        land(folder, key, *[landed(n, at="2024-01-30T23:00:00Z") for n in range(hour * 2, hour * 2 + 5)])
+    loads = [keys[:3], keys[1:4], keys[2:], keys]
+    with ThreadPool(4) as pool:
+        pool.map(lambda own: ingest_hours(warehouse, str(folder), own, as_of), loads, chunksize=1)
+    assert collected(warehouse.events(), "event_id") == list(range(15))
+    single = Warehouse(spark, str(tmp_path / "single"))
+    ingest_hours(single, str(folder), keys, as_of)
+    assert collected(warehouse.ledger(), "hour_key", "row_count", "status") == collected(
+        single.ledger(), "hour_key", "row_count", "status"
+    )
+
+
+def test_a_load_that_was_second_compares_its_ids_anew(store, as_of, monkeypatch):
+    warehouse, folder = store
+    land(folder, "2024-01-31-5", landed(1), landed(2))
+    land(folder, "2024-01-31-6", landed(2), landed(3))
+    write, first = Warehouse.write_events, []
+
+    def meanwhile(self, events):
+        segment = write(self, events)
+        if not first:
+            first.append(segment)
+            ingest_hour(Warehouse(self.spark, self.root), str(folder), "2024-01-31-6", as_of)
+        return segment
+
+    monkeypatch.setattr(Warehouse, "write_events", meanwhile)
+    ingest_hour(warehouse, str(folder), "2024-01-31-5", as_of)
+    assert collected(warehouse.events(), "event_id", "source_file") == [
+        (1, "2024-01-31-5"), (2, "2024-01-31-6"), (3, "2024-01-31-6"),
+    ]
+    assert first[0] not in warehouse.version().get("raw/events")
+
+
+def test_only_one_commit_takes_a_number(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "versions"))
+
+    def add(name):
+        return versions.commit(lambda now: now.content | {name: now.number}).number
+
+    with ThreadPool(8) as pool:
+        numbers = pool.map(add, [str(n) for n in range(24)], chunksize=1)
+    assert sorted(numbers) == list(range(1, 25))
+    assert sorted(versions.current().content.values()) == list(range(24))
+    assert [version.number for version in versions.forget(2)] == [23, 24]
+    assert versions.numbers() == [23, 24] and versions.current().number == 24
+
+
+def test_compaction_beside_loads(store, as_of, monkeypatch):
+    """Rows stay, files become few, a load in between is kept, daily tables take in all."""
+    warehouse, folder = store
+    for hour in range(6):
+        land(folder, f"2024-01-31-{hour}", *[landed(10 * hour + n, at=f"2024-01-{30 + n % 2}T0{hour}:00:00Z") for n in range(4)])
+        if hour < 5:
+            ingest_hour(warehouse, str(folder), f"2024-01-31-{hour}", as_of)
+        if hour == 1:
+            run_pipeline(warehouse, as_of)
+    pinned, before = warehouse.pinned(), collected(warehouse.events(), *EVENT_COLUMNS)
+    write, loaded = Warehouse.write_events, []
+
+    def meanwhile(self, events):
+        segment = write(self, events)
+        if not loaded:
+            loaded.append(segment)
+            ingest_hour(Warehouse(self.spark, self.root), str(folder), "2024-01-31-5", as_of)
+        return segment
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Warehouse, "write_events", meanwhile)
+        assert compact_events(warehouse, segments=2) == [date(2024, 1, 30), date(2024, 1, 31)]
+    assert len(warehouse.version().get("raw/events")) == 2
+    assert len(collected(warehouse.events(), "event_id")) == 24
+    assert collected(pinned.events(), *EVENT_COLUMNS) == before
+    assert compact_events(warehouse, segments=2) == []
+    run_pipeline(warehouse, as_of)
+    stored, full = read_model(warehouse, ACTIVITY), activity_of_events(warehouse.events())
+    assert stored.select(*full.columns).exceptAll(full).isEmpty() and stored.count() == full.count()
+    assert warehouse.touched() == {}
+    # Two compactions of the same dates: one is first, the other leaves them.
+    for event_id, hour in ((90, 7), (91, 8)):
+        land(folder, f"2024-01-31-{hour}", landed(event_id))
+        ingest_hour(warehouse, str(folder), f"2024-01-31-{hour}", as_of)
+    with ThreadPool(2) as pool:
+        done = pool.map(lambda _: compact_events(warehouse, segments=1), range(2), chunksize=1)
+    assert collected(warehouse.events(), "event_id")[-2:] == [90, 91] and any(done)
+    assert len(collected(warehouse.events(), "event_id")) == 26
+
+
+def test_models_are_shown_together(spark, store, as_of, monkeypatch):
+    """While a rebuild runs, and after one that fails, every report is the former one."""
+    warehouse, folder = store
+    land(folder, "2024-01-30-5", *[landed(n, at="2024-01-30T05:00:00Z") for n in range(6)])
+    models = [name for name in run_pipeline(warehouse, as_of, str(folder)) if not name.startswith("stg_")]
+    assert len(models) == 13
+    before = {name: collected(read_model(warehouse, name), *read_model(warehouse, name).columns) for name in models}
+    version = warehouse.version()
+    land(folder, "2024-01-31-6", landed(20), landed(21))
+    seen = []
+
+    def fail(*_):
+        seen.append({name: collected(read_model(warehouse, name), *read_model(warehouse, name).columns) for name in models})
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("forgepulse.plans.pipeline.mart_contributor_migration", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_pipeline(warehouse, as_of, str(folder))
+    assert seen == [before]
+    assert {name: warehouse.version().get(name) for name in version.content if not name.startswith("raw")} == {
+        name: value for name, value in version.content.items() if not name.startswith("raw")
+    } | {"last_loaded": warehouse.version().get("last_loaded")}
+    reader = warehouse.pinned()
+    run_pipeline(warehouse, as_of)
+    assert {name: collected(read_model(reader, name), *read_model(reader, name).columns) for name in models} == before
+    assert collected(read_model(warehouse, ACTIVITY), "activity_date", "stars") == [
+        (date(2024, 1, 30), 6), (date(2024, 1, 31), 2),
+    ]
 
 
 def test_backfill_equals_the_hours_one_by_one(spark, store, tmp_path, as_of):
@@ -200,14 +371,28 @@ def test_upsert_keeps_the_latest_record(spark):
     assert collected(merged, "repo_id", "stargazers_count") == [(1, 10), (2, 2), (3, 0), (4, 4), (5, 5)]
 
 
-def test_metadata_snapshots(spark, tmp_path):
+def test_metadata_are_merged_by_bucket(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
-    assert warehouse.metadata().count() == 0
-    for stars in (1, 2):
-        records = metadata(spark, {"repo_id": 1, "stargazers_count": stars, "fetched_at": NOW + timedelta(stars)})
-        warehouse.replace_metadata(metadata_upsert(warehouse.metadata(), records))
-    (tmp_path / "raw/repo_metadata/snapshot-9").mkdir()
-    assert collected(warehouse.metadata(), "stargazers_count") == [2]
+    assert warehouse.metadata().count() == 0 and merge_metadata(warehouse) == []
+
+    def record(repo, stars):
+        return {"repo_id": repo, "stargazers_count": stars, "fetched_at": NOW + timedelta(stars)}
+
+    upsert_metadata(warehouse, metadata(spark, *[record(repo, 1) for repo in range(500)]))
+    pinned = warehouse.pinned()
+    assert merge_metadata(warehouse) == [str(n) for n in range(BUCKETS)]
+    before = warehouse.version().get("raw/metadata")
+    upsert_metadata(warehouse, metadata(spark, record(7, 3), record(8, 0), record(900, 2)))
+    upsert_metadata(warehouse, metadata(spark, record(7, 2), {"repo_id": None}))
+    wanted = [(repo, {7: 3, 900: 2}.get(repo, 1)) for repo in [*range(500), 900]]
+    assert collected(warehouse.metadata(), "repo_id", "stargazers_count") == wanted
+    touched = merge_metadata(warehouse)
+    assert 1 <= len(touched) <= 3
+    after = warehouse.version().get("raw/metadata")
+    assert {name for name in after if after[name] != before[name]} == set(touched)
+    assert collected(warehouse.metadata(), "repo_id", "stargazers_count") == wanted
+    assert set(collected(pinned.metadata(), "stargazers_count")) == {1}
+    assert warehouse.vacuum(keep=1, older_than=0) and collected(warehouse.metadata(), "repo_id") == [*range(500), 900]
 
 
 def test_null_checks(spark, tmp_path):

@@ -38,7 +38,7 @@ def _sorted_rows(names, rows):
 
 def test_every_query_has_sql():
     assert set(registry.own_queries()) <= set(registry.oracle_sql())
-    assert len(registry.own_queries()) == 33
+    assert len(registry.own_queries()) >= 33
 
 
 @pytest.mark.parametrize("name", list(registry.own_queries()))

@@ -15,7 +15,9 @@ from forgepulse import binding
 from forgepulse.binding import AS_OF
 from forgepulse.functions.events import hour_key
 from forgepulse.operators import community, enrichment, ingestion, profiles, quality, staging, trending
-from forgepulse.operators.activity import activity_of_events, daily_signals, int_repo_daily_activity
+from forgepulse.operators.activity import (
+    activity_of_events, daily_pairs, daily_signals, int_repo_daily_activity,
+)
 from forgepulse.plans import layers, pipeline, upkeep
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.storage import Scratch
@@ -105,9 +107,10 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, folder = _in_two_loads(spark, sf_dir)
     ingestion.ingest_hours(warehouse, folder, sorted(landed_hours(spark, folder)), AS_OF)
     upkeep.compact_events(warehouse, segments=1)
-    return warehouse.events().groupBy("event_date").agg(
+    segment = F.regexp_extract(F.input_file_name(), "segment=([0-9a-f]+)", 1)
+    return warehouse.events().withColumn("segment", segment).groupBy("event_date").agg(
         F.count("*").alias("row_count"), F.sum("event_id").alias("id_sum"),
-        F.count_distinct(F.regexp_extract(F.input_file_name(), "segment=([0-9a-f]+)", 1)).alias("segments"),
+        F.count_distinct("segment").alias("segments"),
     )
 
 
@@ -307,7 +310,13 @@ def new_repo_breakout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def viral_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community.mart_viral_velocity(_events(spark, sf_dir), AS_OF)
+    """Only the report's days of daily counts are built; a day needs no other day."""
+    days = F.col("event_date").between(AS_OF.date_ago(8), AS_OF.date_ago(1))
+    return community.mart_viral_velocity(daily_signals(_events(spark, sf_dir).where(days)), AS_OF)
+
+
+def daily_pairs_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_pairs(_events(spark, sf_dir))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -343,6 +352,7 @@ def own_queries() -> dict[str, Query]:
         "run_pipeline": run_pipeline,
         **{name: _staging_view(event_type) for name, event_type in staging.VIEWS.items()},
         "int_repo_daily_activity": daily_activity,
+        "int_daily_pairs": daily_pairs_of_events,
         "int_contributor_profiles": contributor_profiles,
         "int_org_activity": org_activity,
         "mart_trending_repos": trending_repos,

@@ -29,6 +29,27 @@ def since(events: DataFrame, as_of: AsOf, days: int) -> DataFrame:
     )
 
 
+def counted(events: DataFrame) -> DataFrame:
+    """Events as rows that each stand for `n` of them, from `first_at` to `last_at`."""
+    if "n" in events.columns:
+        return events
+    return events.withColumns({
+        "n": F.lit(1).cast("bigint"), "first_at": F.col("created_at"), "last_at": F.col("created_at"),
+    })
+
+
+def recent_counts(events: DataFrame, as_of: AsOf, days: int) -> DataFrame:
+    """The events of the last `days` days, counted; counts given are those of the window."""
+    if "n" in events.columns:
+        return events
+    return counted(since(with_event_date(events), as_of, days))
+
+
+def count_of(*types: str) -> Column:
+    """How many events of these types counted rows stand for."""
+    return F.sum(F.when(is_type(*types), F.col("n")).otherwise(F.lit(0)))
+
+
 def is_type(*types: str) -> Column:
     return F.col("event_type").isin(*types)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import time
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgepulse import rules
-from forgepulse.functions.events import is_type, owner_of, with_event_date
+from forgepulse.clock import AsOf
+from forgepulse.functions.events import counted, is_type, owner_of, since, with_event_date
 from forgepulse.sources.storage import Scratch
 
 DAY = ["repo_id", "activity_date"]
@@ -47,6 +50,36 @@ def daily_signals(events: DataFrame) -> DataFrame:
     )
 
 
+PAIR = ["event_type", "actor_id", "actor_login", "repo_id", "repo_name", "org_id", "org_login"]
+
+
+def daily_pairs(events: DataFrame) -> DataFrame:
+    """Per day each contributor's events of a type on a repository: how many, first and last.
+
+    Distinct counts cannot be merged, but the pairs they count can: a report over a window
+    reads its days' pairs instead of its events. A day depends on that day's events alone.
+    """
+    rows = counted(with_event_date(events))
+    return rows.groupBy(F.col("event_date").alias("activity_date"), *PAIR).agg(
+        F.sum("n").alias("n"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
+    )
+
+
+def pairs_since(pairs: DataFrame, events: DataFrame, as_of: AsOf, days: int) -> DataFrame:
+    """The counts of the last `days` days, with no upper bound: whole days from the stored
+    pairs, and the window's first day, if it starts within one, from that day's events."""
+    edge = as_of.date_ago(days)
+    at_midnight = as_of.at.time() == time.min
+    whole = F.col("activity_date") >= edge if at_midnight else F.col("activity_date") > edge
+    merged = pairs.where(whole).withColumnRenamed("activity_date", "event_date")
+    if at_midnight:
+        return merged
+    first_day = since(events.where(F.col("event_date") == edge), as_of, days)
+    return merged.unionByName(
+        daily_pairs(first_day).withColumnRenamed("activity_date", "event_date").select(*merged.columns)
+    )
+
+
 def star_totals(signals: DataFrame) -> DataFrame:
     """All stars a repository ever got, whatever its name."""
     return signals.groupBy("repo_id").agg(F.sum("stars").alias("star_count"))

@@ -1,4 +1,7 @@
-"""Reports built on the events of a repository, an organisation or a contributor."""
+"""Reports built on the events of a repository, an organisation or a contributor.
+
+Those of 90 days take events, or the counts that `activity.pairs_since` merges from days.
+"""
 
 from __future__ import annotations
 
@@ -8,11 +11,12 @@ from pyspark.sql import functions as F
 from forgepulse import rules
 from forgepulse.clock import AsOf
 from forgepulse.functions.events import (
-    first_reached, hour_start, is_type, owner_of, per, since, with_event_date,
+    first_reached, hour_start, is_type, owner_of, per, recent_counts, since, with_event_date,
 )
 from forgepulse.functions.ranking import with_rank
 from forgepulse.operators.activity import star_totals
 from forgepulse.operators.profiles import distinct_pairs, without_bots
+from forgepulse.sources.storage import Scratch
 
 
 def hourly_ratios(hours: DataFrame) -> DataFrame:
@@ -57,12 +61,12 @@ def mart_contributor_migration(events: DataFrame, profiles: DataFrame, as_of: As
     Profiles are per login but attached by contributor alone: one with several
     logins gets a row for each profile.
     """
-    recent = since(with_event_date(events), as_of, rules.CONTRIBUTOR_DAYS)
+    recent = recent_counts(events, as_of, rules.CONTRIBUTOR_DAYS)
     in_orgs = (
         without_bots(recent)
         .where(F.col("org_id").isNotNull() & is_type(rules.PUSH, rules.PULL_REQUEST, rules.ISSUES))
         .groupBy("actor_id", "actor_login", "org_login")
-        .agg(F.count("*").alias("events"))
+        .agg(F.sum("n").alias("events"))
     )
     # One row per organisation by now, so the plain count and list are distinct.
     movers = (
@@ -96,9 +100,9 @@ def repo_totals(
             F.when(is_type(named, *actors_of.values()), F.col("actor_id")).alias("actor_id"),
         )
         .agg(
-            F.count("*").alias("events"),
-            F.min("created_at").alias("first_at"),
-            F.max("created_at").alias("latest_at"),
+            F.sum("n").alias("events"),
+            F.min("first_at").alias("first_at"),
+            F.max("last_at").alias("latest_at"),
         )
     )
     totals = pairs.groupBy("repo_id", "event_type", "repo_name").agg(
@@ -127,13 +131,16 @@ def repo_totals(
     )
 
 
-def mart_fork_conversion(events: DataFrame, signals: DataFrame, as_of: AsOf) -> DataFrame:
+def mart_fork_conversion(
+    events: DataFrame, signals: DataFrame, as_of: AsOf, scratch: Scratch | None = None
+) -> DataFrame:
     """Repositories forked at least twice in 90 days and the pull requests that followed.
 
-    Stars count over all history, and come from the daily table rather than the events.
+    Stars count over all history, and come from the daily table rather than the events; only
+    those of repositories in the report are totalled.
     """
     totals = repo_totals(
-        since(with_event_date(events), as_of, rules.COMMUNITY_DAYS),
+        recent_counts(events, as_of, rules.COMMUNITY_DAYS),
         named=rules.FORK,
         others={"pr_count": rules.PULL_REQUEST},
         actors_of={"unique_pr_authors": rules.PULL_REQUEST},
@@ -147,10 +154,16 @@ def mart_fork_conversion(events: DataFrame, signals: DataFrame, as_of: AsOf) ->
         .when(forks >= 3, "fork_graveyard")
         .otherwise("early_stage")
     )
-    return (
+    # Read twice; few repositories are left, so the planner can broadcast their ids.
+    forked = (scratch or Scratch(events.sparkSession)).keep(
         totals.withColumnsRenamed({"events": "fork_count", "actors": "unique_forkers"})
         .where(forks >= rules.MIN_FORKS)
-        .join(star_totals(signals), "repo_id", "left")
+    )
+    of_forked = signals.select("repo_id", "stars").join(
+        forked.select("repo_id").distinct(), "repo_id", "left_semi"
+    )
+    return (
+        forked.join(star_totals(of_forked), "repo_id", "left")
         .fillna(0, subset=["star_count"])
         .withColumns({"fork_to_pr_conversion": F.round(conversion, 3), "community_health": health})
         .drop("first_at", "latest_at")
@@ -160,7 +173,7 @@ def mart_fork_conversion(events: DataFrame, signals: DataFrame, as_of: AsOf) ->
 def mart_release_momentum(events: DataFrame, as_of: AsOf) -> DataFrame:
     """Repositories with releases and pushes in 90 days, and how they sustain them."""
     totals = repo_totals(
-        since(with_event_date(events), as_of, rules.COMMUNITY_DAYS),
+        recent_counts(events, as_of, rules.COMMUNITY_DAYS),
         named=rules.RELEASE,
         others={
             "pr_count": rules.PULL_REQUEST, "push_count": rules.PUSH, "star_count": rules.WATCH,
@@ -191,22 +204,22 @@ def mart_release_momentum(events: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def mart_viral_velocity(events: DataFrame, as_of: AsOf) -> DataFrame:
-    """Yesterday's stars of a repository against its seven days before.
+def mart_viral_velocity(signals: DataFrame, as_of: AsOf) -> DataFrame:
+    """Yesterday's stars of a repository against its seven days before, from daily counts.
 
     The baseline averages over the (name, day) rows that have stars, and is rounded
     before it is compared. Only days that can count are read.
     """
     yesterday, oldest = as_of.day(1), as_of.day(8)
-    stars = with_event_date(events).where(
-        is_type(rules.WATCH) & F.col("event_date").between(F.lit(oldest), F.lit(yesterday))
+    stars = signals.where(
+        (F.col("stars") > 0) & F.col("activity_date").between(F.lit(oldest), F.lit(yesterday))
     )
-    is_recent = F.col("event_date") == F.lit(yesterday)
+    is_recent = F.col("activity_date") == F.lit(yesterday)
     # One bit per day of the baseline, seven at most, counts its days without a distinct count.
-    day_bit = F.call_function("shiftleft", F.lit(1), F.date_diff(F.lit(yesterday), "event_date"))
+    day_bit = F.call_function("shiftleft", F.lit(1), F.date_diff(F.lit(yesterday), "activity_date"))
     by_name = stars.groupBy("repo_id", "repo_name").agg(
-        F.count_if(is_recent).alias("stars_recent"),
-        F.count_if(~is_recent).alias("_stars"),
+        F.sum(F.when(is_recent, F.col("stars")).otherwise(F.lit(0))).alias("stars_recent"),
+        F.sum(F.when(~is_recent, F.col("stars")).otherwise(F.lit(0))).alias("_stars"),
         F.bit_count(F.bit_or(F.when(~is_recent, day_bit))).alias("_days"),
     )
     # Without a repository id there is no baseline; the name spreads such rows.

@@ -4,6 +4,8 @@ Both need distinct counts over two different columns. Spark's own plan for that
 copies each row once per distinct expression (six here); grouping sets copy it
 twice, reduce the copies to one row per pair before the shuffle, and are shuffled
 by the pair, so a hot contributor or organisation is spread over all tasks.
+
+Both take events, or the counts of a window that `activity.pairs_since` merges from days.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from forgepulse import rules
 from forgepulse.clock import AsOf
-from forgepulse.functions.events import is_type, since, with_event_date
+from forgepulse.functions.events import count_of, is_type, recent_counts
 
 
 def distinct_pairs(
@@ -41,13 +43,13 @@ def without_bots(events: DataFrame) -> DataFrame:
 def int_contributor_profiles(events: DataFrame, as_of: AsOf) -> DataFrame:
     """One row per contributor and login of the last 90 days, bots left out."""
     keys = ["actor_id", "actor_login"]
-    recent = since(with_event_date(events), as_of, rules.CONTRIBUTOR_DAYS)
+    recent = recent_counts(events, as_of, rules.CONTRIBUTOR_DAYS)
     people = without_bots(recent).where(~F.col("actor_login").endswith(rules.BOT_SUFFIX))
     pairs = distinct_pairs(
         people, keys, "repo_id", "event_date",
-        n_events=F.count("*"),
-        first_seen=F.min("created_at"),
-        last_seen=F.max("created_at"),
+        n_events=F.sum("n"),
+        first_seen=F.min("first_at"),
+        last_seen=F.max("last_at"),
         pushed=any_of(rules.PUSH),
         requested=any_of(rules.PULL_REQUEST),
         discussed=any_of(rules.ISSUES),
@@ -80,8 +82,8 @@ def int_contributor_profiles(events: DataFrame, as_of: AsOf) -> DataFrame:
 def int_org_activity(events: DataFrame, as_of: AsOf) -> DataFrame:
     """One row per organisation and login of the last 30 days."""
     keys = ["org_id", "org_login"]
-    recent = since(with_event_date(events), as_of, rules.ORG_DAYS).dropna(subset=keys)
-    counted = {
+    recent = recent_counts(events, as_of, rules.ORG_DAYS).dropna(subset=keys)
+    types = {
         "push_events": rules.PUSH,
         "pr_events": rules.PULL_REQUEST,
         "release_events": rules.RELEASE,
@@ -89,10 +91,10 @@ def int_org_activity(events: DataFrame, as_of: AsOf) -> DataFrame:
     }
     pairs = distinct_pairs(
         recent, keys, "actor_id", "repo_id",
-        total_events=F.count("*"),
-        first_activity=F.min("created_at"),
-        last_activity=F.max("created_at"),
-        **{name: F.count_if(is_type(event_type)) for name, event_type in counted.items()},
+        total_events=F.sum("n"),
+        first_activity=F.min("first_at"),
+        last_activity=F.max("last_at"),
+        **{name: count_of(event_type) for name, event_type in types.items()},
     )
     an_actor = F.col("of_first") & F.col("actor_id").isNotNull()
     a_repo = ~F.col("of_first") & F.col("repo_id").isNotNull()
@@ -103,7 +105,7 @@ def int_org_activity(events: DataFrame, as_of: AsOf) -> DataFrame:
         F.count_if(an_actor & (F.col("pr_events") > 0)).alias("unique_pr_authors"),
         *[
             F.sum(F.when(F.col("of_first"), F.col(name))).alias(name)
-            for name in ["total_events", *counted]
+            for name in ["total_events", *types]
         ],
         F.min("first_activity").alias("first_activity"),
         F.max("last_activity").alias("last_activity"),

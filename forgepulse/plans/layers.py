@@ -14,7 +14,9 @@ from forgepulse.sources.warehouse import EVENT_SEGMENTS, Warehouse
 ACTIVITY = "int_repo_daily_activity"
 # Not a model of its own: the plain daily counts others are built from.
 SIGNALS = "int_repo_daily_signals"
-BY_DATE = {ACTIVITY, SIGNALS}
+# Nor this one: per day who did what where, which windows of distinct counts are merged from.
+PAIRS = "int_daily_pairs"
+BY_DATE = {ACTIVITY, SIGNALS, PAIRS}
 
 # The order a report is read in. A table keeps none, so building it needs no sort.
 READ_ORDER = {

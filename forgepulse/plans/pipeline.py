@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.clock import AsOf
-from forgepulse.operators.activity import daily_signals, int_repo_daily_activity
+from forgepulse import rules
+from forgepulse.operators.activity import (
+    daily_pairs, daily_signals, int_repo_daily_activity, pairs_since,
+)
 from forgepulse.operators.community import (
     mart_contributor_migration, mart_ecosystem_hourly, mart_fork_conversion, mart_org_scoreboard,
     mart_release_momentum, mart_viral_velocity,
@@ -20,7 +23,7 @@ from forgepulse.operators.profiles import int_contributor_profiles, int_org_acti
 from forgepulse.operators.trending import (
     mart_ai_ecosystem, mart_new_repo_breakout, mart_trending_by_topic, mart_trending_repos,
 )
-from forgepulse.plans.layers import ACTIVITY, SIGNALS, Build, create_views, is_built
+from forgepulse.plans.layers import ACTIVITY, PAIRS, SIGNALS, Build, create_views, is_built
 from forgepulse.sources.storage import Scratch
 from forgepulse.sources.warehouse import Warehouse, hour_frame, landed_hours
 
@@ -46,7 +49,7 @@ def refresh_daily_tables(build: Build, scratch: Scratch) -> None:
     warehouse = build.warehouse
     touched = warehouse.touched()
     events, dates = warehouse.events(), None
-    if all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY)):
+    if all(is_built(warehouse, model) for model in (SIGNALS, ACTIVITY, PAIRS)):
         dates = sorted({day for days in touched.values() for day in days})
         if not dates:
             return
@@ -55,6 +58,7 @@ def refresh_daily_tables(build: Build, scratch: Scratch) -> None:
     if dates is not None:
         signals = signals.where(F.col("activity_date").isin(dates))
     build.write(ACTIVITY, int_repo_daily_activity(signals, scratch), dates)
+    build.write(PAIRS, daily_pairs(events), dates)
     build.taken_in = list(touched)
 
 
@@ -88,25 +92,22 @@ def run_pipeline(
                 return list(models)
             return write_each
 
-        def daily() -> list[str]:
-            refresh_daily_tables(run, scratch)
-            return [ACTIVITY]
+        def window(days: int) -> DataFrame:
+            return pairs_since(stored(PAIRS), events, as_of, days)
 
-        built = create_views(events)
+        refresh_daily_tables(run, scratch)
+        built = [*create_views(events), ACTIVITY]
         with ThreadPool(CONCURRENCY) as pool:
             for tasks in (
                 [
-                    daily,
-                    build(int_contributor_profiles=lambda: int_contributor_profiles(events, as_of)),
+                    build(int_contributor_profiles=lambda: int_contributor_profiles(
+                        window(rules.CONTRIBUTOR_DAYS), as_of
+                    )),
                     build(
-                        int_org_activity=lambda: int_org_activity(events, as_of),
+                        int_org_activity=lambda: int_org_activity(window(rules.ORG_DAYS), as_of),
                         mart_org_scoreboard=lambda: mart_org_scoreboard(stored("int_org_activity")),
                     ),
-                    build(mart_release_momentum=lambda: mart_release_momentum(events, as_of)),
                     build(mart_ecosystem_hourly=lambda: mart_ecosystem_hourly(events, as_of)),
-                    build(mart_viral_velocity=lambda: mart_viral_velocity(events, as_of)),
-                ],
-                [
                     build(
                         mart_trending_repos=lambda: mart_trending_repos(stored(ACTIVITY), as_of),
                         mart_trending_by_topic=lambda: mart_trending_by_topic(
@@ -116,14 +117,20 @@ def run_pipeline(
                             stored("mart_trending_by_topic"), as_of
                         ),
                     ),
-                    build(mart_new_repo_breakout=lambda: mart_new_repo_breakout(
-                        stored(SIGNALS), stored(ACTIVITY), as_of
+                    build(mart_release_momentum=lambda: mart_release_momentum(
+                        window(rules.COMMUNITY_DAYS), as_of
                     )),
                     build(mart_fork_conversion=lambda: mart_fork_conversion(
-                        events, stored(SIGNALS), as_of
+                        window(rules.COMMUNITY_DAYS), stored(SIGNALS), as_of, scratch
                     )),
+                    build(mart_viral_velocity=lambda: mart_viral_velocity(stored(SIGNALS), as_of)),
+                    build(mart_new_repo_breakout=lambda: mart_new_repo_breakout(
+                        stored(SIGNALS), stored(ACTIVITY), as_of
+                    )),
+                ],
+                [
                     build(mart_contributor_migration=lambda: mart_contributor_migration(
-                        events, stored("int_contributor_profiles"), as_of
+                        window(rules.CONTRIBUTOR_DAYS), stored("int_contributor_profiles"), as_of
                     )),
                 ],
             ):

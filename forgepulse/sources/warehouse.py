@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgepulse.schema import EVENTS, FILES, LEDGER, METADATA, QUARANTINE, REJECTED
-from forgepulse.sources.landing import HOUR_IN_NAME
+from forgepulse.sources.landing import HOUR_IN_NAME, HOUR_IN_PATH
 from forgepulse.sources.storage import child_names, drop_folder, modified
 from forgepulse.sources.versions import Conflict, Version, Versions
 
@@ -260,11 +260,16 @@ def landed_hours(spark: SparkSession, folder: str) -> dict[str, str]:
 
 
 def landed_files(spark: SparkSession, paths: dict[str, str]) -> list[tuple[str, str]]:
-    """(file, hour key) of the landed files at these hours' paths."""
-    return [
-        (f"{hour}/{name}", hour) for hour, path in paths.items()
-        for name in child_names(spark, path) if not name.startswith(("_", "."))
-    ]
+    """(file, hour key) of the landed files at these hours' paths, listed by Spark's tasks
+    where there are many; contents are not read."""
+    if not paths:
+        return []
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths.values()))
+    found = []
+    for row in listed.select("path").collect():
+        hour = re.search(HOUR_IN_PATH, row.path).group(1)
+        found.append((f"{hour}/{row.path.rsplit('/', 1)[1]}", hour))
+    return sorted(found)
 
 
 def hour_frame(spark: SparkSession, keys: Sequence[str]) -> DataFrame:

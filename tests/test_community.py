@@ -249,7 +249,7 @@ def test_velocity_classes(spark, as_of):
         *stars(None, 1, 6, "x/y"), *stars(None, 2, 6, "x/y"),
         *stars(8, 1, 6, "a/new"), *stars(8, 3, 1, "a/old"), *stars(8, 3, 2, "a/new"),
     ]
-    report = mart_viral_velocity(frame(spark, rows), as_of)
+    report = mart_viral_velocity(daily_signals(frame(spark, rows)), as_of)
     columns = [
         "stars_recent", "avg_daily_stars_7d", "total_stars_7d", "velocity_ratio",
         "stars_above_baseline", "velocity_class", "no_prior_baseline",

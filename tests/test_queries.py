@@ -64,7 +64,7 @@ WINDOWED = {
     "orgs": profiles.int_org_activity,
     "hourly": community.mart_ecosystem_hourly,
     "releases": community.mart_release_momentum,
-    "velocity": community.mart_viral_velocity,
+    "velocity": lambda events, as_of: community.mart_viral_velocity(daily_signals(events), as_of),
 }
 
 
@@ -79,14 +79,14 @@ def test_windows_prune_dates_and_columns(spark, name):
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
-def test_reports_over_all_history_read_daily_tables(spark):
-    """Of the events, the fork report reads the window's dates only."""
+def test_stars_of_all_history_are_totalled_for_forked_repositories_only(spark):
+    """From the daily table, two columns of it, and semi-joined before they are totalled."""
     _, events = event_table(spark, DATA)
-    signals = Scratch(spark).keep(daily_signals(events))
+    signals = Scratch(spark).keep(daily_signals(events), name="signals")
     plan = _plan(community.mart_fork_conversion(events, signals, AS_OF))
-    scans = [line for line in plan.splitlines() if "FileScan" in line]
-    assert len(scans) == 2 and "PartitionFilters: [isnotnull(event_date" in scans[0]
-    assert "[repo_id#" in scans[1] and scans[1].index("stars#") < scans[1].index("Batched")
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "stars#" in line]
+    assert len(scans) == 1 and scans[0].index("[repo_id#") < scans[0].index("stars#") < scans[0].index("Batched")
+    assert "event_type" not in plan and "LeftSemi" in plan
 
 
 def test_ai_filter_reaches_the_metadata(spark):

@@ -21,7 +21,7 @@ from forgepulse.operators.activity import (
 from forgepulse.plans import layers, pipeline, upkeep
 from forgepulse.schema import EVENT_COLUMNS, EVENTS
 from forgepulse.sources.storage import Scratch
-from forgepulse.sources.warehouse import Warehouse, landed_files, landed_hours
+from forgepulse.sources.warehouse import Warehouse, landed_files, landed_hours, landed_paths
 from forgepulse.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,14 @@ def pending_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingestion.pending_hours(backfill_hours(spark, sf_dir), ledger)
 
 
+def pending_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hours as intervals, from the ledger's intervals."""
+    events = _events(spark, sf_dir)
+    days = events.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last"))
+    loaded = ingestion.loaded_intervals(binding.bound_ledger(events))
+    return ingestion.pending_intervals(days, F.col("first"), F.col("last"), loaded)
+
+
 def enrichment_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.enrichment_candidates(
         _events(spark, sf_dir), binding.bound_metadata(spark, sf_dir), AS_OF
@@ -240,6 +248,16 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(hours.schema).parquet(path)
 
 
+def stream_hourly_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hours, kept by a stream over the event table's files in several batches."""
+    scratch = Scratch(spark)
+    source, _ = binding.event_table(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch.path("warehouse"))
+    files = -(-len(landed_paths(spark, source)) // 3)
+    hourly.keep_hours(warehouse, source, scratch.path("state"), files).awaitTermination()
+    return layers.read_model(warehouse, layers.HOURS).drop("activity_date")
+
+
 def _staging_view(event_type: str) -> Query:
     return lambda spark, sf_dir: staging.events_of_type(
         _events(spark, sf_dir), event_type
@@ -370,6 +388,8 @@ def own_queries() -> dict[str, Query]:
         "concurrent_loads": concurrent_loads,
         "compaction": compaction,
         "stream_hourly": stream_hourly,
+        "stream_hourly_corrected": stream_hourly_corrected,
+        "pending_intervals": pending_intervals,
     }
 
 

@@ -27,13 +27,11 @@ def hourly_ratios(hours: DataFrame) -> DataFrame:
     })
 
 
-def mart_ecosystem_hourly(events: DataFrame, as_of: AsOf) -> DataFrame:
-    """Events, actors and repositories per hour and type over the last seven days."""
+def hourly_activity(events: DataFrame) -> DataFrame:
+    """Events, actors and repositories per hour and type; an hour depends on its events alone."""
     keys = ["activity_hour", "event_type"]
-    recent = since(with_event_date(events), as_of, rules.HOURLY_DAYS).withColumn(
-        "activity_hour", hour_start("created_at")
-    )
-    pairs = distinct_pairs(recent, keys, "actor_id", "repo_id", n_events=F.count("*"))
+    hours = events.withColumn("activity_hour", hour_start("created_at"))
+    pairs = distinct_pairs(hours, keys, "actor_id", "repo_id", n_events=F.count("*"))
     return hourly_ratios(pairs.groupBy(*keys).agg(
         F.sum(F.when(F.col("of_first"), F.col("n_events"))).alias("event_count"),
         F.count_if(F.col("of_first") & F.col("actor_id").isNotNull()).alias("unique_actors"),
@@ -41,6 +39,11 @@ def mart_ecosystem_hourly(events: DataFrame, as_of: AsOf) -> DataFrame:
     ))
 
 
+def mart_ecosystem_hourly(events: DataFrame, as_of: AsOf) -> DataFrame:
+    """The hourly activity of the last seven days."""
+    return hourly_activity(since(with_event_date(events), as_of, rules.HOURLY_DAYS))
+
+
 def mart_org_scoreboard(orgs: DataFrame) -> DataFrame:
     """Organisations with two or more active repositories, ranked by events."""
     total = F.col("total_events")

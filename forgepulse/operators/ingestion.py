@@ -10,11 +10,11 @@ import time
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgepulse.clock import AsOf
-from forgepulse.functions.events import hour_key
+from forgepulse.functions.events import EPOCH, hour_key
 from forgepulse.operators.quality import REQUIRED
 from forgepulse.schema import EVENTS, FILES, REJECTED
 from forgepulse.sources.landing import read_landed, rejected
@@ -52,6 +52,64 @@ def pending_hours(hours: DataFrame, ledger: DataFrame) -> DataFrame:
     return hours.join(ledger.where(F.col("status") == "loaded"), "hour_key", "left_anti")
 
 
+def _hour_number(key: Column) -> Column:
+    """Hours since 1970 of a key `yyyy-MM-dd-H`."""
+    day = F.date_diff(F.substring(key, 1, 10).cast("date"), F.lit("1970-01-01").cast("date"))
+    return day * 24 + F.substring_index(key, "-", -1).cast("int")
+
+
+def _hour_of(number: Column) -> Column:
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), number.cast("int"))
+
+
+def loaded_intervals(ledger: DataFrame) -> DataFrame:
+    """The loaded hours as intervals (first, last), hours since 1970: an island for each run.
+
+    The hours of a day are islands within a window of their own; only those, a row for each
+    day and gap, pass through the window over all days.
+    """
+    number = F.col("number")
+    hours = ledger.where(F.col("status") == "loaded").select(_hour_number(F.col("hour_key")).alias("number"))
+    day = F.floor(number / 24)
+    in_day = Window.partitionBy("day").orderBy("number")
+    islands = (
+        hours.where(number.isNotNull()).distinct().withColumn("day", day)
+        .withColumn("island", number - F.row_number().over(in_day))
+        .groupBy("day", "island").agg(F.min("number").alias("first"), F.max("number").alias("last"))
+    )
+    over_days = Window.orderBy("first")
+    begins = F.coalesce(F.col("first") != F.lag("last").over(over_days) + 1, F.lit(True))
+    return (
+        islands.withColumn("begins", begins)
+        .withColumn("run", F.count_if("begins").over(over_days.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .select("first", "last")
+    )
+
+
+def pending_intervals(days: DataFrame, first: Column, last: Column, loaded: DataFrame) -> DataFrame:
+    """The hours of all days from `first` to `last` outside the loaded intervals, as intervals
+    (first_hour, last_hour, hours). No row is made for an hour; the window passes a row for
+    each interval. `days` has one row."""
+    start, end = (F.date_diff(day, F.lit("1970-01-01").cast("date")) * 24 for day in (first, last))
+    wanted = days.where(first <= last).select(start.alias("from"), (end + 23).alias("to"))
+    # An hour before and one after hold the first and the last gap, and carry the bounds.
+    hours = [F.col("from") - 1, F.col("to") + 1]
+    bounds = [wanted.select(at.alias("first"), at.alias("last"), "from", "to") for at in hours]
+    unbounded = [F.lit(None).cast("int").alias(name) for name in ("from", "to")]
+    in_order, anywhere = Window.orderBy("first", "last"), Window.partitionBy()
+    gaps = loaded.select("first", "last", *unbounded).unionByName(bounds[0]).unionByName(bounds[1]).select(
+        (F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) + 1).alias("gap"),
+        (F.lead("first").over(in_order) - 1).alias("until"),
+        F.max("from").over(anywhere).alias("from"), F.max("to").over(anywhere).alias("to"),
+    )
+    clipped = gaps.select(F.greatest("gap", "from").alias("gap"), F.least("until", "to").alias("until"))
+    return clipped.where(F.col("gap") <= F.col("until")).select(
+        _hour_of(F.col("gap")).alias("first_hour"), _hour_of(F.col("until")).alias("last_hour"),
+        (F.col("until") - F.col("gap") + 1).cast("bigint").alias("hours"),
+    )
+
+
 def one_per_event(events: DataFrame, ids: DataFrame, known: DataFrame) -> DataFrame:
     """One row per event id that is not `known`, the one from the earliest-named file.
 

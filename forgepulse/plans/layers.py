@@ -16,7 +16,9 @@ ACTIVITY = "int_repo_daily_activity"
 SIGNALS = "int_repo_daily_signals"
 # Nor this one: per day who did what where, which windows of distinct counts are merged from.
 PAIRS = "int_daily_pairs"
-BY_DATE = {ACTIVITY, SIGNALS, PAIRS}
+# Hourly activity of all events, kept by a stream.
+HOURS = "int_hourly_activity"
+BY_DATE = {ACTIVITY, SIGNALS, PAIRS, HOURS}
 
 # The order a report is read in. A table keeps none, so building it needs no sort.
 READ_ORDER = {
@@ -87,7 +89,7 @@ class Build:
             return entry
         kept = {
             segment: [day for day in days if day not in set(dates)]
-            for segment, days in before["segments"].items()
+            for segment, days in before.get("segments", {}).items()
         }
         kept = {segment: days for segment, days in kept.items() if days}
         return entry | {"segments": kept | entry["segments"]}

@@ -259,17 +259,20 @@ def landed_hours(spark: SparkSession, folder: str) -> dict[str, str]:
     return found
 
 
+def landed_paths(spark: SparkSession, *paths: str) -> list[str]:
+    """All files below these paths, listed by Spark's tasks where there are many; contents
+    are not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return sorted(row.path for row in listed.select("path").collect())
+
+
 def landed_files(spark: SparkSession, paths: dict[str, str]) -> list[tuple[str, str]]:
-    """(file, hour key) of the landed files at these hours' paths, listed by Spark's tasks
-    where there are many; contents are not read."""
-    if not paths:
-        return []
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths.values()))
+    """(file, hour key) of the landed files at these hours' paths."""
     found = []
-    for row in listed.select("path").collect():
-        hour = re.search(HOUR_IN_PATH, row.path).group(1)
-        found.append((f"{hour}/{row.path.rsplit('/', 1)[1]}", hour))
-    return sorted(found)
+    for path in landed_paths(spark, *paths.values()) if paths else []:
+        hour = re.search(HOUR_IN_PATH, path).group(1)
+        found.append((f"{hour}/{path.rsplit('/', 1)[1]}", hour))
+    return found
 
 
 def hour_frame(spark: SparkSession, keys: Sequence[str]) -> DataFrame:

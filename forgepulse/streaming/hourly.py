@@ -1,12 +1,18 @@
-"""Hourly activity as a stream, with exact distinct counts."""
+"""Hourly activity as a stream, with exact distinct counts: closed hours once behind a
+watermark, or every hour at once, corrected whenever an event of it comes late."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from forgepulse.functions.events import as_instant, utc_wall_clock
-from forgepulse.operators.community import hourly_ratios
+from forgepulse.operators.community import hourly_activity, hourly_ratios
+from forgepulse.plans.layers import HOURS, Build
+from forgepulse.schema import EVENTS
+from forgepulse.sources.versions import Conflict
+from forgepulse.sources.warehouse import Warehouse
 
 
 def stream_hourly(events: DataFrame, delay: str) -> DataFrame:
@@ -42,3 +48,40 @@ def stream_hourly(events: DataFrame, delay: str) -> DataFrame:
         )
     )
     return hourly_ratios(hours)
+
+
+def keep_hours(
+    warehouse: Warehouse, source: str, checkpoint: str, max_files: int | None = None
+) -> StreamingQuery:
+    """Takes new files of an event table into the stored hourly activity, then stops.
+
+    The hours are stored by date. Each micro-batch says which dates it has events of; these
+    are counted anew from the table, so distinct counts are exact, and replaced in one
+    step. So an hour is right whenever its events come, in whatever order and batches, and
+    a batch repeated after a failure changes nothing. Work grows with the dates touched, a
+    late event costs one date. The collected list holds dates.
+    """
+    spark = warehouse.spark
+
+    def correct(batch: DataFrame, _: int) -> None:
+        dates = [row.event_date for row in batch.select("event_date").distinct().collect()]
+        dates = sorted(day for day in dates if day is not None)
+        if not dates:
+            return
+        while True:
+            events = spark.read.schema(EVENTS).parquet(source).where(F.col("event_date").isin(dates))
+            hours = hourly_activity(events).withColumn("activity_date", F.to_date("activity_hour"))
+            build = Build(warehouse)
+            build.write(HOURS, hours, dates)
+            try:
+                return build.publish()
+            except Conflict:
+                build.drop()
+
+    reader = spark.readStream.schema(EVENTS)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (
+        reader.parquet(source).writeStream.foreachBatch(correct)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )

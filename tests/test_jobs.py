@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import random
 from datetime import date, datetime, timedelta
 from multiprocessing.pool import ThreadPool
 
@@ -20,14 +21,15 @@ from forgepulse.operators.enrichment import (
     enrichment_candidates, merge_metadata, metadata_upsert, upsert_metadata,
 )
 from forgepulse.operators.ingestion import (
-    NullsFound, backfill_hours, ingest_hour, ingest_hours, pending_hours,
+    NullsFound, backfill_hours, hours_between, ingest_hour, ingest_hours, loaded_intervals,
+    pending_hours, pending_intervals,
 )
 from forgepulse.operators.quality import dq_not_null, observe_nulls
 from forgepulse.operators.trending import mart_trending_repos
 from forgepulse.plans.layers import ACTIVITY, READ_ORDER, read_model, write_model
 from forgepulse.plans.pipeline import run_pipeline
 from forgepulse.plans.upkeep import compact_events, compact_files
-from forgepulse.schema import EVENT_COLUMNS
+from forgepulse.schema import EVENT_COLUMNS, LEDGER
 from forgepulse.sources.versions import Versions
 from forgepulse.sources.warehouse import BUCKETS, Warehouse, hour_frame
 
@@ -121,6 +123,31 @@ def test_a_load_that_fails_before_it_publishes_leaves_nothing(store, as_of, monk
     assert warehouse.events().count() == 1 and warehouse.quarantine().count() == 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_intervals_equal_the_anti_join(spark, seed):
+    """Ledgers with holes, full days, repeated entries, failures, and hours outside."""
+    rng = random.Random(seed)
+    start = datetime(2024, 2, 27)
+    hours = [start + timedelta(hours=n) for n in range(24 * 5)]
+    share = [0, 0.1, 0.5, 0.9, 0.97, 1][seed]
+    rows = [
+        (f"{hour:%Y-%m-%d}-{hour.hour}", 1, NOW, rng.choice(["loaded", "loaded", "loaded", "partial"]) if share < 1 else "loaded")
+        for hour in hours for _ in range(rng.randint(1, 2)) if rng.random() < share
+    ]
+    ledger = spark.createDataFrame(rows, LEDGER)
+    days = spark.sql("select date'2024-02-28' first, date'2024-03-01' last")
+    expected = sorted(pending_hours(hours_between(days, F.col("first"), F.col("last")), ledger).collect())
+    found = pending_intervals(days, F.col("first"), F.col("last"), loaded_intervals(ledger)).collect()
+    keys = [
+        f"{hour:%Y-%m-%d}-{hour.hour}" for row in found for n in range(row.hours)
+        for hour in [row.first_hour + timedelta(hours=n)]
+    ]
+    assert sorted(keys) == [row.hour_key for row in expected]
+    assert all(row.last_hour - row.first_hour == timedelta(hours=row.hours - 1) for row in found)
+    ends = sorted((row.first_hour, row.last_hour) for row in found)
+    assert all(b[0] - a[1] > timedelta(hours=1) for a, b in zip(ends, ends[1:]))
+
+
 def test_event_in_a_later_load_is_not_stored_again(store, as_of):
     warehouse, folder = store
     land(folder, "2024-01-31-5", landed(1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -16,9 +17,9 @@ from forgepulse.operators.community import mart_ecosystem_hourly
 from forgepulse.schema import EVENTS
 from forgepulse.operators.ingestion import ingest_hours
 from forgepulse.plans.pipeline import run_pipeline
-from forgepulse.plans.layers import read_model
+from forgepulse.plans.layers import HOURS, read_model
 from forgepulse.sources.warehouse import Warehouse
-from forgepulse.streaming.hourly import stream_hourly
+from forgepulse.streaming.hourly import keep_hours, stream_hourly
 from forgepulse.streaming.ingest import load_available, write_available
 
 
@@ -184,3 +185,24 @@ def test_stream_hours_drop_what_comes_after_the_watermark(spark, tmp_path):
     assert add(10, 20, 150) == [(start, 2)]
     # The hour at 00:00 is closed; the one at 01:00 is still open.
     assert add(30, 100, 300) == [(start, 2), (start + timedelta(hours=1), 1), (start + timedelta(hours=2), 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hours_are_corrected_in_any_order(spark, tmp_path, seed):
+    """Late events, hot hours, repeated runs: always the hourly report of all that is there."""
+    rng = random.Random(seed)
+    start = datetime(2024, 1, 30, 22)
+    rows = [
+        event(rng.choice(["Push", "Watch"]), repo=rng.choice([None, 1, 2, 3]), actor=rng.choice([None, 1, 2, 3, 4]),
+              at=start + timedelta(minutes=rng.randint(0, 300)))
+        for _ in range(160)
+    ]
+    source, warehouse = str(tmp_path / "events"), Warehouse(spark, str(tmp_path / "warehouse"))
+    for at in range(0, 160, 40):
+        frame(spark, rows[at:at + 40]).coalesce(2).write.mode("append").partitionBy("event_date").parquet(source)
+        for _ in range(2):
+            keep_hours(warehouse, source, str(tmp_path / "state"), max_files=1).awaitTermination()
+        hours = read_model(warehouse, HOURS)
+        whole = mart_ecosystem_hourly(frame(spark, rows[:at + 40]), AsOf(start + timedelta(days=1)))
+        assert collected(hours, *whole.columns) == collected(whole, *whole.columns)
+    assert set(collected(hours, "activity_date")) == {row["event_date"] for row in rows}

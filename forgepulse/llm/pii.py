@@ -18,7 +18,7 @@ KINDS = ("email", "ip", "card", "phone")
 # Documents looked through for training spans, about.
 SAMPLE_DOCS = 8000
 # Spans trained on, at most.
-SAMPLE_SPANS = 4000
+SAMPLE_SPANS = 8000
 # A candidate is added from this calibrated probability on.
 THRESHOLD = 0.9
 CONTEXT = 40
@@ -83,9 +83,9 @@ _GROUP = re.compile(r"[0-9]+")
 _MARK = re.compile(r"[\[({\x20][Aa][Tt][\])}\x20]|@")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 _SPELLED_DOT = r"\x20?[\[({\x20][Dd][Oo][Tt][\])}\x20]\x20?"
-_DOMAIN = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\x20?\.\x20?){_LABEL}){{1,5}}")
+_DOMAIN = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\x20?\.\x20?){_LABEL})+")
 # After a plain "at" a full stop before a space ends a sentence.
-_DOMAIN_OF_WORDS = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\.){_LABEL}){{1,5}}")
+_DOMAIN_OF_WORDS = re.compile(rf"\x20?{_LABEL}(?:(?:{_SPELLED_DOT}|\.){_LABEL})+")
 
 
 def _numbers(text: str) -> Iterator[Span]:
@@ -120,12 +120,29 @@ def _spelled(text: str) -> Iterator[Span]:
             continue
         end = mark.start() - (text[mark.start() - 1:mark.start()] == " ")
         start = end
-        while start > max(0, end - 64) and text[start - 1] in _LOCAL:
+        while start > 0 and text[start - 1] in _LOCAL:
             start -= 1
         if start < end:
             yield "email", start, domain.end()
 
 
+class Covered:
+    """The places of a text that spans cover, a byte each, so that spans of any number are
+    compared in time linear in the text."""
+
+    def __init__(self, text: str, spans: list[Span]):
+        self.places = bytearray(len(text))
+        for span in spans:
+            self.add(span)
+
+    def add(self, span: Span) -> None:
+        _, start, end = span
+        self.places[start:end] = b"\x01" * (end - start)
+
+    def meets(self, span: Span) -> bool:
+        return self.places.find(1, span[1], span[2]) >= 0
+
+
 def candidates(text: str) -> list[Span]:
     """Spans that may be personal data: numbers with separators as phone, card or address,
     and e-mail addresses, also spelled out. Overlaps are allowed."""
@@ -165,7 +182,8 @@ def features(text: str, span: Span) -> list[float]:
         float(bool(groups) and len(set(groups)) == 1),
         float(16 <= len(digits) <= 19 and luhn(digits)),
         float(len(parts) == 4 and max(parts) <= 255),
-        float(inner.startswith("+")), float("(" in inner), float("@" in inner),
+        float(inner.startswith("+")), float("(" in inner), float("[" in inner), float("@" in inner),
+        float(inner.startswith("(")), float(inner.count("(") == inner.count(")")),
         float("." in inner), float("-" in inner), float("/" in inner), float(" " in inner),
         float(1900 <= (parts[0] if parts else 0) <= 2100), float(len(set(digits))),
         float(any(word in HINTS[kind] for word in near)),
@@ -186,7 +204,8 @@ def _disguised(kind: str, inner: str) -> list[str]:
         name, _, domain = inner.partition("@")
         return [
             f"{name} at {domain.replace('.', ' dot ')}", f"{name}[at]{domain.replace('.', '[dot]')}",
-            f"{name}[at]{domain}",
+            f"{name}[at]{domain}", f"{name}(at){domain}", f"{name} (at) {domain}",
+            f"{name} [at] {domain}",
         ]
     if kind == "ip":
         return [inner.replace(".", "[.]")]
@@ -195,7 +214,10 @@ def _disguised(kind: str, inner: str) -> list[str]:
         fours = [digits[i:i + 4] for i in range(0, len(digits), 4)]
         return [".".join(fours), "/".join(fours)]
     national = digits[-10:]
-    return [f"({national[:3]}) {national[3:6]}-{national[6:]}", f"{national[:3]}-{national[3:6]}-{national[6:]}"]
+    return [
+        f"({national[:3]}) {national[3:6]}-{national[6:]}", f"{national[:3]}-{national[3:6]}-{national[6:]}",
+        f"0{national[:2]} {national[2:9]}", f"0{national[:3]}/{national[3:]}", f"0{national[:3]} {national[3:]}",
+    ]
 
 
 def _harmless(i: int) -> tuple[str, str]:
@@ -255,10 +277,9 @@ def training_rows(text: str) -> list[tuple[list[float], float]]:
             for span in candidates(changed):
                 if span[1] < len(opening) + len(inner) and span[2] > len(opening):
                     rows.append((features(changed, span), 0.0))
+    covered = Covered(text, certain)
     for span in candidates(text):
-        if span[0] != "email" and not any(
-            span[1] < end and start < span[2] for _, start, end in certain
-        ):
+        if span[0] != "email" and not covered.meets(span):
             rows.append((features(text, span), 0.0))
     return rows
 
@@ -315,18 +336,16 @@ def all_spans(
     certain = base_spans(text)
     if model is None:
         return certain, certain
-    taken = [(start, end) for _, start, end in certain]
-    open_ones = [
-        span for span in candidates(text)
-        if not any(span[1] < end and start < span[2] for start, end in taken)
-    ]
+    taken = Covered(text, certain)
+    open_ones = [span for span in candidates(text) if not taken.meets(span)]
     added = []
     if open_ones:
         chance = model.probability(np.array([features(text, span) for span in open_ones]))
         for k in sorted(range(len(open_ones)), key=lambda k: (-chance[k], open_ones[k][1] - open_ones[k][2], open_ones[k])):
-            _, start, end = open_ones[k]
-            if chance[k] >= threshold and not any(start < b and a < end for a, b in taken):
-                taken.append((start, end))
+            if chance[k] < threshold:
+                break
+            if not taken.meets(open_ones[k]):
+                taken.add(open_ones[k])
                 added.append(open_ones[k])
     order = {kind: i for i, kind in enumerate(KINDS)}
     return certain, sorted([*certain, *added], key=lambda span: (order[span[0]], span[1]))

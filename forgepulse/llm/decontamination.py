@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgepulse.sources.storage import Scratch
+
 # Errors allowed, as a part of an item's length in bytes.
 ERROR_RATE = 0.08
 # Benchmark text searched for in one pass over the documents.
 BLOCK_BYTES = 8 << 20
+# Items of one place are compared by grams first from this number on.
+TOGETHER = 8
+# Bytes of a gram; the odd numbers spread grams over 16 bits. Fixed values.
+GRAM, GRAM_FACTOR, GRAM_MIX = 3, 0x01000193, 0x9E3779B1
 
 # Everything of ASCII but letters and digits separates words.
 _SPACED = bytes(
@@ -77,26 +84,35 @@ def best_distance(masks: dict[int, int], length: int, window: bytes, enough: int
 
 
 class Matcher:
-    """Finds the items of a block of the benchmark in texts."""
+    """Finds the items of a block of the benchmark in texts.
+
+    Items that share a piece are tried together: those whose windows begin at the same
+    place, once for that place, and by bit-parallel distance only if enough of their grams
+    stand in the window. An edit spoils at most GRAM of an item's grams, so an item that
+    misses more than GRAM times its budget cannot be there.
+    """
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE):
         import ahocorasick
 
         plain = [(number, text) for number, item in items if (text := normal(item))]
-        self.budgets = [budget(text, rate) for _, text in plain]
+        self.budgets = np.array([budget(text, rate) for _, text in plain], dtype=np.int64)
         # An item too short for an error must at least stand as whole words.
         self.items = [
             (number, text if errors else b" " + text + b" ")
-            for (number, text), errors in zip(plain, self.budgets, strict=True)
+            for (number, text), errors in zip(plain, self.budgets.tolist(), strict=True)
         ]
         self.masks: dict[int, dict[int, int]] = {}
-        places: dict[bytes, list[tuple[int, int]]] = {}
+        self.grams: dict[int, np.ndarray] = {}
+        self.lengths = np.array([len(text) for _, text in self.items], dtype=np.int64)
+        places: dict[bytes, dict[int, list[int]]] = {}
         for k, (_, text) in enumerate(self.items):
-            for offset, piece in pieces(text, self.budgets[k]):
-                places.setdefault(piece, []).append((k, offset))
+            for offset, piece in pieces(text, int(self.budgets[k])):
+                places.setdefault(piece, {}).setdefault(offset, []).append(k)
         self.automaton = ahocorasick.Automaton()
         for piece, at in places.items():
-            self.automaton.add_word(piece.decode("latin-1"), (len(piece), at))
+            groups = [(offset, np.array(own, dtype=np.int64)) for offset, own in at.items()]
+            self.automaton.add_word(piece.decode("latin-1"), (len(piece), groups))
         if places:
             self.automaton.make_automaton()
 
@@ -106,27 +122,57 @@ class Matcher:
         if not self.items:
             return set()
         haystack = b" " + normal(text) + b" "
-        found: set[int] = set()
-        tried: dict[int, int] = {}
-        for end, (length, places) in self.automaton.iter(haystack.decode("latin-1")):
-            for k, offset in places:
-                if k in found:
-                    continue
+        found = np.zeros(len(self.items), dtype=bool)
+        # The items tried at each place; pieces of one item often lead to the same place.
+        tried: dict[int, set[int]] = {}
+        for end, (length, groups) in self.automaton.iter(haystack.decode("latin-1")):
+            for offset, group in groups:
                 start = end + 1 - length - offset
-                item, errors = self.items[k][1], self.budgets[k]
-                if haystack.startswith(item, max(start, 0)) and start >= 0:
-                    found.add(k)
-                    continue
-                # Pieces of one place lead to one window.
-                if tried.get(k) == start:
-                    continue
-                tried[k] = start
-                window = haystack[max(0, start - errors):start + len(item) + errors]
-                if k not in self.masks:
-                    self.masks[k] = bit_masks(item)
-                if best_distance(self.masks[k], len(item), window, errors) <= errors:
-                    found.add(k)
-        return {self.items[k][0] for k in found}
+                before = tried.setdefault(start, set())
+                new = [k for k in group.tolist() if not found[k] and k not in before]
+                if new:
+                    before.update(new)
+                    for k in self._possible(haystack, start, np.array(new, dtype=np.int64)):
+                        found[k] = self._matches(haystack, start, k)
+        return {self.items[k][0] for k in np.flatnonzero(found).tolist()}
+
+    def _possible(self, haystack: bytes, start: int, group: np.ndarray) -> list[int]:
+        """Those of the items at this place that have enough grams in common with it."""
+        if len(group) < TOGETHER:
+            return group.tolist()
+        errors, lengths = self.budgets[group], self.lengths[group]
+        window = haystack[max(0, start - int(errors.max())):start + int((lengths + errors).max())]
+        here = np.zeros(1 << 16, dtype=bool)
+        here[_grams(window)] = True
+        own = [self._grams_of(k) for k in group.tolist()]
+        sizes = np.array([len(one) for one in own])
+        missing = np.add.reduceat(np.r_[~here[np.concatenate(own)], False], np.r_[0, np.cumsum(sizes)[:-1]])
+        missing[sizes == 0] = 0
+        return group[missing <= GRAM * errors].tolist()
+
+    def _grams_of(self, k: int) -> np.ndarray:
+        if k not in self.grams:
+            self.grams[k] = _grams(self.items[k][1])
+        return self.grams[k]
+
+    def _matches(self, haystack: bytes, start: int, k: int) -> bool:
+        item, errors = self.items[k][1], int(self.budgets[k])
+        if start >= 0 and haystack.startswith(item, start):
+            return True
+        window = haystack[max(0, start - errors):start + len(item) + errors]
+        if k not in self.masks:
+            self.masks[k] = bit_masks(item)
+        return best_distance(self.masks[k], len(item), window, errors) <= errors
+
+
+def _grams(text: bytes) -> np.ndarray:
+    """A 16-bit number for every GRAM bytes in turn; equal bytes have equal numbers."""
+    codes = np.frombuffer(text, dtype=np.uint8).astype(np.uint32)
+    count = max(0, len(codes) - GRAM + 1)
+    numbers = np.zeros(count, dtype=np.uint32)
+    for at in range(GRAM):
+        numbers = numbers * np.uint32(GRAM_FACTOR) + codes[at:at + count]
+    return ((numbers * np.uint32(GRAM_MIX)) >> np.uint32(16)).astype(np.int64)
 
 
 def contaminated(
@@ -141,7 +187,8 @@ def contaminated(
     more than it may have errors; an automaton finds exact hits of all pieces in one pass
     over the document, and the window around each hit is verified with bit-parallel edit
     distance. The benchmark is a stated query set: it is read in blocks of about
-    `block_bytes` of text, each sent to the executors and searched for in all documents; the
+    `block_bytes` of text, each sent to the executors and searched for in all documents; what
+    was found is written between two blocks, so a worker holds one automaton at a time. The
     documents are never shuffled.
 
     Null and empty texts hold no item. Null or empty items, and those without a letter or
@@ -149,7 +196,7 @@ def contaminated(
     the same text are all named. With an empty benchmark every list is empty. Columns named
     as the results are replaced.
     """
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     items = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("bigint").alias("item_id"), "text"
     )
@@ -189,4 +236,8 @@ def contaminated(
                 )
 
         result = result.select(*plain.columns, "item_ids", "contaminated").mapInArrow(search, schema)
+        if block + 1 < blocks:
+            result = scratch.keep(result, name=f"block-{block}")
+            if block:
+                scratch.discard(f"block-{block - 1}")
     return result

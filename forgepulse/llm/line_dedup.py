@@ -9,8 +9,10 @@ from forgepulse.llm.common import ascii_lower, known_id
 from forgepulse.sources.storage import Scratch
 
 MIN_CHARS = 10
-# A line with more than this part of all lines is taken out before the sort.
+# A line with more than this part of all lines, and more rows than a task sorts with ease,
+# is taken out before the sort.
 HOT_PART = 4096
+HOT_ROWS = 4096
 BUCKETS = 1 << 16
 WHITE = " \t\n\x0b\f\r"
 
@@ -46,21 +48,22 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def _hot_lines(lines: DataFrame, scratch: Scratch) -> DataFrame:
-    """The lines with over 1 / HOT_PART of all rows, HOT_PART rows at most, and the first
-    document of each. A count by hash bucket finds where they can be; only those buckets
+    """The lines with over HOT_ROWS rows and over 1 / HOT_PART of all rows, so HOT_PART lines at
+    most, and the first document of each. A count by hash bucket finds where they can be; only those buckets
     are counted by line."""
     sizes = scratch.keep(
         lines.groupBy(F.pmod("h1", F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n")),
         name="bucket-sizes",
     )
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    large = sizes.where(F.col("n") * HOT_PART > total).select("bucket")
+    hot = (F.col("n") > HOT_ROWS) & (F.col("n") * HOT_PART > total)
+    large = sizes.where(hot).select("bucket")
     return (
         # At most HOT_PART buckets hold over 1 / HOT_PART of the rows each.
         lines.withColumn("bucket", F.pmod("h1", F.lit(BUCKETS)))
         .join(F.broadcast(large), "bucket", "left_semi")
         .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("did").alias("first_did"))
-        .where(F.col("n") * HOT_PART > total)
+        .where(hot)
         .select("h1", "h2", "first_did")
     )
 
@@ -70,7 +73,7 @@ def repeated_lines(lines: DataFrame, scratch: Scratch) -> DataFrame:
 
     Rows are range-partitioned by hash and sorted within by document and position, so a
     running window, which needs no further shuffle, streams each line's first document
-    past its later ones. The few lines that make up a large part of all rows never enter
+    past its later ones. The few lines that make up a large part of many rows never enter
     a range: their first document comes from an aggregate that combines before it
     shuffles, and is broadcast (HOT_PART rows at most).
     """

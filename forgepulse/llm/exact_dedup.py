@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.llm.common import SPACES, known_id, original_id
 from forgepulse.sources.storage import Scratch
 
-# Bytes of the first digit; each further one is so many times as wide, up to a limit.
+# Bytes of the first digit; each further one is so many times as wide, up to what a value
+# may hold.
 FIRST_DIGIT = 32
 WIDENING = 4
-WIDEST_DIGIT = 1 << 16
+WIDEST_DIGIT = 1 << 30
 
 
 def normalised(text: Column) -> Column:
@@ -26,8 +27,7 @@ def equal_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     split by length and first digit, then by one digit after the other, only among the
     documents that still share all digits so far; a group of one is finished, and a group
     whose digits have ended is a group of equal texts. Equality is decided by the bytes
-    alone. Digits widen, so a text of n bytes takes about log(n) rounds up to the widest
-    digit. Groups are counted by aggregates that combine before the shuffle, so
+    alone. Digits widen, so a text of n bytes takes about log(n) rounds. Groups are counted by aggregates that combine before the shuffle, so
     thousands of copies reach a task as one row for each task before; adaptive execution
     splits the join that hands a large group its number. The shared digits have no bound,
     so they are merged with the texts at every size and never broadcast.

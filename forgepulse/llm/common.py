@@ -37,6 +37,22 @@ def original_id(doc_id: Column) -> Column:
     return F.nullif(doc_id, F.lit(NO_ID))
 
 
+class Aside:
+    """A table whose columns an operator does not need go by other names meanwhile, so that
+    none meets the names the operator uses."""
+
+    def __init__(self, df: DataFrame, needed: Sequence[str]):
+        self.columns = df.columns
+        self.names = {
+            name: f"__own_{number}" for number, name in enumerate(df.columns) if name not in set(needed)
+        }
+        self.df = df.withColumnsRenamed(self.names)
+
+    def back(self, df: DataFrame) -> DataFrame:
+        """The table's own columns out of what was made of `df`."""
+        return df.select(*[F.col(self.names.get(name, name)).alias(name) for name in self.columns])
+
+
 def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     """Equality of the named columns in which a null equals a null."""
     condition = left[names[0]].eqNullSafe(right[names[0]])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from array import array
@@ -111,6 +112,18 @@ class Units(dict):
             self.clear()
 
 
+def _cuts_at_words(tokenizer) -> bool:
+    """Whether the tokenizer's own pre-tokenizer splits as `Units` expects."""
+    spec = json.loads(tokenizer.to_str())
+    split, model = spec["pre_tokenizer"] or {}, spec["model"]
+    return (
+        spec["normalizer"] is None and model["type"] == "BPE"
+        and not any(model.get(key) for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        and not split.get("add_prefix_space", True)
+    )
+
+
 class Encoder:
     """Encodes texts word by word, remembering the ids of each word.
 
@@ -118,6 +131,8 @@ class Encoder:
     characters, nor on either side of a single line feed between two others. A text with
     no other white space is cut there, and each word is encoded by the tokenizer once and
     then looked up. Any other text, or one with a special token's mark, is encoded whole.
+    So is every text for a tokenizer that normalises, or splits otherwise than byte-level
+    vocabularies do.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -125,11 +140,16 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.units = Units(Tokenizer.from_file(path), remembered)
+        tokenizer = Tokenizer.from_file(path)
+        self.cuts, self.whole = _cuts_at_words(tokenizer), None
+        if self.cuts:
+            self.units = Units(tokenizer, remembered)
+        else:
+            self.whole = lambda text: _packed(tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        return [self._one(text) for text in texts]
+        return [self._one(text) for text in texts] if self.cuts else [self.whole(text) for text in texts]
 
     def _one(self, text: str) -> bytes:
         units = self.units
@@ -150,7 +170,8 @@ def _encoder(path: str, remembered: int) -> Encoder:
     """A worker's encoder, which outlives the task."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
-    _encoders[path].units.remembered = remembered
+    if _encoders[path].cuts:
+        _encoders[path].units.remembered = remembered
     return _encoders[path]
 
 

@@ -100,12 +100,12 @@ def judge(
     The longest fitting rule decides; without one a page is blocked by one strict term or
     `soft_limit` different soft ones. A null URL, or one without `://`, has an empty host
     and path: no rule fits it, and its terms still count. Rules and vocabulary are small
-    fixed lists and go into the plan; no row is shuffled. Columns named as the results
-    are replaced.
+    fixed lists and go into the plan; no row is shuffled. Repeated pages are judged alike, and
+    an empty table gives an empty result. Columns named as the results are replaced.
     """
     lowered = pages.withColumns({
         "host": host(F.col("url")), "path": path(F.col("url")),
-        "hits": count_terms(strict, soft)(ascii_lower(F.col("url"))),
+        "__hits": count_terms(strict, soft)(ascii_lower(F.col("url"))),
     })
     ordered = longest_first(rules)
     none = F.lit(None).cast("string")
@@ -121,10 +121,10 @@ def judge(
     by_terms = F.when(rejected, "block").otherwise("allow")
     return (
         lowered.withColumns({
-            "strict_hits": F.col("hits.strict_hits"), "soft_hits": F.col("hits.soft_hits"),
+            "strict_hits": F.col("__hits.strict_hits"), "soft_hits": F.col("__hits.soft_hits"),
             "rule": fitting,
         })
-        .drop("hits")
+        .drop("__hits")
         .withColumn("verdict", F.coalesce(by_rule, by_terms))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import decontamination, language, mixing, simhash, token_store
-from forgepulse.llm.common import table
+from forgepulse.llm.common import Aside, table
 from forgepulse.sources.storage import Scratch
 
 # Words a worker remembers when token ids are written: its memory and the executor's have
@@ -21,7 +21,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages; texts too far from all of them go."""
-    return language.identify(docs).where(~F.col("rejected")).select(*docs.columns)
+    own = Aside(docs, ["text", "lang", "doc_id"])
+    return own.back(language.identify(own.df).where(~F.col("rejected")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,21 +35,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     ).distinct()
-    kept = docs.withColumns({
-        "_id": F.col("doc_id").cast("bigint"), "_hash": F.xxhash64("text")
-    }).join(dropped, ["_id", "_hash"], "left_anti")
-    return kept.select(*docs.columns)
+    same = (F.col("doc_id").cast("bigint") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    own = Aside(docs, ["doc_id", "text"])
+    return own.back(own.df.join(dropped, same, "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    own = Aside(docs, ["text"])
+    found = decontamination.contaminated(own.df, table(spark, sf_dir, "benchmark"))
+    return own.back(found.where(~F.col("contaminated")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.repeated(mixing.mix(docs, Scratch(spark)), docs.columns)
+    own = Aside(docs, ["doc_id", "text", "source"])
+    return own.back(mixing.repeated(mixing.mix(own.df, Scratch(spark)), own.df.columns))
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

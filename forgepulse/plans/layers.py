@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgepulse.operators.staging import staging_views
 from forgepulse.sources.versions import Conflict, Version
@@ -20,7 +22,7 @@ PAIRS = "int_daily_pairs"
 HOURS = "int_hourly_activity"
 BY_DATE = {ACTIVITY, SIGNALS, PAIRS, HOURS}
 
-# The order a report is read in. A table keeps none, so building it needs no sort.
+# The order a report is read in, and stored by: each chunk holds a range of it.
 READ_ORDER = {
     "mart_trending_repos": [F.desc, "activity_date", "activity_score"],
     "mart_ai_ecosystem": [F.desc, "score_this_week"],
@@ -34,6 +36,16 @@ READ_ORDER = {
 }
 
 
+CHUNK = "chunk"
+# Up to so many chunks are read one after the other; more are sorted anew.
+CHUNKS_IN_TURN = 64
+
+
+def reading_order(model: str) -> list[Column]:
+    direction, *columns = READ_ORDER[model]
+    return [direction(name) for name in columns]
+
+
 def layer_of(model: str) -> str:
     return "intermediate" if model.startswith("int_") else "marts"
 
@@ -63,14 +75,23 @@ class Build:
         Daily tables are partitioned by date; with `only_dates`, `df` holds those dates
         only and the others stay.
         """
-        name = _table(model)
-        partition_by = "activity_date" if model in BY_DATE else None
-        rows = df.hint("rebalance", partition_by) if partition_by else df
+        name, rows, partition_by, schema = _table(model), df, None, df.schema
+        if model in BY_DATE:
+            partition_by = "activity_date"
+            rows = df.hint("rebalance", partition_by)
+        elif model in READ_ORDER:
+            # The chunk is each task's number, so the rows stay in the order of their range.
+            partition_by, order = CHUNK, reading_order(model)
+            rows = df.repartitionByRange(*order).withColumn(CHUNK, F.spark_partition_id())
+            rows = rows.sortWithinPartitions(CHUNK, *order)
         segment = self.warehouse.write_segment(name, rows, [partition_by] if partition_by else [])
         values = self.warehouse.partitions_of(name, segment) if partition_by else []
-        self.written[name] = {
-            "schema": df.schema.jsonValue(), "partition_by": partition_by, "segments": {segment: values},
-        }
+        entry = {"schema": schema.jsonValue(), "partition_by": partition_by, "segments": {segment: values}}
+        if partition_by == CHUNK:
+            stored = T.StructType([*schema.fields, T.StructField(CHUNK, T.IntegerType())])
+            counted = self.warehouse.read_segments(name, stored, entry["segments"], CHUNK).groupBy(CHUNK).count()
+            entry["rows"] = {str(row[CHUNK]): row["count"] for row in counted.collect()}
+        self.written[name] = entry
         self.only_dates[name] = None if only_dates is None else [day.isoformat() for day in only_dates]
         return self.read(model).select(*df.columns)
 
@@ -134,10 +155,39 @@ def is_built(warehouse: Warehouse, model: str) -> bool:
     return bool(warehouse.version().get(_table(model)))
 
 
-def read_model(warehouse: Warehouse, model: str, ordered: bool = False) -> DataFrame:
-    direction, *columns = READ_ORDER.get(model, [F.desc])
-    order_by = [direction(name) for name in columns] if ordered else []
-    return warehouse.read(_table(model), order_by)
+def read_model(
+    warehouse: Warehouse, model: str, ordered: bool = False, top: int | None = None
+) -> DataFrame:
+    """A model as stored; with `ordered`, in its reading order, and with `top` its first rows.
+
+    A report's chunks are ranges of its order, so they are read one after the other, each
+    sorted within its tasks: nothing is shuffled, and for the first rows only as many chunks
+    are read as hold them.
+    """
+    if not (ordered or top is not None) or model not in READ_ORDER:
+        return warehouse.read(_table(model))
+    name, order = _table(model), reading_order(model)
+    entry = warehouse.version().get(name)
+    if not entry:
+        raise KeyError(f"{model} was never built")
+    (segment, values), = entry["segments"].items()
+    chunks, rows = [], 0
+    for value in sorted(values, key=int):
+        if top is not None and rows >= top:
+            break
+        chunks.append(value)
+        rows += entry["rows"][value]
+    if len(chunks) > CHUNKS_IN_TURN or not chunks:
+        return _first(warehouse.read_entry(name, entry | {"segments": {segment: chunks}}).orderBy(*order), top)
+    in_turn = [
+        warehouse.read_entry(name, entry | {"segments": {segment: [chunk]}}).sortWithinPartitions(*order)
+        for chunk in chunks
+    ]
+    return _first(reduce(DataFrame.unionByName, in_turn), top)
+
+
+def _first(rows: DataFrame, top: int | None) -> DataFrame:
+    return rows if top is None else rows.limit(top)
 
 
 def _table(model: str) -> str:

@@ -173,12 +173,11 @@ class Warehouse:
 
     # Models
 
-    def read(self, name: str, order_by: Sequence = ()) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
         entry = self.version().get(name)
         if not entry:
             raise KeyError(f"{name} was never built")
-        table = self.read_entry(name, entry)
-        return table.orderBy(*order_by) if order_by else table
+        return self.read_entry(name, entry)
 
     def read_entry(self, name: str, entry: dict) -> DataFrame:
         schema = T.StructType.fromJson(entry["schema"])

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from forgepulse.plans.layers import READ_ORDER, read_model, write_model
@@ -28,7 +29,10 @@ def test_reading_order_equals_sql(spark, tmp_path, model):
     write_model(warehouse, model, registry.own_queries()[model](spark, DATA))
     read = read_model(warehouse, model, ordered=True)
     assert [tuple(row[name] for name in columns) for row in read.collect()] == wanted
-    assert [tuple(row[name] for name in columns) for row in read.limit(7).collect()] == wanted[:7]
+    best = read_model(warehouse, model, top=7)
+    assert [tuple(row[name] for name in columns) for row in best.collect()] == wanted[:7]
+    for rows in (read, best):
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString().replace("SinglePartition", "")
     assert len(wanted) > 1
 
 
@@ -38,3 +42,32 @@ def test_nulls_come_last(spark, tmp_path):
     write_model(warehouse, "mart_viral_velocity", spark.createDataFrame(rows, "repo_id bigint, velocity_ratio double"))
     read = read_model(warehouse, "mart_viral_velocity", ordered=True)
     assert [row.velocity_ratio for row in read.collect()] == [30.0, 0.5, -1.0, None, None]
+
+
+def test_the_first_rows_are_read_from_few_chunks(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(5000).select(
+            F.col("id").alias("repo_id"), F.when(F.col("id") % 10 > 0, F.col("id") * 0.5).alias("velocity_ratio")
+        )
+        write_model(warehouse, "mart_viral_velocity", rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    entry = warehouse.version().get("marts/mart_viral_velocity")
+    assert len(entry["rows"]) >= 3 and sum(entry["rows"].values()) == 5000
+    wanted = sorted((0.5 * i for i in range(5000) if i % 10), reverse=True) + [None] * 500
+    assert [row[1] for row in read_model(warehouse, "mart_viral_velocity", ordered=True).collect()] == wanted
+    best = read_model(warehouse, "mart_viral_velocity", top=20)
+    assert [row[1] for row in best.collect()] == wanted[:20]
+    assert len(best.inputFiles()) == 1 < len(read_model(warehouse, "mart_viral_velocity").inputFiles())
+    most = read_model(warehouse, "mart_viral_velocity", top=4700)
+    assert [row[1] for row in most.collect()] == wanted[:4700]
+    assert read_model(warehouse, "mart_viral_velocity", top=0).isEmpty()
+
+
+def test_an_empty_report_has_an_order_too(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    write_model(warehouse, "mart_viral_velocity", spark.createDataFrame([], "repo_id bigint, velocity_ratio double"))
+    assert read_model(warehouse, "mart_viral_velocity", ordered=True).isEmpty()
+    assert read_model(warehouse, "mart_viral_velocity").columns == ["repo_id", "velocity_ratio"]

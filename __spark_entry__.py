@@ -174,10 +174,9 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs from landed files, the second over the later hours and the metadata; of every
-    model as stored its rows, and of its numbers the sums and the nulls."""
+    """The whole run from landed files, the earlier hours of which are loaded already; of every
+    model as stored its rows, and of each column the nulls and, of numbers, the sum."""
     warehouse, folder = _in_two_loads(spark, sf_dir)
-    pipeline.run_pipeline(warehouse, AS_OF)
     records = binding.bound_metadata(spark, sf_dir)
     models = pipeline.run_pipeline(warehouse, AS_OF, folder, records)
     views = staging.staging_views(warehouse.events())

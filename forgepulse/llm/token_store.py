@@ -97,13 +97,22 @@ class Units(dict):
         key = " " + word
         ids = self.get(key) or self.old.get(key)
         if ids is None:
-            if not word or word.split() != [word] or "<|" in word:
+            if word.isalpha() and max(word) < "\u0250":
+                ids = self._merged(word)
+            elif word[-1:] in self.marks and word[:-1].isalpha():
+                ids = self.first(word[:-1]) + self.marks[word[-1]]
+            elif not word or word.split() != [word] or "<|" in word:
                 raise Unsafe(word)
-            ids = self[key] = self.whole(word)
+            else:
+                ids = self.whole(word)
+            self[key] = ids
         return ids
 
     def _merged(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(self.letters)
+        if word.isascii():
+            spelled = word.replace(" ", self.letters[32])
+        else:
+            spelled = word.encode().decode("latin-1").translate(self.letters)
         return _packed([token.id for token in self.model.tokenize(spelled)])
 
     def age(self) -> None:

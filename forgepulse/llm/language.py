@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+import zlib
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -16,15 +17,21 @@ DIMENSIONS = 4096
 CLUSTERS = 4
 # Labelled documents of each language that are learned from, about.
 SAMPLE_PER_LANGUAGE = 500
-# A document is rejected if its cosine is under this part of the lowest tenth of a
-# percent among the documents learned from.
-SLACK = 0.25
+# Lengths, in characters, of the passages that rejection is calibrated on.
+PASSAGES = (16, 64, 256, 1024, 4096)
+# Parts the texts are learned from by turns; the passages of each are compared with the others.
+FOLDS = 4
+# A text is too far if this part of shuffled passages like it come nearer, unless its cosine
+# is above KEPT of what all but LOWEST of real passages like it reach.
+NOISE = 0.8
+KEPT, LOWEST = 0.5, 0.05
 UNKNOWN = "und"
 SEED = 42
 # Bytes of a text counted at a time.
 CHUNK = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
+_DRAWN = pa.schema([("lang", pa.string()), ("tf", pa.binary()), ("passages", pa.list_(pa.string()))])
 # Everything of ASCII but letters is a space; a run of spaces counts as one below.
 _FOLDED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -44,12 +51,14 @@ def counts(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages with the unit centroids of their clusters, and the rejection threshold of each."""
+    """Languages with the unit centroids of their clusters, and the least cosine of a text by
+    the logarithm of its number of different n-grams."""
 
     idf: np.ndarray
     centroids: np.ndarray
     labels: list[str]
-    thresholds: dict[str, float]
+    sizes: list[float] = field(default_factory=lambda: [0.0])
+    limits: list[float] = field(default_factory=lambda: [0.0])
 
     def weigh(self, tf: np.ndarray) -> np.ndarray:
         """Unit vectors of logarithmic counts weighed by rarity; zero without n-grams."""
@@ -61,10 +70,15 @@ class Model:
         """The language, the cosine of the nearest centroid, and whether it is too far."""
         if not text or not _LETTER.search(text) or not self.labels:
             return UNKNOWN, 0.0, True
-        cosines = self.centroids @ self.weigh(counts(text))
+        tf = counts(text)
+        cosines = self.centroids @ self.weigh(tf)
         best = int(np.argmax(cosines))
-        label, score = self.labels[best], float(min(1.0, max(0.0, cosines[best])))
-        return label, score, score < self.thresholds[label]
+        score = float(min(1.0, max(0.0, cosines[best])))
+        return self.labels[best], score, score <= self.limit(np.count_nonzero(tf))
+
+    def limit(self, different: int) -> float:
+        """The cosine up to which a text with so many different n-grams is too far."""
+        return float(np.interp(np.log(max(1, different)), self.sizes, self.limits))
 
 
 def clustered(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12) -> np.ndarray:
@@ -88,24 +102,76 @@ def clustered(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12) -
     return centroids
 
 
-def fit(labels: list[str], tf: np.ndarray, clusters: int = CLUSTERS) -> Model:
+def passages(text: str) -> list[str]:
+    """A passage of the text for each length it has, at a place its checksum gives."""
+    place = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    starts = [(place % (len(text) - size + 1), size) for size in PASSAGES if size <= len(text)]
+    return [text[at:at + size] for at, size in starts]
+
+
+def shuffled(text: str) -> str:
+    """The text's characters in another order, the same for the same text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    mixed = np.random.default_rng(len(text)).permutation(codes)
+    return mixed.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def learned(labels: Sequence[str], tf: np.ndarray, clusters: int) -> Model:
+    """Weights and centroids, without limits."""
     seen = (tf > 0).sum(axis=0)
     idf = np.log((1 + len(tf)) / (1 + seen)) + 1
-    model = Model(idf.astype(np.float32), np.zeros((0, DIMENSIONS), np.float32), [], {})
+    model = Model(idf.astype(np.float32), np.zeros((0, DIMENSIONS), np.float32), [])
     own = np.array(labels, dtype=object)
     parts = []
     for label in sorted(set(labels)):
-        vectors = model.weigh(tf[own == label])
-        centroids = clustered(vectors, clusters)
+        centroids = clustered(model.weigh(tf[own == label]), clusters)
         parts.append(centroids)
         model.labels += [label] * len(centroids)
-        nearest = (vectors @ centroids.T).max(axis=1)
-        model.thresholds[label] = SLACK * float(np.quantile(nearest, 0.001))
     if parts:
         model.centroids = np.concatenate(parts)
     return model
 
 
+def fit(
+    labels: Sequence[str], tf: np.ndarray, texts: Sequence[Sequence[str]], clusters: int = CLUSTERS
+) -> Model:
+    """A model of counted texts, with limits from the passages of each.
+
+    A passage is compared with centroids learned without its text, and so is the same
+    passage shuffled, which has its letters but no language. The limit for texts of about
+    so many different n-grams lies where most shuffled passages stay under it, and well
+    under nearly all real ones, so that short texts, whose cosines are small, are kept.
+    """
+    model = learned(labels, tf, clusters)
+    found: dict[int, list[tuple[int, float, float]]] = {size: [] for size in PASSAGES}
+    fold = np.arange(len(tf)) % FOLDS
+    for part in range(FOLDS):
+        rest = [label for label, at in zip(labels, fold, strict=True) if at != part]
+        others = learned(rest, tf[fold != part], clusters)
+        if not others.labels:
+            continue
+        for size, rows in found.items():
+            real = [
+                x for at in np.flatnonzero(fold == part) if labels[at] in others.labels
+                for x in texts[at] if len(x) == size and _LETTER.search(x)
+            ]
+            if real:
+                counted = np.stack([counts(x) for x in real])
+                noise = np.stack([counts(shuffled(x)) for x in real])
+                near, far = (
+                    (others.weigh(x) @ others.centroids.T).max(axis=1) for x in (counted, noise)
+                )
+                rows += zip((counted > 0).sum(axis=1), near, far, strict=True)
+    for rows in found.values():
+        if rows:
+            different, near, far = (np.array(column, dtype=float) for column in zip(*rows, strict=True))
+            model.sizes.append(max(model.sizes[-1], float(np.log(np.median(different)))))
+            model.limits.append(
+                max(0.0, min(float(np.quantile(far, NOISE)), KEPT * float(np.quantile(near, LOWEST))))
+            )
+    return model
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from."""
     return F.coalesce(
@@ -117,7 +183,8 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model of the labelled documents that aren't held out, from a bounded sample.
 
     From each language about `per_language` different texts are drawn by a hash of the
-    text, all where it has no more; copies are counted once. Their n-grams are counted in the executors; the driver gets vectors.
+    text, all where it has no more; copies are counted once. Their n-grams are counted in
+    the executors; the driver gets packed counts and passages of bounded length.
     """
     labelled = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
@@ -127,7 +194,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         row.lang: max(1, row.n) for row in labelled.groupBy("lang").agg(different.alias("n")).collect()
     }
     if not sizes:
-        return fit([], np.zeros((0, DIMENSIONS), np.int64))
+        return fit([], np.zeros((0, DIMENSIONS), np.int64), [])
     limits = F.create_map(*[
         F.lit(x) for lang, n in sorted(sizes.items())
         for x in (lang, int(min(1.0, per_language / n) * (1 << 30)))
@@ -138,32 +205,31 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (lang, np.minimum(counts(text), 65535).astype("<u2").tobytes())
+                {"lang": lang, "tf": zlib.compress(counts(text).astype("<u8").tobytes(), 1),
+                 "passages": passages(text)}
                 for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True)
                 if _LETTER.search(text)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.binary())],
-                names=["lang", "tf"],
-            )
+            yield pa.RecordBatch.from_pylist(rows, schema=_DRAWN)
 
     # Twice the expected number is more than a draw by hash can bring, but for copies.
     rows = (
-        chosen.mapInArrow(vectors, "lang string, tf binary").dropDuplicates()
+        chosen.mapInArrow(vectors, "lang string, tf binary, passages array<string>").dropDuplicates()
         .limit(2 * per_language * len(sizes)).collect()
     )
-    rows.sort(key=lambda row: (row.lang, bytes(row.tf)))
-    if not rows:
-        return fit([], np.zeros((0, DIMENSIONS), np.int64))
-    tf = np.frombuffer(b"".join(bytes(row.tf) for row in rows), dtype="<u2")
-    return fit([row.lang for row in rows], tf.reshape(len(rows), DIMENSIONS).astype(np.int64))
+    rows.sort(key=lambda row: (row.lang, bytes(row.tf), row.passages))
+    tf = np.frombuffer(b"".join(zlib.decompress(row.tf) for row in rows), dtype="<u8")
+    return fit(
+        [row.lang for row in rows], tf.reshape(len(rows), DIMENSIONS).astype(np.int64),
+        [row.passages for row in rows],
+    )
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """All rows of `docs` with `lang_pred`, `score` and `rejected`; columns so named are replaced.
 
     A text is compared by cosine with several centroids per language; the nearest decides.
-    It is rejected if even that is farther than the texts learned from are. Null texts
+    It is rejected if even that is as far as shuffled text with as many n-grams. Null texts
     and texts without a letter are `und`, score 0, and rejected. Without a model given,
     one is learned from `docs`; without labels everything is `und`. Rows with the same
     text get the same prediction: nothing but the text is looked at.

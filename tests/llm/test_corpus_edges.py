@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -29,6 +30,7 @@ CLASHING = [
     "lang_pred", "score", "rejected", "item_ids", "contaminated", "n_lines", "kept_text", "part", "ids",
     "_id", "_hash", "_copy", "_found", "text_hash", "hits",
 ]
+SMALL, WIDER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 _TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -455,6 +457,74 @@ def test_language_rejects_what_it_never_saw(documents):  # noqa: F811
     assert [found[i].lang_pred for i in (900, 902)] == ["und", "und"] and found[901].rejected
 
 
+# The first article of the Universal Declaration of Human Rights, and code.
+FOREIGN = {
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Hungarian": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "Polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Italian": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "Swedish": "Alla människor är födda fria och lika i värde och rättigheter. De är utrustade med förnuft och samvete och bör handla gentemot varandra i en anda av broderskap.",
+    "Czech": "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství.",
+    "Indonesian": "Semua orang dilahirkan merdeka dan mempunyai martabat dan hak-hak yang sama. Mereka dikaruniai akal dan hati nurani dan hendaknya bergaul satu sama lain dalam semangat persaudaraan.",
+    "Swahili": "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu.",
+    "C": "int main(int argc, char **argv) { for (int i = 0; i < argc; i++) { puts(argv[i]); } return 1; } static const struct node *next(struct list *l) { return l->head; }",
+}
+LEARNED = {
+    "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
+    "de": "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen.",
+    "fr": "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité.",
+    "es": "Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia, deben comportarse fraternalmente los unos con los otros.",
+}
+
+
+def test_language_far_from_all_learned(spark):
+    """Foreign prose goes once or repeated; of clean held-out texts, whole or short pieces, hardly any."""
+    docs = spark.read.parquet(f"{WIDER}/documents.parquet")
+    model = language.train(docs)
+    for times in (1, 20):
+        taken = [name for name, text in FOREIGN.items() if not model.predict(" ".join([text] * times))[2]]
+        assert taken == [], times
+        for lang, text in LEARNED.items():
+            assert model.predict(" ".join([text] * times))[::2] == (lang, False), times
+    held = docs.where(language.held_out(F.col("doc_id")) & F.col("lang").isNotNull()).collect()
+    texts = [row.text for row in held if row.text and any(x.isalpha() for x in row.text)]
+    assert len(texts) > 150 and not any(model.predict(text)[2] for text in texts)
+    for size in (30, 60, 120, 240):
+        pieces = [text[at:at + size] for text in texts for at in range(0, min(len(text) - size, 2000), size)]
+        pieces = [piece for piece in pieces if sum(x.isalpha() for x in piece) > size // 2]
+        kept = sum(not model.predict(piece)[2] for piece in pieces)
+        assert kept >= 0.99 * len(pieces), (size, kept, len(pieces))
+
+
+def test_language_is_the_nearest_centroid(spark):
+    """Predictions against cosines worked out one by one from counted trigrams."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.train(docs)
+    for row in language.identify(docs, model).where("length(text) < 3000").collect():
+        folded = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in row.text.lower())
+        data = b" " + b" ".join(folded.encode().split()) + b" "
+        tf = [0] * language.DIMENSIONS
+        for at in range(len(data) - 2):
+            code = int.from_bytes(data[at:at + 3], "big")
+            tf[code * 2654435761 % 2**32 >> 20] += 1
+        weights = np.log1p(np.array(tf)) * model.idf.astype(np.float64)
+        norm = math.sqrt(float((weights**2).sum())) or 1.0
+        cosines = [float(centroid @ weights) / norm for centroid in model.centroids.astype(np.float64)]
+        if row.lang_pred != "und":
+            assert abs(max(cosines) - row.score) < 1e-4
+            assert cosines[model.labels.index(row.lang_pred)] <= max(cosines)
+            assert max(c for c, own in zip(cosines, model.labels) if own == row.lang_pred) > max(cosines) - 1e-4
+
+
+def test_counts_are_not_cut(documents):  # noqa: F811
+    """A trigram that a text holds more than 65,535 times is learned as predicted."""
+    text = "aaa " * 80_000
+    rows = [(4 * i, text + "b" * i, "xx", "s") for i in range(30)]
+    found = [row.score for row in language.identify(documents(rows)).collect()]
+    assert min(found) > 0.95 and int(language.counts(text).max()) > 65_535
+
+
 def test_mix_is_systematic(documents, scratch):  # noqa: F811
     rows = [(i, "w " * (i % 13), "en", f"s{i % 2}") for i in range(400)]
     mixed = mixing.mix(documents(rows), scratch, weights=(3, 1), share=0.8).collect()

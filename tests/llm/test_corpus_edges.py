@@ -230,6 +230,51 @@ def test_encoder_cuts_only_where_the_tokenizer_does():
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_encoded_together_have_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(_TOKENIZER), token_store.Encoder(_TOKENIZER, 50)
+    rng = random.Random(3)
+    parts = [" ", "\n", "the", "Straße", "été.", "!!", "###", "_", "'", "'s", "7", "  ", "\t", "<|endoftext|>", "中文,", "ɐ."]
+    for _ in range(300):
+        texts = ["".join(rng.choice(parts[:rng.choice((5, 11, 16))]) for _ in range(rng.randint(0, 8))) for _ in range(9)]
+        expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in encoder.encode(texts)] == expected, texts
+
+
+def test_words_are_looked_up_once_for_texts_encoded_together():
+    asked = []
+
+    class Counted(token_store.Units):
+        def ids(self, units):
+            asked.extend(units)
+            return super().ids(units)
+
+    encoder = token_store.Encoder(_TOKENIZER, 50)
+    encoder.units.__class__ = Counted
+    texts = ["the cat sat.\nThe cat sat!!"] * 100
+    assert len(set(encoder.encode(texts))) == 1
+    assert sorted(asked) == ["\nThe", "\nthe", "cat", "sat!!", "sat."]
+
+
+def test_parts_of_a_batch_follow_each_other(documents):  # noqa: F811
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(_TOKENIZER)
+    texts = ["one two", None, "", "\n\n", LONG[:300], " edge", "a b\nc d.", "x" * 50] * 6
+    docs = documents(list(enumerate(texts))).coalesce(1)
+    expected = [[*tokenizer.encode(text or "", add_special_tokens=False).ids, 2] for text in texts]
+    for most in (1, 64, 1 << 20):
+        parts = token_store.encode(docs, _TOKENIZER, bytes_at_once=most).collect()
+        rows = sorted(parts, key=lambda row: row.did)
+        assert [row.ids for row in rows] == expected
+        assert [row.n_tokens for row in rows] == [len(ids) for ids in expected]
+        before = {}
+        for row in rows:
+            assert row.part_start == before.get(row.part, 0)
+            before[row.part] = row.part_start + row.n_tokens
+
+
 def test_bloom_filter_lookup(documents, scratch, spark):  # noqa: F811
     path = scratch.path("tokens")
     token_store.write_tokens(documents([(i, f"text {i}") for i in range(50)]), path, _TOKENIZER)

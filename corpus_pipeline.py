@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import decontamination, language, mixing, simhash, token_store
-from forgepulse.llm.common import Aside, table
+from forgepulse.llm.common import Aside, send_little_at_once, table
 from forgepulse.sources.storage import Scratch
 
 # Words a worker remembers when token ids are written: its memory and the executor's have
@@ -21,6 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the labelled languages; texts too far from all of them go."""
+    send_little_at_once(spark)
     own = Aside(docs, ["text", "lang", "doc_id"])
     return own.back(language.identify(own.df).where(~F.col("rejected")))
 
@@ -30,6 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id; rows of the group that repeat it stay with it, as do all rows without one.
     Other texts of a doc_id that goes are not touched.
     """
+    send_little_at_once(spark)
     groups = simhash.near_duplicates(docs, Scratch(spark))
     # A comparison with null drops nothing.
     dropped = groups.where(F.col("doc_id") != F.col("component_id")).select(
@@ -42,6 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    send_little_at_once(spark)
     own = Aside(docs, ["text"])
     found = decontamination.contaminated(own.df, table(spark, sf_dir, "benchmark"))
     return own.back(found.where(~F.col("contaminated")))
@@ -55,6 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files' documents, as read back: doc_id, start, n_tokens, ids_crc32."""
+    send_little_at_once(spark)
     path = Scratch(spark).path("tokens")
     token_store.write_tokens(
         docs, path, public_tokenizers.path(token_store.VOCABULARY), remembered=REMEMBERED

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_fixtures import documents, scratch  # noqa: F401
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from forgepulse.llm import (
     boosting, decontamination, exact_dedup, language, line_dedup, mixing, pii, sharding, simhash,
     token_store, url_filter,
 )
+from forgepulse.llm.common import A_LARGE_BATCH, BATCH_BYTES, SENT_AT_ONCE
 
 LONG = " ".join(f"word{i % 977}" for i in range(60_000))
 ROWS = [
@@ -640,3 +642,23 @@ def test_language_of_copies_is_learned(documents):  # noqa: F811
     rows += [(20_000 + i, f"ein anderer kurzer satz {'abcdefgh'[i % 8]}", "de", "s") for i in range(40)]
     model = language.train(documents(rows), per_language=20)
     assert set(model.labels) == {"en", "de"}
+
+
+@pytest.mark.parametrize("name", ["language_id", "simhash_near_dedup", "benchmark_decontamination", "token_output"])
+def test_stages_send_texts_to_workers_by_bytes(spark, documents, name):  # noqa: F811
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    docs = documents([(i, f"{i} " + "word " * 20_000, "en", "s") for i in range(80)]).coalesce(1)
+    limit = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, A_LARGE_BATCH)
+        dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL)
+        sent = [row.size for row in docs.mapInArrow(sizes, "size bigint").collect()]
+        assert len(sent) > 2 and max(sent) < 2 * SENT_AT_ONCE
+        spark.conf.set(BATCH_BYTES, "3m")
+        dict(corpus_pipeline.STAGES)[name](spark, docs.limit(3), SMALL)
+        assert spark.conf.get(BATCH_BYTES) == "3m"
+    finally:
+        spark.conf.set(BATCH_BYTES, limit)
